@@ -41,14 +41,19 @@ class Cleaned:
     metrics: DataFrame
 
 
-def _exact_dedupe(df: DataFrame, cols: list[str]) -> DataFrame:
+def _exact_dedupe(df: DataFrame, cols: list[str], derived: dict[str, Column] | None = None) -> DataFrame:
     """One row per distinct data row, with its multiplicity and first position.
 
     Grouping on the data columns treats NULL = NULL, like a whole-row duplicate test.
+    ``derived`` are per-row functions of the grouping columns (typed values, parsed
+    dates) computed *as aggregate outputs* (``min`` of a value constant in the
+    group): a later filter on them then stays above the aggregate instead of being
+    pushed, with the whole parse expression, into the map-side aggregation stage.
     """
     aggs = [F.count(F.lit(1)).alias("_n")]
     if "_seq" in df.columns:
         aggs.append(F.min("_seq").alias("_seq"))
+    aggs += [F.min(expr).alias(name) for name, expr in (derived or {}).items()]
     return df.groupBy(*cols).agg(*aggs)
 
 
@@ -68,7 +73,8 @@ def _email_missing(email: Column) -> Column:
 
 def flag_customers(raw: DataFrame, hyphen_day_first: bool = False) -> DataFrame:
     """Customers after C1 with one boolean column per later step."""
-    g = _exact_dedupe(_prepare(raw, CUSTOMER_COLS), CUSTOMER_COLS)
+    parsed = parse_mixed_datetime(F.col("signup_date"), hyphen_day_first)
+    g = _exact_dedupe(_prepare(raw, CUSTOMER_COLS), CUSTOMER_COLS, {"_parsed": parsed})
     email = F.col("email")
     # First row in file order per email; rows without an email are exempt.
     firsts = g.filter(_email_present(email)).groupBy("email").agg(F.min("_seq").alias("_first_seq"))
@@ -76,13 +82,12 @@ def flag_customers(raw: DataFrame, hyphen_day_first: bool = False) -> DataFrame:
     crm = _email_present(email) & (F.col("_seq") != F.col("_first_seq"))
     missing = ~crm & _email_missing(email)
     alive = ~crm & ~missing
-    parsed = parse_mixed_datetime(F.col("signup_date"), hyphen_day_first)
     return f.select(
         *CUSTOMER_COLS, "_n",
         crm.alias("_crm_dup"),
         missing.alias("_missing_email"),
         (alive & is_nonstandard(F.col("signup_date"), STANDARD_DATE)).alias("_nonstandard"),
-        parsed.alias("_parsed"),
+        "_parsed",
         alive.alias("_alive"),
     )
 
@@ -119,15 +124,18 @@ def clean_products(raw: DataFrame) -> Cleaned:
 
 def flag_orders(raw: DataFrame, hyphen_day_first: bool = False) -> DataFrame:
     """Order lines after C1 with date/amount flags and typed values."""
-    g = _exact_dedupe(_prepare(raw, ORDER_COLS), ORDER_COLS)
-    parsed = parse_mixed_datetime(F.col("order_date"), hyphen_day_first)
-    q, p = to_number(F.col("quantity")), to_number(F.col("unit_price"))
+    parsed = F.date_trunc("second", parse_mixed_datetime(F.col("order_date"), hyphen_day_first))
+    g = _exact_dedupe(_prepare(raw, ORDER_COLS), ORDER_COLS, {
+        "_parsed": parsed.cast("timestamp_ntz"),
+        "_q": to_number(F.col("quantity")),
+        "_p": to_number(F.col("unit_price")),
+    })
+    q, p = F.col("_q"), F.col("_p")
     valid_amount = F.coalesce((q > 0) & (p > 0), F.lit(False))
     return g.select(
-        "order_id", "customer_id", "product_id", "_n",
-        q.alias("_q"), p.alias("_p"),
+        "order_id", "customer_id", "product_id", "_n", "_q", "_p",
         is_nonstandard(F.col("order_date"), STANDARD_DATETIME).alias("_nonstandard"),
-        F.date_trunc("second", parsed).cast("timestamp_ntz").alias("_parsed"),
+        "_parsed",
         valid_amount.alias("_valid_amount"),
     )
 

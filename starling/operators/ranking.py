@@ -7,8 +7,9 @@ goes through one task.  Instead:
    value shared by a third of all rows is spread over many partitions, and sort
    inside each partition;
 2. tag each row with its partition and position (``monotonically_increasing_id``
-   is ``partition << 33 | position``) and cut lineage with a reliable
-   ``checkpoint`` so every later read sees the same split;
+   is ``partition << 33 | position``) and cut lineage by writing the tagged rows
+   as a table in the shared checkpoint folder, so every later read sees the same
+   split (one job; a reliable ``checkpoint()`` would compute its input twice);
 3. count rows per partition (at most ``num_partitions`` rows), prefix-sum those
    counts and join them back as a broadcast (size bounded by the partition count):
    rank = offset of the partition + position + 1.
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, shuffle_partitions
+from ..session import scratch_path, shuffle_partitions
 
 _POS_BITS = 33
 
@@ -30,13 +31,13 @@ def add_global_rank(df: DataFrame, order_by: list[Column], rank_col: str = "rank
                     total_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add a 1-based rank by ``order_by`` (must be a total order) and optionally N."""
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = num_partitions or shuffle_partitions(spark)
-    tagged = (df.repartitionByRange(n, *order_by)
-              .sortWithinPartitions(*order_by)
-              .withColumn("_rk_id", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    tagged = tagged.select(
+    path = scratch_path(spark, "rank")
+    (df.repartitionByRange(n, *order_by)
+     .sortWithinPartitions(*order_by)
+     .withColumn("_rk_id", F.monotonically_increasing_id())
+     .write.parquet(path))
+    tagged = spark.read.parquet(path).select(
         *df.columns,
         F.shiftright("_rk_id", _POS_BITS).alias("_rk_part"),
         F.col("_rk_id").bitwiseAND((1 << _POS_BITS) - 1).alias("_rk_pos"),

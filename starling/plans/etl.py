@@ -7,8 +7,7 @@ against the cleaned dimensions.  The report is one long frame
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +16,63 @@ from ..operators import cleaning as cl
 from ..operators import integrity as ig
 
 
-@dataclass
 class CleanRun:
-    dim_customers: DataFrame
-    dim_products: DataFrame
-    order_lines: DataFrame      # valid lines before the referential filter
-    fact_sales: DataFrame
-    report: DataFrame
+    """The cleaned star and report of one set of raw extracts, built on first use.
+
+    Properties are lazy so a query that needs only the products dimension does
+    not plan (or analyse) the order pipeline.
+    """
+
+    def __init__(self, raw: dict[str, DataFrame], hyphen_day_first: bool = False):
+        self.raw = raw
+        self.hyphen_day_first = hyphen_day_first
+
+    @cached_property
+    def _customers(self) -> cl.Cleaned:
+        return cl.clean_customers(self.raw["customers"], self.hyphen_day_first)
+
+    @cached_property
+    def _products(self) -> cl.Cleaned:
+        return cl.clean_products(self.raw["products"])
+
+    @cached_property
+    def _flagged_orders(self) -> DataFrame:
+        return cl.flag_orders(self.raw["orders"], self.hyphen_day_first)
+
+    @property
+    def dim_customers(self) -> DataFrame:
+        return self._customers.df
+
+    @property
+    def dim_products(self) -> DataFrame:
+        return self._products.df
+
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Valid lines before the referential filter."""
+        return cl.order_lines(self._flagged_orders)
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return ig.referential_filter(self.order_lines, self.dim_customers, self.dim_products)
+
+    @cached_property
+    def orphans(self) -> DataFrame:
+        return ig.orphan_counts(self.order_lines, self.dim_customers, self.dim_products)
+
+    @cached_property
+    def report(self) -> DataFrame:
+        order_counts = cl.order_metrics(self._flagged_orders).crossJoin(F.broadcast(self.orphans)).select(
+            "*",
+            F.col("orphan_customer_lines").alias("orphan_customer_lines_dropped"),
+            F.col("orphan_product_lines").alias("orphan_product_lines_dropped"),
+            F.col("kept_lines").alias("final_rows"),
+        )
+        return reduce(DataFrame.unionByName, [
+            _long(self._customers.metrics, "customers", cl.CUSTOMER_METRICS),
+            _long(self._products.metrics, "products", cl.PRODUCT_METRICS),
+            _long(order_counts, "orders", cl.ORDER_METRICS),
+        ])
 
     def star(self) -> dict[str, DataFrame]:
         return {"dim_customers": self.dim_customers, "dim_products": self.dim_products,
@@ -39,21 +88,4 @@ def _long(metrics: DataFrame, table: str, names: list[str]) -> DataFrame:
 
 
 def clean(raw: dict[str, DataFrame], hyphen_day_first: bool = False) -> CleanRun:
-    cust = cl.clean_customers(raw["customers"], hyphen_day_first)
-    prod = cl.clean_products(raw["products"])
-    flagged = cl.flag_orders(raw["orders"], hyphen_day_first)
-    lines = cl.order_lines(flagged)
-    fact = ig.referential_filter(lines, cust.df, prod.df)
-    orphans = ig.orphan_counts(lines, cust.df, prod.df)
-    order_counts = cl.order_metrics(flagged).crossJoin(F.broadcast(orphans)).select(
-        "*",
-        F.col("orphan_customer_lines").alias("orphan_customer_lines_dropped"),
-        F.col("orphan_product_lines").alias("orphan_product_lines_dropped"),
-        F.col("kept_lines").alias("final_rows"),
-    )
-    report = reduce(DataFrame.unionByName, [
-        _long(cust.metrics, "customers", cl.CUSTOMER_METRICS),
-        _long(prod.metrics, "products", cl.PRODUCT_METRICS),
-        _long(order_counts, "orders", cl.ORDER_METRICS),
-    ])
-    return CleanRun(cust.df, prod.df, lines, fact, report)
+    return CleanRun(raw, hyphen_day_first)

@@ -39,7 +39,8 @@ def _copies(repeat) -> F.Column:
 
 
 def _money_text(c) -> F.Column:
-    return F.format_string("%.2f", c)
+    """Two-decimal text (``1234.50``): a decimal cast, much cheaper than a format string."""
+    return c.cast("decimal(18,2)").cast("string")
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
