@@ -37,7 +37,9 @@ def file_order_seq() -> F.Column:
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table: str = "") -> DataFrame:
     """Header CSV -> all-string frame + ``_seq``; a missing path fails with the table name."""
     try:
-        df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .csv(path))
         df = df.select(*schema.fieldNames(), file_order_seq().alias("_seq"))
         df.schema  # noqa: B018 - resolve now so a missing path fails here
     except Exception as exc:  # AnalysisException: PATH_NOT_FOUND
@@ -55,8 +57,14 @@ def read_raw_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header CSV sink (the export form of the star; Parquet is the primary form)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Header CSV sink (the export form of the star; Parquet is the primary form).
+
+    The writer trims values by default; a value such as two blanks must survive
+    the round trip (it is a distinct, non-missing email to the cleaning rules).
+    """
+    (df.write.mode(mode).option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 def check_schema(df: DataFrame, expected: T.StructType, table: str) -> None:
