@@ -1,8 +1,9 @@
 """Mixed-format date parsing (C4), standard-form tests (C5) and rendering.
 
-All native expressions: no Python runs per row.  Each value is first classified
-by a cheap anchored regex so it tries one or two patterns, not the full list.
-Results are zone-less timestamps (TIMESTAMP_NTZ); Unix seconds are read as UTC.
+All native expressions: no Python runs per row.  Each value is validated by an
+anchored regex for its layout, rewritten to ISO order and read by Spark's
+timestamp cast.  Results are zone-less timestamps (TIMESTAMP_NTZ); Unix seconds
+are read as UTC.
 """
 
 from __future__ import annotations
@@ -10,14 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted layouts, in the order they are tried.  Ambiguous
-# hyphen and slash dates are read month first (``05-03-2024`` is May 3rd) and
-# fall back to day first only when the first number cannot be a month.
-ISO_PATTERNS = ["yyyy-M-d[ H:mm[:ss[.SSSSSS]]]", "yyyy-M-d'T'H:mm:ss"]
-YMD_SLASH_PATTERNS = ["yyyy/M/d[ H:mm[:ss]]"]
-SLASH_PATTERNS = ["M/d/yyyy[ H:mm[:ss]]", "d/M/yyyy[ H:mm[:ss]]"]
-HYPHEN_PATTERNS = ["M-d-yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]"]
-MONTH_NAME_PATTERNS = ["MMMM d, yyyy", "MMM d, yyyy"]
+# The accepted layouts.  A value is read only when it matches one
+# of these shapes exactly; anything else is NULL.
+#   yyyy-M-d[ H:mm[:ss[.fraction]]]   yyyy-M-dTH:mm:ss   yyyy/M/d[ H:mm[:ss]]
+#   M/d/yyyy[ H:mm[:ss]]  (d/M/yyyy when the first number cannot be a month)
+#   M-d-yyyy[ H:mm[:ss]]  (d-M-yyyy likewise)
+#   MMMM d, yyyy and MMM d, yyyy (English month names, any case)
+# Ambiguous hyphen and slash dates are read month first (``05-03-2024`` is May
+# 3rd), as the reference does; ``hyphen_day_first`` flips the hyphen reading.
+_TIME = r"( [0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?"
+ISO_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
+ISO_T_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{2}:[0-9]{2}$"
+YMD_SLASH_RE = r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}" + _TIME + "$"
+SLASH_RE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}" + _TIME + "$"
+HYPHEN_RE = r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}" + _TIME + "$"
+NAMED_RE = r"^([A-Za-z]+) ([0-9]{1,2}), ([0-9]{4})$"
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august",
+          "september", "october", "november", "december"]
 NULL_WORDS = ["nan", "none", "null"]
 # Largest whole number of seconds that still fits a nanosecond timestamp.
 MAX_EPOCH_SECONDS = 9223372036
@@ -30,32 +40,57 @@ def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
-def _first_match(t: Column, patterns: list[str]) -> Column:
-    parsed = [F.try_to_timestamp(t, F.lit(p)).cast("timestamp_ntz") for p in patterns]
-    return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
+def _month_number(word: Column) -> Column:
+    """Month number of a full or three-letter English month name, any case."""
+    keys = {}
+    for i, m in enumerate(MONTHS, start=1):
+        keys.setdefault(m, i)
+        keys.setdefault(m[:3], i)
+    pairs = [x for k, i in keys.items() for x in (F.lit(k), F.lit(i))]
+    return F.element_at(F.create_map(*pairs), F.lower(word))
+
+
+def _as_iso(t: Column, hyphen_day_first: bool) -> Column:
+    """Rewrite any accepted layout into ``yyyy-M-d[ time]``; NULL for other text."""
+    lead = F.regexp_extract(t, r"^([0-9]{1,2})[-/]", 1)
+    second = F.regexp_extract(t, r"^[0-9]{1,2}[-/]([0-9]{1,2})[-/]", 1)
+    lead_is_month = lead.cast("int") <= 12
+    second_is_month = second.cast("int") <= 12
+    dmy = r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})"
+    month_first = F.regexp_replace(t, dmy, "$3-$1-$2")
+    day_first = F.regexp_replace(t, dmy, "$3-$2-$1")
+    # Trying "M-d" and falling back to "d-M" (and the reverse) is the same as
+    # choosing by whether the leading (or second) number can be a month.
+    hyphen = (F.when(second_is_month, day_first).otherwise(month_first) if hyphen_day_first
+              else F.when(lead_is_month, month_first).otherwise(day_first))
+    month = _month_number(F.regexp_extract(t, NAMED_RE, 1))
+    named = F.concat_ws("-", F.regexp_extract(t, NAMED_RE, 3), month.cast("string"),
+                        F.regexp_extract(t, NAMED_RE, 2))
+    return (
+        F.when(t.rlike(ISO_RE) | t.rlike(ISO_T_RE), t)
+        .when(t.rlike(YMD_SLASH_RE), F.translate(t, "/", "-"))
+        .when(t.rlike(SLASH_RE), F.when(lead_is_month, month_first).otherwise(day_first))
+        .when(t.rlike(HYPHEN_RE), hyphen)
+        .when(t.rlike(NAMED_RE) & month.isNotNull(), named)
+    )
 
 
 def parse_mixed_datetime(c: Column, hyphen_day_first: bool = False) -> Column:
     """Text in any supported layout -> TIMESTAMP_NTZ, NULL when it cannot be read.
 
-    ``hyphen_day_first=True`` reads ``dd-MM-yyyy`` day first (the corrected
-    reading); the default keeps the month-first behaviour for parity.
+    Order of tests: null, blank or a null word -> NULL; all digits -> Unix
+    seconds (UTC); otherwise the layouts above.  Every layout is validated by an
+    anchored regex and rewritten to ISO order, then read by Spark's timestamp
+    cast, which also rejects impossible dates (Feb 30, month 13).  No pattern
+    formatter and no exception per row: both dominate the cost otherwise.
     """
     t = F.trim(c)
-    hyphen = list(reversed(HYPHEN_PATTERNS)) if hyphen_day_first else HYPHEN_PATTERNS
     secs = t.try_cast("bigint")
     epoch = F.when(secs <= F.lit(MAX_EPOCH_SECONDS), F.timestamp_add("SECOND", secs, _epoch()))
     return (
         F.when(t.isNull() | (t == "") | F.lower(t).isin(NULL_WORDS), F.lit(None).cast("timestamp_ntz"))
-        # Fast path for the layouts the pipeline writes itself: a cast uses Spark's
-        # hand-written ISO reader, several times cheaper than a pattern formatter.
-        .when(t.rlike(STANDARD_DATETIME) | t.rlike(STANDARD_DATE), t.try_cast("timestamp_ntz"))
         .when(t.rlike("^[0-9]+$"), epoch)
-        .when(t.rlike("^[0-9]{4}-"), _first_match(t, ISO_PATTERNS))
-        .when(t.rlike("^[0-9]{4}/"), _first_match(t, YMD_SLASH_PATTERNS))
-        .when(t.rlike("^[0-9]{1,2}/"), _first_match(t, SLASH_PATTERNS))
-        .when(t.rlike("^[0-9]{1,2}-"), _first_match(t, hyphen))
-        .when(t.rlike("^[A-Za-z]"), _first_match(t, MONTH_NAME_PATTERNS))
+        .otherwise(_as_iso(t, hyphen_day_first).try_cast("timestamp_ntz"))
     )
 
 
