@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import STANDARD_DATE, STANDARD_DATETIME, is_nonstandard, parse_mixed_datetime
 from ..functions.values import money, normalize_null_tokens, to_number
 from ..schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
+from ..session import materialize
 from ..sources.tables import with_order_totals
 
 CUSTOMER_COLS = RAW_CUSTOMERS.fieldNames()
@@ -71,10 +72,16 @@ def _email_missing(email: Column) -> Column:
     return email.isNull() | (t == "") | (F.lower(t) == "nan")
 
 
-def flag_customers(raw: DataFrame, hyphen_day_first: bool = False) -> DataFrame:
-    """Customers after C1 with one boolean column per later step."""
+def flag_customers(raw: DataFrame, hyphen_day_first: bool = False, reuse: bool = True) -> DataFrame:
+    """Customers after C1 with one boolean column per later step.
+
+    The C1 result feeds both sides of the "first row per email" join; with
+    ``reuse`` it is materialised once so the scan and shuffle are not run twice.
+    """
     parsed = parse_mixed_datetime(F.col("signup_date"), hyphen_day_first)
     g = _exact_dedupe(_prepare(raw, CUSTOMER_COLS), CUSTOMER_COLS, {"_parsed": parsed})
+    if reuse:
+        g = materialize(g, "customers_c1")
     email = F.col("email")
     # First row in file order per email; rows without an email are exempt.
     firsts = g.filter(_email_present(email)).groupBy("email").agg(F.min("_seq").alias("_first_seq"))
@@ -122,8 +129,12 @@ def clean_products(raw: DataFrame) -> Cleaned:
     return Cleaned(df, metrics)
 
 
-def flag_orders(raw: DataFrame, hyphen_day_first: bool = False) -> DataFrame:
-    """Order lines after C1 with date/amount flags and typed values."""
+def flag_orders(raw: DataFrame, hyphen_day_first: bool = False, reuse: bool = True) -> DataFrame:
+    """Order lines after C1 with date/amount flags and typed values.
+
+    Consumed several times (lines, per-order totals joined back, step counts,
+    orphan counts); with ``reuse`` it is materialised once.
+    """
     parsed = F.date_trunc("second", parse_mixed_datetime(F.col("order_date"), hyphen_day_first))
     g = _exact_dedupe(_prepare(raw, ORDER_COLS), ORDER_COLS, {
         "_parsed": parsed.cast("timestamp_ntz"),
@@ -132,12 +143,13 @@ def flag_orders(raw: DataFrame, hyphen_day_first: bool = False) -> DataFrame:
     })
     q, p = F.col("_q"), F.col("_p")
     valid_amount = F.coalesce((q > 0) & (p > 0), F.lit(False))
-    return g.select(
+    flagged = g.select(
         "order_id", "customer_id", "product_id", "_n", "_q", "_p",
         is_nonstandard(F.col("order_date"), STANDARD_DATETIME).alias("_nonstandard"),
         "_parsed",
         valid_amount.alias("_valid_amount"),
     )
+    return materialize(flagged, "orders_c1") if reuse else flagged
 
 
 def order_lines(flagged: DataFrame) -> DataFrame:

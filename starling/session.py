@@ -79,3 +79,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint root and read it back.
+
+    For a frame consumed more than once (e.g. deduplicated lines feeding both the
+    per-order totals and the lines they are joined back to): the consumers read a
+    compact columnar copy instead of each recomputing the scan and the shuffle
+    below it, and the lineage is cut, so a lost executor re-reads files rather
+    than recomputing stages.  Runs one job now.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
