@@ -89,3 +89,22 @@ def _long(metrics: DataFrame, table: str, names: list[str]) -> DataFrame:
 
 def clean(raw: dict[str, DataFrame], hyphen_day_first: bool = False) -> CleanRun:
     return CleanRun(raw, hyphen_day_first)
+
+
+def ensure_star(spark, raw_dir: str, star_dir: str, hyphen_day_first: bool = False) -> dict[str, DataFrame]:
+    """Read the published star; when it is absent, build it from the raw CSV
+    extracts (S1 -> cleaning -> publish) first.  A missing raw table stops with
+    its name (S6)."""
+    from ..operators.warehouse import publish_star
+    from ..sources.raw import read_raw_tables
+
+    base = star_dir.rstrip("/")
+    names = ["dim_customers", "dim_products", "fact_sales"]
+    try:
+        return {n: spark.read.parquet(f"{base}/{n}") for n in names}
+    except Exception as exc:  # AnalysisException PATH_NOT_FOUND: build it
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+    run = clean(read_raw_tables(spark, raw_dir), hyphen_day_first)
+    paths = publish_star(spark, run.star(), base)
+    return {n: spark.read.parquet(paths[n]) for n in names}
