@@ -19,6 +19,8 @@ Scores are then pure arithmetic on (rank, N).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,3 +77,50 @@ def quantile_bin_from_rank(rank: Column, total: Column, bins: int = 5) -> Column
     den = total - 1
     return F.when(total <= 1, F.lit(1)).otherwise(
         F.greatest(F.lit(1), F.floor((num + den - 1) / den))).cast("bigint")
+
+
+def add_global_ranks(df: DataFrame, specs: list[tuple[str, Column, bool]], tie: list[str],
+                     total_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Several exact global ranks of the same rows in one range-partitioned pass.
+
+    ``specs`` are ``(rank_column, numeric value, descending)``; ``tie`` columns
+    identify a row and break ties (ascending).  The rows are emitted once per spec
+    as (spec, value, tie), range-partitioned and sorted on that composite key,
+    tagged and written once; since every spec holds exactly N rows, the rank of a
+    row within spec i is its global position minus i * N.  One pivot aggregate on
+    the tie columns brings the ranks back to one row per input row (the input row
+    rides along as a struct on the first spec only).  Values must be non-null.
+    One range shuffle and one write instead of one of each per rank.
+    """
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
+    row = F.struct(*[F.col(c) for c in df.columns])
+    parts = []
+    for i, (_, value, desc) in enumerate(specs):
+        v = value.cast("decimal(38,6)")
+        parts.append(df.select(
+            F.lit(i).alias("_rk_spec"), (-v if desc else v).alias("_rk_v"), *[F.col(c) for c in tie],
+            F.when(F.lit(i == 0), row).alias("_rk_row")))
+    rows = reduce(DataFrame.unionByName, parts)
+    order = [F.col("_rk_spec"), F.col("_rk_v"), *[F.col(c) for c in tie]]
+    path = scratch_path(spark, "ranks")
+    (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .withColumn("_rk_id", F.monotonically_increasing_id())
+     .write.parquet(path))
+    tagged = spark.read.parquet(path).select(
+        "_rk_spec", *tie, "_rk_row",
+        F.shiftright("_rk_id", _POS_BITS).alias("_rk_part"),
+        F.col("_rk_id").bitwiseAND((1 << _POS_BITS) - 1).alias("_rk_pos"))
+    sizes = tagged.groupBy("_rk_part").agg(F.count(F.lit(1)).alias("_rk_size"))
+    before = Window.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_rk_part",
+        F.coalesce(F.sum("_rk_size").over(before), F.lit(0)).alias("_rk_off"),
+        (F.sum("_rk_size").over(Window.partitionBy()) / len(specs)).cast("bigint").alias("_rk_n"))
+    ranked = tagged.join(F.broadcast(offsets), "_rk_part").withColumn(
+        "_rk", F.col("_rk_off") + F.col("_rk_pos") + 1 - F.col("_rk_spec") * F.col("_rk_n"))
+    pivot = ranked.groupBy(*tie).agg(
+        F.max("_rk_row").alias("_rk_row"), F.max("_rk_n").alias("_rk_n"),
+        *[F.max(F.when(F.col("_rk_spec") == i, F.col("_rk"))).alias(name) for i, (name, _, _) in enumerate(specs)])
+    extra = [F.col("_rk_n").alias(total_col)] if total_col else []
+    return pivot.select("_rk_row.*", *[name for name, _, _ in specs], *extra)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import add_global_rank, ntile_from_rank, quantile_bin_from_rank
+from .ranking import add_global_ranks, ntile_from_rank, quantile_bin_from_rank
 
 # Segment labels and rules of each preset, first match wins.
 P_LABELS = ["Champions", "Loyal Customers", "New / Promising", "At Risk", "Lost"]
@@ -110,14 +110,11 @@ def score(metrics: DataFrame, recency: str, frequency: str, monetary: str, tie:
           method: str = "ntile") -> DataFrame:
     """Add r/f/m scores 1..5: newest recency, highest frequency and spend score 5."""
     to_score = ntile_from_rank if method == "ntile" else quantile_bin_from_rank
-    ties = [F.col(c).asc() for c in tie]
-    out = metrics
-    for name, col, desc in (("r", recency, True), ("f", frequency, False), ("m", monetary, False)):
-        key = F.col(col).desc() if desc else F.col(col).asc()
-        out = add_global_rank(out, [key, *ties], rank_col=f"_{name}_rank", total_col="_n")
-        out = out.withColumn(f"{name}_score", to_score(F.col(f"_{name}_rank"), F.col("_n"))).drop(
-            f"_{name}_rank", "_n")
-    return out
+    specs = [("_r_rank", F.col(recency), True), ("_f_rank", F.col(frequency), False),
+             ("_m_rank", F.col(monetary), False)]
+    out = add_global_ranks(metrics, specs, tie, total_col="_n")
+    return out.select(*metrics.columns, *[
+        to_score(F.col(f"_{x}_rank"), F.col("_n")).alias(f"{x}_score") for x in ("r", "f", "m")])
 
 
 def rfm_p(fact: DataFrame) -> DataFrame:

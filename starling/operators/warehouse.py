@@ -92,6 +92,11 @@ def write_version(spark: SparkSession, df: DataFrame, table_path: str,
     cur = current_version(spark, table_path)
     version = (cur[0] + 1) if cur else 1
     folder = f"{table_path.rstrip('/')}/v{version:06d}"
+    if partition_by:
+        # A task writes a few partition folders (not every folder), and a large
+        # partition value is still spread over several tasks.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *partition_by, *(sort_by or [])[:1])
     writer_df = df.sortWithinPartitions(*((partition_by or []) + (sort_by or []))) if (partition_by or sort_by) else df
     w = writer_df.write.mode("errorifexists")
     if partition_by:

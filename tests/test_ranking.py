@@ -51,3 +51,17 @@ def test_bucket_sizes_n7(spark):
     t = df.groupBy(ntile_from_rank(F.col("r"), F.lit(7)).alias("b")).count().orderBy("b").collect()
     assert [r["count"] for r in q] == [2, 1, 1, 1, 2]
     assert [r["count"] for r in t] == [2, 2, 1, 1, 1]
+
+
+@pytest.mark.parametrize("n", [1, 7, 1363])
+def test_multi_rank_pass_equals_row_numbers(spark, n):
+    from starling.operators.ranking import add_global_ranks
+    rnd = random.Random(n)
+    rows = [(i, 0 if rnd.random() < 0.33 else rnd.randrange(9), rnd.randrange(100) / 4) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, a long, b double")
+    got = add_global_ranks(df, [("ra", F.col("a"), True), ("rb", F.col("b"), False)], ["id"], "n", 5)
+    want = (df.withColumn("wa", F.row_number().over(Window.orderBy(F.col("a").desc(), "id")))
+            .withColumn("wb", F.row_number().over(Window.orderBy("b", "id"))))
+    j = got.join(want, ["id", "a", "b"])
+    assert j.count() == n
+    assert j.filter((F.col("ra") != F.col("wa")) | (F.col("rb") != F.col("wb")) | (F.col("n") != n)).count() == 0

@@ -68,3 +68,12 @@ def test_bucketed_join_has_no_exchange(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS fact_b1")
         spark.sql("DROP TABLE IF EXISTS fact_b2")
+
+
+def test_load_star_twice_equals_once(spark, tmp_dir):
+    star = tb.star(spark, SF001)
+    once = wh.load_star(spark, star, f"{tmp_dir}/wh", scratch_dir=f"{tmp_dir}/stg")
+    rows_once = {n: sorted(df.collect()) for n, df in once.items()}
+    twice = wh.load_star(spark, star, f"{tmp_dir}/wh", scratch_dir=f"{tmp_dir}/stg")
+    assert {n: sorted(df.collect()) for n, df in twice.items()} == rows_once
+    assert wh.current_version(spark, f"{tmp_dir}/wh/fact_sales")[0] == 2
