@@ -208,8 +208,11 @@ def q_load_star(spark, sf_dir):
 
 
 def _upsert_inputs(spark, sf_dir, reduce_keys: bool = True):
-    """Target = one row per key with product_id % 3 <> 0; staging = product_id % 2 = 0
-    with quantity + 1 and totals recomputed (one row per key, or all rows)."""
+    """A restatement batch over the whole fact, split by time, not by key:
+    target = the fact as loaded 6 months before its latest order (one row per
+    key); staging = every line of the last 18 months with quantity + 1 and totals
+    recomputed (one row per key for MERGE, all rows for delete-insert).  Staged
+    keys older than the cut update the target; newer ones are inserts."""
     fact = tb.fact_sales(spark, sf_dir, extended=True)
     keys = ["order_id", "product_id"]
     cols = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "item_total",
@@ -220,9 +223,12 @@ def _upsert_inputs(spark, sf_dir, reduce_keys: bool = True):
               .agg(F.min(F.struct("line_number", "supplier_id", *[c for c in cols if c not in keys])).alias("r"))
               .select(*keys, *[F.col("r")[c].alias(c) for c in cols if c not in keys])
               .select(*cols))
-    target = firsts.filter(F.col("product_id") % 3 != 0)
+    ref = F.broadcast(fact.agg(F.max("order_date").alias("_ref")))  # one row
+    target = (firsts.crossJoin(ref)
+              .filter(F.col("order_date") < F.timestamp_add("MONTH", F.lit(-6), F.col("_ref"))).select(*cols))
     base = firsts if reduce_keys else fact.select(*cols)
-    staged = base.filter(F.col("product_id") % 2 == 0)
+    staged = (base.crossJoin(ref)
+              .filter(F.col("order_date") >= F.timestamp_add("MONTH", F.lit(-18), F.col("_ref"))).select(*cols))
     staged = staged.withColumn("quantity", F.col("quantity") + 1).withColumn(
         "item_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"))
     staged = tb.with_order_totals(staged.drop("order_total")).select(*cols)

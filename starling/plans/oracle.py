@@ -455,7 +455,8 @@ firsts AS (
     SELECT *, row_number() OVER (PARTITION BY order_id, product_id ORDER BY line_number, supplier_id) AS rn
     FROM fact_sales) WHERE rn = 1
 ),
-target AS (SELECT * FROM firsts WHERE product_id % 3 <> 0)"""
+ref AS (SELECT MAX(order_date) AS ref_ts FROM fact_sales),
+target AS (SELECT firsts.* FROM firsts, ref WHERE order_date < ref_ts - INTERVAL 6 MONTH)"""
 
 
 def _upsert(source: str) -> str:
@@ -463,7 +464,7 @@ def _upsert(source: str) -> str:
 staged0 AS (
   SELECT order_id, customer_id, product_id, quantity + 1 AS quantity, unit_price,
          CAST((quantity + 1) * unit_price AS DECIMAL(18,2)) AS item_total, order_date
-  FROM {source} WHERE product_id % 2 = 0
+  FROM {source}, ref WHERE order_date >= ref_ts - INTERVAL 18 MONTH
 ),
 staged AS (SELECT *, SUM(item_total) OVER (PARTITION BY order_id) AS order_total FROM staged0),
 merged AS (
