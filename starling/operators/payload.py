@@ -33,40 +33,32 @@ def payload_parts(star: dict[str, DataFrame], recent_n: int = 10) -> dict[str, D
     }
 
 
-def _num(section: str, df: DataFrame, key, value: str) -> DataFrame:
-    return df.select(F.lit(section).alias("section"), key.cast("string").alias("key"),
-                     F.col(value).cast("double").alias("num_value"),
-                     F.lit(None).cast("string").alias("text_value"))
+def _entries(df: DataFrame, entries: list[tuple]) -> DataFrame:
+    """One branch per part: every (section, key, number, text) entry of a row via one
+    explode, so each part is planned and computed once, however many fields it has."""
+    structs = [F.struct(F.lit(section).alias("section"), key.cast("string").alias("key"),
+                        num.cast("double").alias("num_value"), text.cast("string").alias("text_value"))
+               for section, key, num, text in entries]
+    return df.select(F.inline(F.array(*structs)))
 
 
 def payload_flat(parts: dict[str, DataFrame]) -> DataFrame:
-    m = parts["metrics"]
-    metric_rows = m.select(F.lit("metrics").alias("section"), F.expr(
-        "stack(4, 'total_revenue', CAST(total_revenue AS DOUBLE), 'total_orders', CAST(total_orders AS DOUBLE), "
-        "'total_customers', CAST(total_customers AS DOUBLE), 'avg_order_value', CAST(avg_order_value AS DOUBLE)) "
-        "AS (key, num_value)"), F.lit(None).cast("string").alias("text_value"))
-    status = m.select(F.lit("status").alias("section"), F.lit("status").alias("key"),
-                      F.lit(None).cast("double").alias("num_value"), F.lit(STATUS).alias("text_value"))
-    seg = parts["rfm_segments"]
-    rec = parts["recent_transactions"]
+    none = F.lit(None)
+    metric_names = ["total_revenue", "total_orders", "total_customers", "avg_order_value"]
     pos = F.col("position").cast("string")
-    recent = [
-        rec.select(F.lit("recent_transactions").alias("section"), F.concat(pos, F.lit("." + f)).alias("key"),
-                   F.lit(None).cast("double").alias("num_value"), F.col(f).cast("string").alias("text_value"))
-        for f in RECENT_FIELDS_TEXT
-    ] + [
-        rec.select(F.lit("recent_transactions").alias("section"), F.concat(pos, F.lit("." + f)).alias("key"),
-                   F.col(f).cast("double").alias("num_value"), F.lit(None).cast("string").alias("text_value"))
-        for f in RECENT_FIELDS_NUM
-    ]
+    seg = F.col("segment")
+    rt = "recent_transactions"
     pieces = [
-        status, metric_rows.select("section", "key", "num_value", "text_value"),
-        _num("category_sales", parts["category_sales"], F.col("category"), "revenue"),
-        _num("monthly_sales", parts["monthly_sales"], F.col("month"), "revenue"),
-        _num("monthly_signups", parts["monthly_signups"], F.col("month"), "signups"),
-        _num("rfm_segments", seg, F.concat(F.col("segment"), F.lit(".count")), "customers"),
-        _num("rfm_segments", seg, F.concat(F.col("segment"), F.lit(".revenue")), "revenue"),
-        *recent,
+        _entries(parts["metrics"], [("status", F.lit("status"), none, F.lit(STATUS))]
+                 + [("metrics", F.lit(n), F.col(n), none) for n in metric_names]),
+        _entries(parts["category_sales"], [("category_sales", F.col("category"), F.col("revenue"), none)]),
+        _entries(parts["monthly_sales"], [("monthly_sales", F.col("month"), F.col("revenue"), none)]),
+        _entries(parts["monthly_signups"], [("monthly_signups", F.col("month"), F.col("signups"), none)]),
+        _entries(parts["rfm_segments"], [
+            ("rfm_segments", F.concat(seg, F.lit(".count")), F.col("customers"), none),
+            ("rfm_segments", F.concat(seg, F.lit(".revenue")), F.col("revenue"), none)]),
+        _entries(parts[rt], [(rt, F.concat(pos, F.lit("." + f)), none, F.col(f)) for f in RECENT_FIELDS_TEXT]
+                 + [(rt, F.concat(pos, F.lit("." + f)), F.col(f), none) for f in RECENT_FIELDS_NUM]),
     ]
     return reduce(DataFrame.unionByName, pieces)
 
