@@ -3,7 +3,7 @@
 Every operator reduces the fact with partial (map-side) aggregation before any
 join: category revenue is summed per product first, then joined to the product
 dimension, so the join sees one row per product instead of one per line.
-One-row results are combined with broadcast cross joins (size bound: one row).
+One-row results are combined through scalar subqueries (``DataFrame.scalar()``).
 """
 
 from __future__ import annotations
@@ -31,13 +31,13 @@ def kpi_totals(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
         F.sum("item_total").alias("_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
     )
-    custs = dim_customers.agg(F.count_distinct("customer_id").alias("total_customers"))
+    custs = dim_customers.agg(F.count_distinct("customer_id")).scalar()  # scalar subquery
     revenue = F.coalesce(F.col("_revenue"), F.lit(0).cast(MONEY))
     aov = F.when(F.col("total_orders") > 0, round_div(revenue, F.col("total_orders"))).otherwise(F.lit(0.0))
-    return sales.crossJoin(F.broadcast(custs)).select(
+    return sales.select(
         money_out(revenue).alias("total_revenue"),
         F.col("total_orders").cast("bigint").alias("total_orders"),
-        F.col("total_customers").cast("bigint").alias("total_customers"),
+        custs.cast("bigint").alias("total_customers"),
         aov.cast("double").alias("avg_order_value"),
     )
 

@@ -87,12 +87,12 @@ def payload_document(parts: dict[str, DataFrame], generated_at: str | None = Non
                                                       "quantity", "item_total", "order_date"]]))
         .alias("recent_transactions"))
     stamp = F.lit(generated_at) if generated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    one = m
-    for part in (cat, ms, su, seg, recent):
-        one = one.crossJoin(F.broadcast(part))
-    doc = one.select(F.struct(
-        F.lit(STATUS).alias("status"), stamp.alias("generated_at"), "metrics", "category_sales",
-        "monthly_sales", "monthly_signups", "rfm_segments", "recent_transactions").alias("d"))
+    # Every other part is a one-row aggregate: attach it as a scalar subquery.
+    doc = m.select(F.struct(
+        F.lit(STATUS).alias("status"), stamp.alias("generated_at"), "metrics",
+        cat.scalar().alias("category_sales"), ms.scalar().alias("monthly_sales"),
+        su.scalar().alias("monthly_signups"), seg.scalar().alias("rfm_segments"),
+        recent.scalar().alias("recent_transactions")).alias("d"))
     return doc.select(F.to_json("d").alias("json"))
 
 

@@ -14,7 +14,7 @@ One parameterised operator covers the three rule sets of the reference:
 Per-customer metrics come from one grouped aggregate (partial aggregation, so a
 customer holding a third of all lines is combined map-side); the global ranks
 use the distributed rank of ``ranking``; reference dates are one-row aggregates
-joined by broadcast.
+scalar subqueries.
 """
 
 from __future__ import annotations
@@ -76,10 +76,10 @@ def metrics_elapsed(fact: DataFrame) -> DataFrame:
                F.max("order_date").alias("_last"),
                F.count_distinct("order_id").alias("frequency"),
                F.sum("item_total").alias("monetary")))
-    ref = fact.agg(F.max("order_date").alias("_ref"))
-    return (per.crossJoin(F.broadcast(ref))
+    ref = fact.agg(F.max("order_date")).scalar()  # scalar subquery, evaluated once
+    return (per
             .select("customer_id",
-                    F.timestamp_diff("DAY", F.col("_last"), F.col("_ref")).alias("recency"),
+                    F.timestamp_diff("DAY", F.col("_last"), ref).alias("recency"),
                     F.col("frequency").cast("bigint").alias("frequency"),
                     "monetary")
             .filter(F.col("recency").isNotNull() & F.col("monetary").isNotNull()))
@@ -98,10 +98,10 @@ def metrics_calendar(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("frequency_orders"),
         F.sum("item_total").alias("_spend"))
     dims = dim_customers.groupBy("customer_id", "name", "email").agg(F.count(F.lit(1)).alias("_k"))
-    ref = fact.agg(F.max(day).alias("_ref"))
-    return (per.join(dims, "customer_id").crossJoin(F.broadcast(ref))
+    ref = fact.agg(F.max(day)).scalar()  # scalar subquery, evaluated once
+    return (per.join(dims, "customer_id")
             .select("customer_id", F.col("name").alias("customer_name"), "email",
-                    F.datediff(F.col("_ref"), F.col("_last")).cast("bigint").alias("recency_days"),
+                    F.datediff(ref, F.col("_last")).cast("bigint").alias("recency_days"),
                     F.col("frequency_orders").cast("bigint").alias("frequency_orders"),
                     F.round(F.col("_spend") * F.col("_k"), 2).alias("monetary_spend")))
 

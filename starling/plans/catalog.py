@@ -192,9 +192,9 @@ def q_publish_star(spark, sf_dir):
     paths = wh.publish_star(spark, _star(spark, sf_dir), out)
     back = {n: spark.read.parquet(p) for n, p in paths.items()}
     fact = back["fact_sales"]
-    months = fact.agg(F.count_distinct("order_month").alias("partitions"))
-    return _table_summary(back).join(
-        F.broadcast(months.select(F.lit("fact_sales").alias("table_name"), "partitions")), "table_name", "left")
+    months = fact.agg(F.count_distinct("order_month")).scalar()
+    return _table_summary(back).withColumn(
+        "partitions", F.when(F.col("table_name") == "fact_sales", months))
 
 
 def q_load_star(spark, sf_dir):
@@ -223,12 +223,10 @@ def _upsert_inputs(spark, sf_dir, reduce_keys: bool = True):
               .agg(F.min(F.struct("line_number", "supplier_id", *[c for c in cols if c not in keys])).alias("r"))
               .select(*keys, *[F.col("r")[c].alias(c) for c in cols if c not in keys])
               .select(*cols))
-    ref = F.broadcast(fact.agg(F.max("order_date").alias("_ref")))  # one row
-    target = (firsts.crossJoin(ref)
-              .filter(F.col("order_date") < F.timestamp_add("MONTH", F.lit(-6), F.col("_ref"))).select(*cols))
+    ref = fact.agg(F.max("order_date")).scalar()  # scalar subquery: the latest order
+    target = firsts.filter(F.col("order_date") < F.timestamp_add("MONTH", F.lit(-6), ref))
     base = firsts if reduce_keys else fact.select(*cols)
-    staged = (base.crossJoin(ref)
-              .filter(F.col("order_date") >= F.timestamp_add("MONTH", F.lit(-18), F.col("_ref"))).select(*cols))
+    staged = base.filter(F.col("order_date") >= F.timestamp_add("MONTH", F.lit(-18), ref))
     staged = staged.withColumn("quantity", F.col("quantity") + 1).withColumn(
         "item_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"))
     staged = tb.with_order_totals(staged.drop("order_total")).select(*cols)

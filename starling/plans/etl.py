@@ -62,11 +62,12 @@ class CleanRun:
 
     @cached_property
     def report(self) -> DataFrame:
-        order_counts = cl.order_metrics(self._flagged_orders).crossJoin(F.broadcast(self.orphans)).select(
+        orphans = self.orphans.select(F.struct("*")).scalar()  # one-row scalar subquery
+        order_counts = cl.order_metrics(self._flagged_orders).select(
             "*",
-            F.col("orphan_customer_lines").alias("orphan_customer_lines_dropped"),
-            F.col("orphan_product_lines").alias("orphan_product_lines_dropped"),
-            F.col("kept_lines").alias("final_rows"),
+            orphans["orphan_customer_lines"].alias("orphan_customer_lines_dropped"),
+            orphans["orphan_product_lines"].alias("orphan_product_lines_dropped"),
+            orphans["kept_lines"].alias("final_rows"),
         )
         return reduce(DataFrame.unionByName, [
             _long(self._customers.metrics, "customers", cl.CUSTOMER_METRICS),
