@@ -96,7 +96,7 @@ def write_version(spark: SparkSession, df: DataFrame, table_path: str,
         # A task writes a few partition folders (not every folder), and a large
         # partition value is still spread over several tasks.
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *partition_by, *(sort_by or [])[:1])
+        df = df.repartitionByRange(n, *partition_by, *(sort_by or []))
     writer_df = df.sortWithinPartitions(*((partition_by or []) + (sort_by or []))) if (partition_by or sort_by) else df
     w = writer_df.write.mode("errorifexists")
     if partition_by:
@@ -143,9 +143,10 @@ def publish_star(spark: SparkSession, star: dict[str, DataFrame], out_dir: str,
     """Dimensions sorted by key; the fact partitioned by order date and
     clustered by (customer_id, product_id) inside each partition.
 
-    The fact is range-partitioned on (date, customer_id) before the write, so a
-    date holding a large share of rows is spread over several tasks while each
-    task still writes few partition folders and sorted, prunable files.
+    The fact is range-partitioned on (date, customer, product, order) before the
+    write, so a date or a customer holding a large share of rows is spread over
+    several tasks while each task still writes few partition folders and sorted,
+    prunable files.
     ``fact_grain`` is ``order_day`` for large facts, ``order_month`` for small ones.
     """
     base = out_dir.rstrip("/")
@@ -157,7 +158,9 @@ def publish_star(spark: SparkSession, star: dict[str, DataFrame], out_dir: str,
         paths[name] = p
     fact = _with_partition_cols(star["fact_sales"], [fact_grain])
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fact = (fact.repartitionByRange(n, fact_grain, "customer_id")
+    # Range key goes down to the line (customer, product, order), so even one
+    # customer holding a large share of a month is split over several tasks.
+    fact = (fact.repartitionByRange(n, fact_grain, "customer_id", "product_id", "order_id")
             .sortWithinPartitions(fact_grain, "customer_id", "product_id"))
     p = f"{base}/fact_sales"
     fact.write.mode("errorifexists").partitionBy(fact_grain).parquet(p)
