@@ -36,10 +36,6 @@ STANDARD_DATE = r"^\d{4}-\d{2}-\d{2}$"
 STANDARD_DATETIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _month_number(word: Column) -> Column:
     """Month number of a full or three-letter English month name, any case."""
     keys = {}
@@ -86,7 +82,7 @@ def parse_mixed_datetime(c: Column, hyphen_day_first: bool = False) -> Column:
     """
     t = F.trim(c)
     secs = t.try_cast("bigint")
-    epoch = F.when(secs <= F.lit(MAX_EPOCH_SECONDS), F.timestamp_add("SECOND", secs, _epoch()))
+    epoch = F.when(secs <= F.lit(MAX_EPOCH_SECONDS), from_epoch_seconds(secs))
     return (
         F.when(t.isNull() | (t == "") | F.lower(t).isin(NULL_WORDS), F.lit(None).cast("timestamp_ntz"))
         .when(t.rlike("^[0-9]+$"), epoch)
@@ -94,21 +90,78 @@ def parse_mixed_datetime(c: Column, hyphen_day_first: bool = False) -> Column:
     )
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970-01-01 of a zone-less timestamp, from its fields.
+
+    ``timestamp_diff``/``unix_seconds`` go through the session time zone, where a
+    daylight-saving change would move the result by an hour; this does not.
+    """
+    return (F.unix_date(ts.cast("date")).cast("bigint") * 86400
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
+
+
+def from_epoch_seconds(secs: Column) -> Column:
+    """Zone-less timestamp of whole seconds since 1970-01-01, built from fields
+    (``timestamp_add`` on a zone-less value still resolves through the session
+    time zone and shifts times that fall in a daylight-saving gap)."""
+    day = F.date_from_unix_date(F.floor(secs / 86400).cast("int"))
+    rest = F.pmod(secs, F.lit(86400))
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day),
+                                F.floor(rest / 3600), F.floor(F.pmod(rest, F.lit(3600)) / 60), F.pmod(rest, F.lit(60)))
+
+
+def add_seconds(ts: Column, secs: Column) -> Column:
+    """``ts`` + whole seconds, zone-independent (``ts`` must have no fraction)."""
+    return from_epoch_seconds(epoch_seconds(ts) + secs)
+
+
+def add_months_keep_time(ts: Column, months: int) -> Column:
+    """``ts`` shifted by whole months (day clamped to the month's end), time kept."""
+    d = F.add_months(ts.cast("date"), months)
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.hour(ts), F.minute(ts), F.second(ts))
+
+
+def elapsed_days(start: Column, end: Column) -> Column:
+    """Whole 24-hour days from ``start`` to ``end`` (zone-less, truncated)."""
+    return F.floor((epoch_seconds(end) - epoch_seconds(start)) / 86400).cast("bigint")
+
+
+def truncate_to_second(ts: Column) -> Column:
+    """Drop the fraction of a zone-less timestamp without a time-zone round trip."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+                                F.second(ts))
+
+
 def is_nonstandard(c: Column, pattern: str) -> Column:
     """True when the raw text is not already in the standard layout (NULL counts)."""
     return ~F.coalesce(c.rlike(pattern), F.lit(False))
 
 
+# Rendering goes through the zone-less text form of the value: ``date_format``
+# converts a zone-less timestamp through the session time zone, which moves a
+# time inside a daylight-saving gap by an hour.
+
+def iso_text(c: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a zone-less timestamp (any fraction dropped)."""
+    return F.substring(c.cast("timestamp_ntz").cast("string"), 1, 19)
+
+
 def render_datetime(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return iso_text(c)
+
+
+def render_minutes(c: Column) -> Column:
+    """``yyyy-MM-dd HH:mm``."""
+    return F.substring(iso_text(c), 1, 16)
 
 
 def render_date(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    return c.cast("date").cast("string")
 
 
 def month_key(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM")
+    """``yyyy-MM``."""
+    return F.substring(c.cast("date").cast("string"), 1, 7)
 
 
 def month_number(c: Column) -> Column:

@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import STANDARD_DATE, STANDARD_DATETIME, is_nonstandard, parse_mixed_datetime
+from ..functions.dates import (STANDARD_DATE, STANDARD_DATETIME, is_nonstandard, parse_mixed_datetime,
+                               truncate_to_second)
 from ..functions.values import money, normalize_null_tokens, to_number
 from ..schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
 from ..session import materialize
@@ -135,7 +136,7 @@ def flag_orders(raw: DataFrame, hyphen_day_first: bool = False, reuse: bool = Tr
     Consumed several times (lines, per-order totals joined back, step counts,
     orphan counts); with ``reuse`` it is materialised once.
     """
-    parsed = F.date_trunc("second", parse_mixed_datetime(F.col("order_date"), hyphen_day_first))
+    parsed = truncate_to_second(parse_mixed_datetime(F.col("order_date"), hyphen_day_first))
     g = _exact_dedupe(_prepare(raw, ORDER_COLS), ORDER_COLS, {
         "_parsed": parsed.cast("timestamp_ntz"),
         "_q": to_number(F.col("quantity")),

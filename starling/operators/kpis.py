@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import STANDARD_DATE, STANDARD_DATETIME, is_nonstandard, month_key
+from ..functions.dates import STANDARD_DATE, STANDARD_DATETIME, is_nonstandard, month_key, render_minutes
 from ..functions.values import money_out, normalize_null_tokens, round_div, to_number
 from ..schemas import MONEY
 
@@ -94,7 +94,7 @@ def recent_transactions(fact: DataFrame, dim_products: DataFrame, dim_customers:
         F.coalesce("category", F.lit(DEFAULT_CATEGORY)).alias("category"),
         F.coalesce(F.col("quantity").cast("bigint"), F.lit(DEFAULT_QUANTITY).cast("bigint")).alias("quantity"),
         F.coalesce(F.col("item_total").cast("double"), F.lit(DEFAULT_ITEM_TOTAL)).alias("item_total"),
-        F.coalesce(F.date_format("order_date", "yyyy-MM-dd HH:mm"), F.lit("")).alias("order_date"),
+        F.coalesce(render_minutes(F.col("order_date")), F.lit("")).alias("order_date"),
     )
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import elapsed_days
 from .ranking import add_global_ranks, ntile_from_rank, quantile_bin_from_rank
 
 # Segment labels and rules of each preset, first match wins.
@@ -79,7 +80,7 @@ def metrics_elapsed(fact: DataFrame) -> DataFrame:
     ref = fact.agg(F.max("order_date")).scalar()  # scalar subquery, evaluated once
     return (per
             .select("customer_id",
-                    F.timestamp_diff("DAY", F.col("_last"), ref).alias("recency"),
+                    elapsed_days(F.col("_last"), ref).alias("recency"),
                     F.col("frequency").cast("bigint").alias("frequency"),
                     "monetary")
             .filter(F.col("recency").isNotNull() & F.col("monetary").isNotNull()))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_mixed_datetime, render_date, render_datetime
+from ..functions.dates import add_months_keep_time, parse_mixed_datetime, render_date, render_datetime
 from ..operators import integrity as ig
 from ..operators import kpis, payload, rfm
 from ..operators import warehouse as wh
@@ -217,16 +217,19 @@ def _upsert_inputs(spark, sf_dir, reduce_keys: bool = True):
     keys = ["order_id", "product_id"]
     cols = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "item_total",
             "order_total", "order_date"]
-    # First row per key (lowest line number, then supplier): a min over a struct,
-    # which combines map-side however many rows share a key.
+    # First row per key: a min over a struct, which combines map-side however many
+    # rows share a key.  The order is total (line number, supplier, then every
+    # column), as the driver data repeats (order, line number) pairs.
+    order = ["line_number", "supplier_id", "quantity", "unit_price", "customer_id", "item_total",
+             "order_total", "order_date"]
     firsts = (fact.groupBy(*keys)
-              .agg(F.min(F.struct("line_number", "supplier_id", *[c for c in cols if c not in keys])).alias("r"))
+              .agg(F.min(F.struct(*order)).alias("r"))
               .select(*keys, *[F.col("r")[c].alias(c) for c in cols if c not in keys])
               .select(*cols))
     ref = fact.agg(F.max("order_date")).scalar()  # scalar subquery: the latest order
-    target = firsts.filter(F.col("order_date") < F.timestamp_add("MONTH", F.lit(-6), ref))
+    target = firsts.filter(F.col("order_date") < add_months_keep_time(ref, -6))
     base = firsts if reduce_keys else fact.select(*cols)
-    staged = base.filter(F.col("order_date") >= F.timestamp_add("MONTH", F.lit(-18), ref))
+    staged = base.filter(F.col("order_date") >= add_months_keep_time(ref, -18))
     staged = staged.withColumn("quantity", F.col("quantity") + 1).withColumn(
         "item_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"))
     staged = tb.with_order_totals(staged.drop("order_total")).select(*cols)

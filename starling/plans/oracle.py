@@ -452,7 +452,9 @@ LOAD_STAR = _with(_STAR) + _SUMMARY
 _UPSERT_BASE = """
 firsts AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY order_id, product_id ORDER BY line_number, supplier_id) AS rn
+    SELECT *, row_number() OVER (PARTITION BY order_id, product_id
+                                 ORDER BY line_number, supplier_id, quantity, unit_price, customer_id,
+                                          item_total, order_total, order_date) AS rn
     FROM fact_sales) WHERE rn = 1
 ),
 ref AS (SELECT MAX(order_date) AS ref_ts FROM fact_sales),

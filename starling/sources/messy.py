@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import epoch_seconds, iso_text
 from . import tables as tb
 
 # Noise rules (FIXTURES §4.2 of this repository).
@@ -29,10 +30,6 @@ PRICE_NA_MOD = 211
 PRODUCT_GAP_MOD = 223
 APPENDED_SEQ_BASE = 10_000_000
 
-def _epoch() -> F.Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def _copies(repeat) -> F.Column:
     """[1] for a normal row, [1, 2] for a row that appears twice in the file."""
     return F.when(repeat, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
@@ -104,14 +101,16 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
     o, p = F.col("l_orderkey"), F.col("l_partkey")
     ts = tb.order_timestamp(F.col("o_orderdate"), o)
+    iso = iso_text(ts)  # yyyy-MM-dd HH:mm:ss, zone-free; layouts are cut from it
+    yyyy, mm, dd = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
     k = o % ORDER_DATE_MOD
     order_date = (
-        F.when(k == 0, F.date_format(ts, "MM/dd/yyyy HH:mm"))
-        .when(k == 1, F.date_format(ts, "dd-MM-yyyy HH:mm:ss"))
-        .when(k == 2, F.date_format(ts, "yyyy/MM/dd HH:mm:ss"))
-        .when(k == 3, F.timestamp_diff("SECOND", _epoch(), ts).cast("string"))
+        F.when(k == 0, F.concat_ws("", mm, F.lit("/"), dd, F.lit("/"), yyyy, F.lit(" "), F.substring(iso, 12, 5)))
+        .when(k == 1, F.concat_ws("", dd, F.lit("-"), mm, F.lit("-"), yyyy, F.lit(" "), F.substring(iso, 12, 8)))
+        .when(k == 2, F.translate(iso, "-", "/"))
+        .when(k == 3, epoch_seconds(ts).cast("string"))
         .when(k == 4, F.lit("garbage"))
-        .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(iso)
     )
     h = (o * 7 + p) % QTY_MOD
     quantity = (

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import add_seconds
 from ..functions.values import money
 from ..schemas import MONEY
 
@@ -39,7 +40,7 @@ def signup_date(custkey_col) -> F.Column:
 
 def order_timestamp(orderdate_col, orderkey_col) -> F.Column:
     """Order date plus a per-order second of the day, so orders are not all at midnight."""
-    return F.timestamp_add("SECOND", orderkey_col % SECONDS_PER_DAY, orderdate_col)
+    return add_seconds(orderdate_col, orderkey_col % SECONDS_PER_DAY)
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
