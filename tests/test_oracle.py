@@ -54,3 +54,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 5
     assert df.columns == ["segment", "segment_order", "customers", "revenue"]
+
+
+@pytest.mark.parametrize("name", ["parse_dates", "clean_orders", "rfm_metrics_ts", "recent_transactions",
+                                  "upsert_merge", "monthly_sales"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    """Zone-less timestamps must not move with a daylight-saving session zone."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
