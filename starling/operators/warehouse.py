@@ -87,10 +87,12 @@ def read_current(spark: SparkSession, table_path: str) -> DataFrame | None:
 
 
 def write_version(spark: SparkSession, df: DataFrame, table_path: str,
-                  partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> str:
+                  partition_by: list[str] | None = None, sort_by: list[str] | None = None,
+                  version: int | None = None) -> str:
     """Write ``df`` as the next version folder, then record it in the log (the repoint)."""
-    cur = current_version(spark, table_path)
-    version = (cur[0] + 1) if cur else 1
+    if version is None:
+        cur = current_version(spark, table_path)
+        version = (cur[0] + 1) if cur else 1
     folder = f"{table_path.rstrip('/')}/v{version:06d}"
     if partition_by:
         # A task writes a few partition folders (not every folder), and a large
@@ -111,20 +113,24 @@ def write_version(spark: SparkSession, df: DataFrame, table_path: str,
 
 def upsert_table(spark: SparkSession, table_path: str, staging: DataFrame, keys: list[str],
                  mode: str = "merge", staging_path: str | None = None,
-                 partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
+                 partition_by: list[str] | None = None, sort_by: list[str] | None = None,
+                 new_table: bool = False) -> DataFrame:
     """L1-L4 on a versioned Parquet table; returns the new current version.
 
     L1: staged rows are first written to ``staging_path`` (overwrite), so the merge
-    reads a stable copy.  L2: a missing target is created from the staging schema.
+    reads a stable copy.  L2: a missing target is created from the staging schema
+    (``new_table=True`` says the caller knows it is new: no version lookup).
     """
     if staging_path:
         staging.write.mode("overwrite").parquet(staging_path)
         staging = spark.read.parquet(staging_path)
-    target = read_current(spark, table_path)
+    cur = None if new_table else current_version(spark, table_path)
+    target = spark.read.parquet(cur[1]) if cur else None
     merged = upsert(target, staging, keys, mode)
     if partition_by:
         merged = _with_partition_cols(merged, partition_by)
-    folder = write_version(spark, merged, table_path, partition_by, sort_by)
+    folder = write_version(spark, merged, table_path, partition_by, sort_by,
+                           version=(cur[0] + 1) if cur else 1)
     return spark.read.parquet(folder)
 
 
@@ -177,7 +183,8 @@ def publish_bucketed_fact(spark: SparkSession, fact: DataFrame, path: str, table
 
 
 def load_star(spark: SparkSession, star: dict[str, DataFrame], warehouse_dir: str,
-              mode: str = "replace", scratch_dir: str | None = None) -> dict[str, DataFrame]:
+              mode: str = "replace", scratch_dir: str | None = None,
+              new_warehouse: bool = False) -> dict[str, DataFrame]:
     """Load dimensions first, then the fact; the first failure stops the load."""
     base = warehouse_dir.rstrip("/")
     out = {}
@@ -186,5 +193,6 @@ def load_star(spark: SparkSession, star: dict[str, DataFrame], warehouse_dir: st
         part = ["order_month"] if name == "fact_sales" else None
         out[name] = upsert_table(spark, f"{base}/{name}", star[name], PRIMARY_KEYS[name], mode,
                                  staging_path=staging_path, partition_by=part,
-                                 sort_by=["customer_id", "product_id"] if part else PRIMARY_KEYS[name])
+                                 sort_by=["customer_id", "product_id"] if part else PRIMARY_KEYS[name],
+                                 new_table=new_warehouse)
     return out

@@ -203,7 +203,7 @@ def q_load_star(spark, sf_dir):
     star = _star(spark, sf_dir)
     target = scratch_path(spark, "warehouse")
     scratch = scratch_path(spark, "staging")
-    loaded = wh.load_star(spark, star, target, mode="replace", scratch_dir=scratch)
+    loaded = wh.load_star(spark, star, target, mode="replace", scratch_dir=scratch, new_warehouse=True)
     return _table_summary(loaded)
 
 
@@ -240,7 +240,7 @@ def _upsert_query(spark, sf_dir, mode: str, reduce_keys: bool) -> DataFrame:
     target_df, staged = _upsert_inputs(spark, sf_dir, reduce_keys)
     table = scratch_path(spark, f"fact_{mode}")
     staging_path = scratch_path(spark, f"fact_{mode}_staging")
-    wh.upsert_table(spark, table, target_df, ["order_id", "product_id"], "replace")   # initial load
+    wh.upsert_table(spark, table, target_df, ["order_id", "product_id"], "replace", new_table=True)
     wh.upsert_table(spark, table, staged, ["order_id", "product_id"], mode, staging_path=staging_path)
     return _fact_out(wh.read_current(spark, table))
 
