@@ -100,8 +100,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = tb.read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     lines = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
     o, p = F.col("l_orderkey"), F.col("l_partkey")
-    ts = tb.order_timestamp(F.col("o_orderdate"), o)
-    iso = iso_text(ts)  # yyyy-MM-dd HH:mm:ss, zone-free; layouts are cut from it
+    # The order time and its ISO text are projected once as columns: every layout
+    # below is cut from them, and inlining the expression into each branch would
+    # grow the generated code past what the JIT compiles.
+    lines = lines.withColumn("_ts", tb.order_timestamp(F.col("o_orderdate"), o)).withColumn(
+        "_iso", iso_text(F.col("_ts")))
+    ts, iso = F.col("_ts"), F.col("_iso")  # iso: yyyy-MM-dd HH:mm:ss, zone-free
     yyyy, mm, dd = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
     k = o % ORDER_DATE_MOD
     order_date = (
