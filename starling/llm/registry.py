@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, tokens
+from . import language, mixing, quality_fm, quality_rules, tokens
 from .common import read_table
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.quality_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read_table(spark, sf_dir, "documents"))
 
@@ -21,6 +29,6 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules_digest(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_mix_sources, op7_token_counts, op8_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_language_id, op6_mix_sources, op7_token_counts, op8_quality_rules)}
 
 ORACLE = {"op6_mix_sources": mixing.ORACLE_MIX, "op8_quality_rules": quality_rules.ORACLE_RULES}
