@@ -24,11 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import materialize, word_count
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 SEED = "mix-1"
+#: Largest table of sources that is broadcast.
+BROADCAST_SOURCES = 20_000
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -64,19 +66,24 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: in
     """Every row of ``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_copies``.
 
     Columns of ``docs`` by those names are replaced.  The per-source table is
-    joined back; whether it is small enough to broadcast is Spark's decision
-    from its measured size, and a hot source is split by the adaptive skew join.
+    written first; up to ``BROADCAST_SOURCES`` rows it is broadcast, so the
+    documents are not shuffled; beyond that it is joined by shuffle, where the
+    adaptive skew join splits a hot source.
     """
     names = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
-    base = docs.drop(*names).withColumn("mix_size", word_count(F.col("text")))
-    targets = source_targets(docs.select("source", word_count(F.col("text")).alias("size")), weights, max_repeat)
+    base = docs.drop(*names).withColumns({"mix_size": word_count(F.col("text")),
+                                          "mix_draw": draw(F.col("doc_id"), F.col("text"), seed)})
+    targets = materialize(source_targets(docs.select("source", word_count(F.col("text")).alias("size")), weights, max_repeat),
+                          "mix-targets")
     t = targets.select(F.col("source").alias("mix_s"), F.col("source_size").alias("mix_source_size"),
                        F.col("target").alias("mix_target"))
+    if targets.count() <= BROADCAST_SOURCES:
+        t = F.broadcast(t)
     rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    copies = whole + (draw(F.col("doc_id"), F.col("text"), seed) < rate - whole).cast("bigint")
+    copies = whole + (F.col("mix_draw") < rate - whole).cast("bigint")
     joined = base.join(t, base["source"].eqNullSafe(t["mix_s"])).drop("mix_s")
-    return joined.withColumn("mix_copies", copies)
+    return joined.withColumn("mix_copies", copies).drop("mix_draw")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, quality_fm, quality_rules, tokens
+from . import language, line_dedup, mixing, quality_fm, quality_rules, simhash, tokens
 from .common import read_table
 
 
@@ -16,6 +16,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read_table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules_digest(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_language_id, op6_mix_sources, op7_token_counts, op8_quality_rules)}
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.lines_digest(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_language_id, op5_simhash, op6_mix_sources, op7_token_counts,
+                                  op8_quality_rules, op9_line_dedup)}
 
 ORACLE = {"op6_mix_sources": mixing.ORACLE_MIX, "op8_quality_rules": quality_rules.ORACLE_RULES}
