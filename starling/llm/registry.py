@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, line_dedup, mixing, quality_fm, quality_rules, simhash, tokens
+from . import decontaminate, language, line_dedup, mixing, quality_fm, quality_rules, simhash, tokens
 from .common import read_table
 
 
@@ -37,7 +37,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.lines_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_language_id, op5_simhash, op6_mix_sources, op7_token_counts,
-                                  op8_quality_rules, op9_line_dedup)}
+                                  op8_quality_rules, op9_line_dedup, op10_decontaminate)}
 
 ORACLE = {"op6_mix_sources": mixing.ORACLE_MIX, "op8_quality_rules": quality_rules.ORACLE_RULES}
