@@ -145,14 +145,16 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str | None = None,
     keyed = docs.select("doc_id", content_digest(text).alias("digest"), text.alias("text"))
     digests = materialize(keyed.select("doc_id", "digest", F.octet_length("text").cast("bigint").alias("n_bytes")),
                           "token-digests")
-    stored = read_cache(spark, cache_path, version)
+    stored = materialize(read_cache(spark, cache_path, version), "token-stored")
     # One document stands for all of a missing digest (partial aggregation: a hot digest is one row per task).
     misses = digests.join(stored, "digest", "left_anti").groupBy("digest").agg(F.min("doc_id").alias("rep_id"))
     same = keyed["doc_id"].eqNullSafe(misses["rep_id"]) & (keyed["digest"] == misses["digest"])
     todo = keyed.join(misses.hint("shuffle_hash"), same, "left_semi").select("digest", "text")
     new = todo.mapInArrow(_encoder(tokenizer), "digest binary, n_tokens bigint")
     (new.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path))
-    known = read_cache(spark, cache_path, version)
+    # Written first: both sides of the join are then plain scans, which the adaptive skew join can split
+    # where copies share a digest.
+    known = materialize(read_cache(spark, cache_path, version), "token-known")
     return digests.join(known, "digest").select("doc_id", "n_bytes", "n_tokens",
                                                 (F.col("n_tokens") > limit).alias("over_limit"))
 
