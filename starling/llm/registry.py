@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, line_dedup, mixing, pii, quality_fm, quality_rules, simhash, tokens
+from . import decontaminate, language, line_dedup, mixing, pii, quality_fm, quality_rules, simhash, tokens, wrappers
 from .common import read_table
 
 
@@ -16,6 +16,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.pages_digest(read_table(spark, sf_dir, "pages"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(read_table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_language_id, op4_pii, op5_simhash, op6_mix_sources, op7_token_counts,
+QUERIES = {f.__name__: f for f in (op1_quality_fm, op2_language_id, op3_page_text, op4_pii, op5_simhash, op6_mix_sources, op7_token_counts,
                                   op8_quality_rules, op9_line_dedup, op10_decontaminate)}
 
 ORACLE = {"op6_mix_sources": mixing.ORACLE_MIX, "op8_quality_rules": quality_rules.ORACLE_RULES}
