@@ -50,9 +50,12 @@ BROADCAST_DIGESTS = 1_000_000
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, digest) of every line that is not blank; line_no from 0."""
+    """(doc_id, text_key, line_no, line, digest) of every line that is not blank; line_no from 0.
+
+    ``text_key`` tells the texts of a repeated doc_id apart.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = docs.select("doc_id", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    lines = docs.select("doc_id", F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
     return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("digest", F.unhex(F.md5(F.col("line").cast("binary"))))
 
 
@@ -86,7 +89,7 @@ def _band_keys(hashes: str) -> Column:
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, digest, keys) of every line."""
     lines = line_rows(docs).withColumn("hashes", F.sort_array(shingle_hashes(F.col("line")))).drop("line")
-    return lines.select("doc_id", "line_no", "digest", _band_keys("hashes").alias("keys"))
+    return lines.select("doc_id", "text_key", "line_no", "digest", _band_keys("hashes").alias("keys"))
 
 
 def _similarity(a: Column, b: Column) -> Column:
@@ -99,7 +102,7 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     lines = line_rows(docs)
     if wanted.count() <= BROADCAST_DIGESTS:
         wanted = F.broadcast(wanted)
-    return lines.join(wanted, ["digest", "doc_id", "line_no"]).select("digest", "line").dropDuplicates(["digest"])
+    return lines.join(wanted, ["digest", "doc_id", "text_key", "line_no"]).select("digest", "line").dropDuplicates(["digest"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -128,9 +131,10 @@ def line_classes(docs: DataFrame) -> DataFrame:
     buckets = materialize(buckets, "line-buckets")
     members = materialize(keyed.join(buckets, "key").select("key", "digest", "least").distinct(), "line-members")
     # The first occurrence of each digest in a bucket stands for it where its text is read again.
-    wanted = sig.select("digest", "doc_id", "line_no").join(members.select("digest").distinct(), "digest", "left_semi")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no")).alias("f")
-    wanted = materialize(wanted.groupBy("digest").agg(first).select("digest", "f.doc_id", "f.line_no"), "line-wanted")
+    wanted = sig.select("digest", "doc_id", "text_key", "line_no").join(members.select("digest").distinct(), "digest", "left_semi")
+    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no", "text_key")
+    wanted = materialize(wanted.groupBy("digest").agg(F.min(order).alias("f")).select(
+        "digest", "f.doc_id", "f.text_key", "f.line_no"), "line-wanted")
     texts = materialize(_candidate_lines(docs, wanted), "line-texts")
     star = members.filter(F.col("digest") != F.col("least")).select(F.col("least").alias("a"), F.col("digest").alias("b")).distinct()
     star = materialize(_verified(star, texts), "line-star")
@@ -143,18 +147,18 @@ def line_classes(docs: DataFrame) -> DataFrame:
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = _verified(rest, texts).filter(F.col("similarity") >= SIMILARITY).select("a", "b")
     found = connected_components(links.unionByName(rest), "a", "b")
-    lines = sig.select("doc_id", "line_no", "digest")
+    occurrence = ["doc_id", "text_key", "line_no", "digest"]
+    lines = sig.select(*occurrence)
     lines = lines.join(found, lines["digest"] == found["node"], "left").select(
-        "doc_id", "line_no", "digest", F.coalesce("component", "digest").alias("component"))
+        *occurrence, F.coalesce("component", "digest").alias("component"))
     lines = materialize(lines, "line-components")
     # Keepers: the least occurrence per component, joined back (never a window over a component);
     # written first, so that both sides of the join are plain exchanges, which the adaptive skew join splits.
-    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no")
     keepers = materialize(lines.groupBy("component").agg(F.min(order).alias("k")).select(F.col("component").alias("kc"), "k"),
                           "line-keepers")
-    kept = (F.col("k.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("k.line_no") == F.col("line_no"))
-    return lines.join(keepers, F.col("component") == F.col("kc")).select("doc_id", "line_no", "digest", "component",
-                                                                       kept.alias("kept"))
+    kept = (F.col("k.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("k.line_no") == F.col("line_no"))
+            & (F.col("k.text_key") == F.col("text_key")))
+    return lines.join(keepers, F.col("component") == F.col("kc")).select(*occurrence, "component", kept.alias("kept"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -162,17 +166,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     Of a document's lines the removed ones go; blank lines and the order stay.
     """
-    gone = (line_classes(docs).filter(~F.col("kept")).groupBy(F.col("doc_id").alias("__gone_id"))
+    gone = (line_classes(docs).filter(~F.col("kept")).groupBy(F.col("doc_id").alias("__gone_id"), F.col("text_key").alias("__gone_key"))
             .agg(F.collect_set("line_no").alias("__gone")))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone_id"]), "left")
-    lines = F.split(F.col("text"), "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)
-    out = {"text": text}
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    joined = docs.withColumn("__key", key).join(
+        gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")) & (F.col("__key") == F.col("__gone_key")), "left")
+    joined = joined.withColumn("__lines", F.split(F.col("text"), "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
+    left = F.array_join(F.transform(stay, lambda i: F.get(F.col("__lines"), i)), "\n")
+    joined = joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left))
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(
-            F.length(left).cast(docs.schema["n_chars"].dataType))
-    return joined.withColumns(out).select(*[F.col(f"`{c}`") for c in docs.columns])
+        joined = joined.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(
+            F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def lines_digest(docs: DataFrame) -> DataFrame:
