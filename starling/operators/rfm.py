@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import elapsed_days
+from ..session import materialize
 from .ranking import add_global_ranks, ntile_from_rank, quantile_bin_from_rank
 
 # Segment labels and rules of each preset, first match wins.
@@ -72,13 +73,14 @@ def segment_r(r: Column, f: Column, m: Column) -> Column:
 def metrics_elapsed(fact: DataFrame) -> DataFrame:
     """Per customer in the fact: recency (whole elapsed days to the latest order
     overall), distinct orders, total spend (unrounded)."""
-    per = (fact.filter(F.col("customer_id").isNotNull())
-           .groupBy("customer_id").agg(
-               F.max("order_date").alias("_last"),
-               F.count_distinct("order_id").alias("frequency"),
-               F.sum("item_total").alias("monetary")))
-    ref = fact.agg(F.max("order_date")).scalar()  # scalar subquery, evaluated once
-    return (per
+    # Written once: the per-customer rows and their latest date come from one pass over the
+    # fact (rows without a customer count for the date, as the group of the null customer).
+    per = materialize(fact.groupBy("customer_id").agg(
+        F.max("order_date").alias("_last"),
+        F.count_distinct("order_id").alias("frequency"),
+        F.sum("item_total").alias("monetary")), "rfm_per_customer")
+    ref = per.agg(F.max("_last")).scalar()  # scalar subquery over the per-customer rows
+    return (per.filter(F.col("customer_id").isNotNull())
             .select("customer_id",
                     elapsed_days(F.col("_last"), ref).alias("recency"),
                     F.col("frequency").cast("bigint").alias("frequency"),
@@ -92,15 +94,17 @@ def metrics_calendar(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
     Aggregated per customer *before* the join.  The SQL groups the join by
     (customer_id, name, email); a dimension row repeated k times would multiply
     that group's spend by k, which is reproduced exactly with the row count k.
+    A customer without any dated or without any priced line has no recency or no
+    spend to rank and is left out, as in ``metrics_elapsed``.
     """
     day = F.to_date("order_date")
-    per = fact.groupBy("customer_id").agg(
+    per = materialize(fact.groupBy("customer_id").agg(
         F.max(day).alias("_last"),
         F.count_distinct("order_id").alias("frequency_orders"),
-        F.sum("item_total").alias("_spend"))
+        F.sum("item_total").alias("_spend")), "rfm_per_customer")
     dims = dim_customers.groupBy("customer_id", "name", "email").agg(F.count(F.lit(1)).alias("_k"))
-    ref = fact.agg(F.max(day)).scalar()  # scalar subquery, evaluated once
-    return (per.join(dims, "customer_id")
+    ref = per.agg(F.max("_last")).scalar()  # over all rows of the fact, before the join
+    return (per.filter(F.col("_last").isNotNull() & F.col("_spend").isNotNull()).join(dims, "customer_id")
             .select("customer_id", F.col("name").alias("customer_name"), "email",
                     F.datediff(ref, F.col("_last")).cast("bigint").alias("recency_days"),
                     F.col("frequency_orders").cast("bigint").alias("frequency_orders"),
@@ -125,13 +129,17 @@ def rfm_p(fact: DataFrame) -> DataFrame:
     return s.withColumn("segment", segment_p(F.col("r_score"), F.col("f_score"), F.col("m_score")))
 
 
+def _scored_q(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """Preset Q's metrics and scores, spend still DECIMAL."""
+    return score(metrics_calendar(fact, dim_customers), "recency_days", "frequency_orders", "monetary_spend",
+                 ["customer_id", "customer_name", "email"], method="ntile")
+
+
 def rfm_q(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    """Preset Q, the SQL report's columns."""
-    m = metrics_calendar(fact, dim_customers)
-    s = score(m, "recency_days", "frequency_orders", "monetary_spend",
-              ["customer_id", "customer_name", "email"], method="ntile")
+    """Preset Q, the SQL report's columns and order (largest spend first, then customer)."""
     r, f, mm = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    return s.select(
+    report = _scored_q(fact, dim_customers).orderBy(F.desc("monetary_spend"), "customer_id", "customer_name", "email")
+    return report.select(
         "customer_id", "customer_name", "email", "recency_days", "frequency_orders",
         F.col("monetary_spend").cast("double").alias("monetary_spend"),
         "r_score", "f_score", "m_score",
@@ -167,7 +175,7 @@ def rfm_segments(fact: DataFrame) -> DataFrame:
 
 def rfm_strategy(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Preset R: documented tiers with their strategy, customers and revenue per tier."""
-    q = rfm_q(fact, dim_customers)
+    q = _scored_q(fact, dim_customers)
     tiers = q.withColumn("tier", segment_r(F.col("r_score"), F.col("f_score"), F.col("m_score")))
     counts = tiers.groupBy("tier").agg(F.count(F.lit(1)).alias("_cnt"), F.sum("monetary_spend").alias("_rev"))
     one = tiers.agg(F.count(F.lit(1)).alias("_n"))

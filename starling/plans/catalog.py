@@ -100,6 +100,18 @@ def q_rfm_strategy(spark, sf_dir):
     return rfm.rfm_strategy(s["fact_sales"], s["dim_customers"])
 
 
+def q_rfm_clean_bins(spark, sf_dir):
+    """Preset P over the cleaned fact: a population that is no multiple of five, so bins and NTILE differ."""
+    s = rfm.rfm_p(_clean(spark, sf_dir).fact_sales)
+    return s.select("customer_id", "recency", "frequency", F.col("monetary").cast("double").alias("monetary"),
+                    "r_score", "f_score", "m_score", "segment")
+
+
+def q_rfm_clean_ntile(spark, sf_dir):
+    run = _clean(spark, sf_dir)
+    return rfm.rfm_q(run.fact_sales, run.dim_customers)
+
+
 # ------------------------------------------------------------------ cleaning
 
 def q_parse_dates(spark, sf_dir):
@@ -303,6 +315,8 @@ QUERIES: dict[str, Query] = {
     "rfm_segments": q_rfm_segments,
     "rfm_sql": q_rfm_sql,
     "rfm_strategy": q_rfm_strategy,
+    "rfm_clean_bins": q_rfm_clean_bins,
+    "rfm_clean_ntile": q_rfm_clean_ntile,
     "parse_dates": q_parse_dates,
     "clean_customers": q_clean_customers,
     "clean_products": q_clean_products,

@@ -28,7 +28,6 @@ EMAIL_REUSE_MOD = 40
 EMAIL_REUSE_REST = 7
 PRICE_NA_MOD = 211
 PRODUCT_GAP_MOD = 223
-APPENDED_SEQ_BASE = 10_000_000
 
 def _copies(repeat) -> F.Column:
     """[1] for a normal row, [1, 2] for a row that appears twice in the file."""
@@ -43,8 +42,10 @@ def _money_text(c) -> F.Column:
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = tb.read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     k = F.col("p_partkey")
-    return part.filter(k % PRODUCT_GAP_MOD != 0).select(
-        k.cast("string").alias("product_id"),
+    # A product known to the extract by another code: its row stays, its order lines become orphans.
+    code = F.when(k % PRODUCT_GAP_MOD == 0, F.concat(F.lit("X"), k.cast("string"))).otherwise(k.cast("string"))
+    return part.select(
+        code.alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.when(k % PRICE_NA_MOD == 0, F.lit("n/a")).otherwise(_money_text(F.col("p_retailprice"))).alias("price"),
@@ -91,7 +92,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = F.explode(_copies(F.col("_key") % CUST_DUP_MOD == CUST_DUP_REST)).alias("_copy")
     return base.select("*", copy).select(
         *[c_ for c_ in base.columns if c_ != "_key"],
-        (F.col("_key") + (F.col("_copy") - 1) * APPENDED_SEQ_BASE).alias("_seq"))
+        F.struct("_copy", "_key").alias("_seq"))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
