@@ -8,30 +8,39 @@ are read as UTC.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The accepted layouts.  A value is read only when it matches one
 # of these shapes exactly; anything else is NULL.
-#   yyyy-M-d[ H:mm[:ss[.fraction]]]   yyyy-M-dTH:mm:ss   yyyy/M/d[ H:mm[:ss]]
-#   M/d/yyyy[ H:mm[:ss]]  (d/M/yyyy when the first number cannot be a month)
-#   M-d-yyyy[ H:mm[:ss]]  (d-M-yyyy likewise)
-#   MMMM d, yyyy and MMM d, yyyy (English month names, any case)
+#   yyyy-M-d   yyyy/M/d   yyyy.M.d
+#   M/d/yyyy   M-d-yyyy   M.d.yyyy  (d first when the first number cannot be a month),
+#   each with a two-digit year as well (76-99 are 19xx, 00-75 are 20xx)
+#   d-MMM-yyyy   d MMMM yyyy   MMM d yyyy   MMMM d, yyyy  (English names, any case)
+# each with an optional time after a blank or T: H:mm[:ss[.fraction of 1 to 9 digits]],
+# or with AM or PM behind it.  White space around the value does not count.
 # Ambiguous hyphen and slash dates are read month first (``05-03-2024`` is May
 # 3rd), as the reference does; ``hyphen_day_first`` flips the hyphen reading.
-_TIME = r"( [0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)?"
-ISO_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
-ISO_T_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{2}:[0-9]{2}$"
-YMD_SLASH_RE = r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}" + _TIME + "$"
-SLASH_RE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}" + _TIME + "$"
-HYPHEN_RE = r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}" + _TIME + "$"
-NAMED_RE = r"^([A-Za-z]+) ([0-9]{1,2}), ([0-9]{4})$"
+_TIME = r"((?:[T ][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]{1,6})?)?)?)$"
+YMD_RE = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})" + _TIME
+MDY_RE = r"^([0-9]{1,2})[-/.]([0-9]{1,2})[-/.]([0-9]{4})" + _TIME
+MONTH_FIRST_RE = r"^([A-Za-z]{3,9})\.? ([0-9]{1,2}),? ([0-9]{4})" + _TIME
+DAY_FIRST_RE = r"^([0-9]{1,2})[- ]([A-Za-z]{3,9})[-, ] ?([0-9]{4})" + _TIME
+HALF_DAY_RE = r"[T ](0?[1-9]|1[0-2]):[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)? ?[AaPp][Mm]$"
+HALF_RE = r" ?([AaPp])[Mm]$"
+LONG_FRACTION_RE = r"(:[0-9]{2}\.[0-9]{6})[0-9]{1,3}( ?[AaPp][Mm])?$"
+YEAR_19_RE = r"^([0-9]{1,2}[-/.][0-9]{1,2}[-/.])(7[6-9]|[89][0-9])(?![0-9])"
+YEAR_20_RE = r"^([0-9]{1,2}[-/.][0-9]{1,2}[-/.])([0-6][0-9]|7[0-5])(?![0-9])"
+AROUND_RE = r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$"
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august",
           "september", "october", "november", "december"]
 NULL_WORDS = ["nan", "none", "null"]
 # Largest whole number of seconds that still fits a nanosecond timestamp.
 MAX_EPOCH_SECONDS = 9223372036
 
+# The standard forms.
 STANDARD_DATE = r"^\d{4}-\d{2}-\d{2}$"
 STANDARD_DATETIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
@@ -42,32 +51,60 @@ def _month_number(word: Column) -> Column:
     for i, m in enumerate(MONTHS, start=1):
         keys.setdefault(m, i)
         keys.setdefault(m[:3], i)
+    keys["sept"] = 9
     pairs = [x for k, i in keys.items() for x in (F.lit(k), F.lit(i))]
     return F.element_at(F.create_map(*pairs), F.lower(word))
 
 
+def strip(c: Column) -> Column:
+    """The text without white space of any kind around it (not blanks alone)."""
+    return F.regexp_replace(c, AROUND_RE, "")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it.
+
+    The body runs as a lambda over a one-element array: its many tests of the text stay
+    out of the generated code, which they would otherwise grow past the method limit.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _plain(t: Column) -> Column:
+    """Fractions cut to microseconds and years written with four digits."""
+    t = F.regexp_replace(t, LONG_FRACTION_RE, "$1$2")
+    return F.regexp_replace(F.regexp_replace(t, YEAR_19_RE, "$119$2"), YEAR_20_RE, "$120$2")
+
+
+def _half_day_hours(t: Column, ts: Column) -> Column:
+    """Hours to add to a time read without its AM or PM."""
+    pm = F.lower(F.regexp_extract(t, HALF_RE, 1)) == "p"
+    noon = F.hour(ts) == 12
+    return F.when(pm & ~noon, 12).when(~pm & noon, -12).otherwise(0)
+
+
 def _as_iso(t: Column, hyphen_day_first: bool) -> Column:
     """Rewrite any accepted layout into ``yyyy-M-d[ time]``; NULL for other text."""
-    lead = F.regexp_extract(t, r"^([0-9]{1,2})[-/]", 1)
-    second = F.regexp_extract(t, r"^[0-9]{1,2}[-/]([0-9]{1,2})[-/]", 1)
-    lead_is_month = lead.cast("int") <= 12
-    second_is_month = second.cast("int") <= 12
-    dmy = r"^([0-9]{1,2})[-/]([0-9]{1,2})[-/]([0-9]{4})"
-    month_first = F.regexp_replace(t, dmy, "$3-$1-$2")
-    day_first = F.regexp_replace(t, dmy, "$3-$2-$1")
+    lead_is_month = F.regexp_extract(t, MDY_RE, 1).cast("int") <= 12
+    second_is_month = F.regexp_extract(t, MDY_RE, 2).cast("int") <= 12
+    month_first = F.regexp_replace(t, MDY_RE, "$3-$1-$2$4")
+    day_first = F.regexp_replace(t, MDY_RE, "$3-$2-$1$4")
     # Trying "M-d" and falling back to "d-M" (and the reverse) is the same as
     # choosing by whether the leading (or second) number can be a month.
-    hyphen = (F.when(second_is_month, day_first).otherwise(month_first) if hyphen_day_first
-              else F.when(lead_is_month, month_first).otherwise(day_first))
-    month = _month_number(F.regexp_extract(t, NAMED_RE, 1))
-    named = F.concat_ws("-", F.regexp_extract(t, NAMED_RE, 3), month.cast("string"),
-                        F.regexp_extract(t, NAMED_RE, 2))
+    numeric = F.when(lead_is_month, month_first).otherwise(day_first)
+    if hyphen_day_first:
+        numeric = F.when(t.rlike("^[0-9]{1,2}-"), F.when(second_is_month, day_first).otherwise(month_first)).otherwise(numeric)
+
+    def named(pattern: str, month_at: int, day_at: int) -> Column:
+        month = _month_number(F.regexp_extract(t, pattern, month_at))
+        date = F.concat_ws("-", F.regexp_extract(t, pattern, 3), month.cast("string"), F.regexp_extract(t, pattern, day_at))
+        return F.when(month.isNotNull(), F.concat(date, F.regexp_extract(t, pattern, 4)))
+
     return (
-        F.when(t.rlike(ISO_RE) | t.rlike(ISO_T_RE), t)
-        .when(t.rlike(YMD_SLASH_RE), F.translate(t, "/", "-"))
-        .when(t.rlike(SLASH_RE), F.when(lead_is_month, month_first).otherwise(day_first))
-        .when(t.rlike(HYPHEN_RE), hyphen)
-        .when(t.rlike(NAMED_RE) & month.isNotNull(), named)
+        F.when(t.rlike(YMD_RE), F.regexp_replace(t, YMD_RE, "$1-$2-$3$4"))
+        .when(t.rlike(MDY_RE), numeric)
+        .when(t.rlike(MONTH_FIRST_RE), named(MONTH_FIRST_RE, 1, 2))
+        .when(t.rlike(DAY_FIRST_RE), named(DAY_FIRST_RE, 2, 1))
     )
 
 
@@ -80,14 +117,20 @@ def parse_mixed_datetime(c: Column, hyphen_day_first: bool = False) -> Column:
     cast, which also rejects impossible dates (Feb 30, month 13).  No pattern
     formatter and no exception per row: both dominate the cost otherwise.
     """
-    t = F.trim(c)
-    secs = t.try_cast("bigint")
-    epoch = F.when(secs <= F.lit(MAX_EPOCH_SECONDS), from_epoch_seconds(secs))
-    return (
-        F.when(t.isNull() | (t == "") | F.lower(t).isin(NULL_WORDS), F.lit(None).cast("timestamp_ntz"))
-        .when(t.rlike("^[0-9]+$"), epoch)
-        .otherwise(_as_iso(t, hyphen_day_first).try_cast("timestamp_ntz"))
-    )
+    def read(t: Column) -> Column:
+        return _as_iso(F.regexp_replace(t, HALF_RE, ""), hyphen_day_first).try_cast("timestamp_ntz")
+
+    def dated(t: Column) -> Column:
+        later = _let(read(t), lambda ts: ts + F.make_dt_interval(F.lit(0), _half_day_hours(t, ts)))
+        return F.when(~t.rlike(HALF_RE), read(t)).when(t.rlike(HALF_DAY_RE), later)
+
+    def any_text(t: Column) -> Column:
+        secs = t.try_cast("bigint")
+        epoch = F.when(secs <= F.lit(MAX_EPOCH_SECONDS), from_epoch_seconds(secs))
+        return (F.when(t.isNull() | (t == "") | F.lower(t).isin(NULL_WORDS), F.lit(None).cast("timestamp_ntz"))
+                .when(t.rlike("^[0-9]+$"), epoch).otherwise(_let(_plain(t), dated)))
+
+    return _let(strip(c), any_text)
 
 
 def epoch_seconds(ts: Column) -> Column:

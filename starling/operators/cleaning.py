@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import (STANDARD_DATE, STANDARD_DATETIME, is_nonstandard, parse_mixed_datetime,
+from ..functions.dates import (STANDARD_DATE, STANDARD_DATETIME, is_nonstandard, parse_mixed_datetime, strip,
                                truncate_to_second)
 from ..functions.values import money, normalize_null_tokens, to_number
 from ..schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
@@ -69,7 +69,7 @@ def _email_present(email: Column) -> Column:
 
 
 def _email_missing(email: Column) -> Column:
-    t = F.trim(email)
+    t = strip(email)
     return email.isNull() | (t == "") | (F.lower(t) == "nan")
 
 

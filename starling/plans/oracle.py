@@ -94,7 +94,7 @@ o_distinct AS (
 o_valid AS (
   SELECT ok, pk, ck, q, price, CAST(q * price AS DECIMAL(18,2)) AS item_total,
          SUM(q * price) OVER (PARTITION BY ok) AS order_total,
-         CASE WHEN k = 0 THEN date_trunc('minute', ts)
+         CASE WHEN k IN (0, 5) THEN date_trunc('minute', ts)
               WHEN k = 1 AND day(ts) <= 12
                 THEN make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), second(ts))
               ELSE ts END AS od
@@ -326,6 +326,11 @@ CASE WHEN k = 0 THEN strftime(ts, '%m/%d/%Y %H:%M')
      WHEN k = 2 THEN strftime(ts, '%Y/%m/%d %H:%M:%S')
      WHEN k = 3 THEN CAST(CAST(epoch(ts) AS BIGINT) AS VARCHAR)
      WHEN k = 4 THEN 'garbage'
+     WHEN k = 5 THEN strftime(ts, '%d-%b-%Y %H:%M')
+     WHEN k = 6 THEN strftime(ts, '%B %d, %Y %H:%M:%S')
+     WHEN k = 7 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.123456789'
+     WHEN k = 8 THEN strftime(ts, '%m/%d/%y ') || CAST((hour(ts) + 11) % 12 + 1 AS VARCHAR) || strftime(ts, ':%M:%S %p')
+     WHEN k = 9 THEN chr(9) || strftime(ts, '%Y-%m-%d %H:%M:%S') || chr(9) || ' '
      ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END"""
 
 _SIGNUP_TEXT = """
@@ -340,7 +345,7 @@ PARSE_DATES = _with(_STAR, _RAW) + f"""
 SELECT DISTINCT 'orders' AS source, CAST(ok AS VARCHAR) AS record_id, CAST(pk AS VARCHAR) AS product_id,
        {_ORDER_TEXT} AS raw_text,
        CASE WHEN k = 4 THEN NULL
-            WHEN k = 0 THEN strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S')
+            WHEN k IN (0, 5) THEN strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S')
             WHEN k = 1 AND day(ts) <= 12 THEN strftime(make_timestamp(year(ts), day(ts), month(ts), hour(ts),
                                                       minute(ts), second(ts)), '%Y-%m-%d %H:%M:%S')
             ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS parsed
@@ -398,7 +403,7 @@ cust_counts AS (
 ord_counts AS (
   SELECT (SELECT COUNT(*) FROM o_raw) AS initial_rows,
          (SELECT COUNT(*) FROM o_raw) - (SELECT COUNT(*) FROM o_distinct) AS exact_dups,
-         (SELECT COUNT(*) FROM o_distinct WHERE k IN (0, 1, 2, 3, 4)) AS nonstandard,
+         (SELECT COUNT(*) FROM o_distinct WHERE k < 10) AS nonstandard,
          (SELECT COUNT(*) FROM o_distinct WHERE k = 4) AS unparseable,
          (SELECT COUNT(*) FROM o_distinct WHERE k <> 4 AND NOT (h >= 4 AND g >= 3)) AS invalid
 )
@@ -549,7 +554,7 @@ UNION ALL SELECT 'customers', 'missing_emails',
        (SELECT COUNT(*) FROM c_raw WHERE email IS NULL OR trim(email) = '' OR lower(trim(email)) = 'nan')
 UNION ALL SELECT 'customers', 'nonstandard_dates', (SELECT COUNT(*) FROM c_raw WHERE k IN (0, 1, 2, 3, 4))
 UNION ALL SELECT 'orders', 'duplicate_rows', (SELECT COUNT(*) FROM o_raw) - (SELECT COUNT(*) FROM o_distinct)
-UNION ALL SELECT 'orders', 'nonstandard_dates', (SELECT COUNT(*) FROM o_raw WHERE k IN (0, 1, 2, 3, 4))
+UNION ALL SELECT 'orders', 'nonstandard_dates', (SELECT COUNT(*) FROM o_raw WHERE k < 10)
 UNION ALL SELECT 'orders', 'nonpositive_quantities', (SELECT COUNT(*) FROM o_raw WHERE h IN (0, 1))
 UNION ALL SELECT 'orders', 'nonpositive_prices', (SELECT COUNT(*) FROM o_raw WHERE g IN (0, 1))"""
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import epoch_seconds, iso_text
+from ..functions.dates import MONTHS, epoch_seconds, iso_text
 from . import tables as tb
 
 # Noise rules (FIXTURES §4.2 of this repository).
@@ -109,12 +109,20 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts, iso = F.col("_ts"), F.col("_iso")  # iso: yyyy-MM-dd HH:mm:ss, zone-free
     yyyy, mm, dd = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
     k = o % ORDER_DATE_MOD
+    month_name = F.element_at(F.array(*[F.lit(n.title()) for n in MONTHS]), F.month(ts))
+    half_day = F.when(F.hour(ts) % 12 == 0, 12).otherwise(F.hour(ts) % 12)
     order_date = (
         F.when(k == 0, F.concat_ws("", mm, F.lit("/"), dd, F.lit("/"), yyyy, F.lit(" "), F.substring(iso, 12, 5)))
         .when(k == 1, F.concat_ws("", dd, F.lit("-"), mm, F.lit("-"), yyyy, F.lit(" "), F.substring(iso, 12, 8)))
         .when(k == 2, F.translate(iso, "-", "/"))
         .when(k == 3, epoch_seconds(ts).cast("string"))
         .when(k == 4, F.lit("garbage"))
+        .when(k == 5, F.concat_ws("", dd, F.lit("-"), F.substring(month_name, 1, 3), F.lit("-"), yyyy, F.lit(" "), F.substring(iso, 12, 5)))
+        .when(k == 6, F.concat_ws("", month_name, F.lit(" "), dd, F.lit(", "), yyyy, F.substring(iso, 11, 9)))
+        .when(k == 7, F.concat_ws("", F.substring(iso, 1, 10), F.lit("T"), F.substring(iso, 12, 8), F.lit(".123456789")))
+        .when(k == 8, F.concat_ws("", mm, F.lit("/"), dd, F.lit("/"), F.substring(iso, 3, 2), F.lit(" "),
+                                  half_day.cast("string"), F.substring(iso, 14, 6), F.when(F.hour(ts) < 12, F.lit(" AM")).otherwise(F.lit(" PM"))))
+        .when(k == 9, F.concat_ws("", F.lit("\t"), iso, F.lit("\t ")))
         .otherwise(iso)
     )
     h = (o * 7 + p) % QTY_MOD
