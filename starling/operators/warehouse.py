@@ -1,9 +1,13 @@
 """Publishing and loading the star.
 
-Parquet folders have no MERGE, so an upsert is a plan: target rows whose key is
-not staged (``left_anti``) plus the staged rows, written as a *new version*
-folder; a table's current version is recorded in a small Parquet log next to
-it.  Nothing is overwritten in place while it may still be read.
+Parquet folders have no MERGE, so a table is a log of versions.  A version is a list of
+folders; a small Parquet log next to the data names them and is written last, so a failed
+write leaves the table as it was, and its leftover folder (every attempt has its own) is
+never looked at again.  Nothing is overwritten in place while it may still be read.
+
+An upsert of a partitioned table rewrites only the partitions it touches: those the staged
+rows belong to, and those that hold the staged keys now.  All other folders are carried
+over by name.
 
 Keys are NOT NULL: a null key never matches in an equality join and would be
 appended again on every run, so staged rows with a null key are rejected.
@@ -12,14 +16,27 @@ appended again on every run, so staged rows with a null key are rejected.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_number
-from ..schemas import LOAD_ORDER, PRIMARY_KEYS
+from ..schemas import LOAD_ORDER, NOT_NULL, PRIMARY_KEYS, STAR_SCHEMAS
+from ..session import delete_path, materialize
 
 LOG_DIR = "_versions"
+PART = "_part"
+LOG_SCHEMA = ("version int, partition_by array<string>, parts array<struct<value: string, path: string>>, "
+              "committed_at string")
+# Sort keys of the published tables, behind the date partition for the fact.
+SORT_KEYS = {"dim_customers": ["customer_id"], "dim_products": ["category", "product_id"],
+             "fact_sales": ["order_date", "customer_id", "product_id"]}
+
+
+class SchemaMismatch(ValueError):
+    """Staged columns do not fit the target's."""
 
 
 class KeyViolation(ValueError):
@@ -65,50 +82,96 @@ def upsert(target: DataFrame | None, staging: DataFrame, keys: list[str], mode:
 
 # ---------------------------------------------------------------- versioned tables
 
+class Version(NamedTuple):
+    """One committed version: its number, folders and layout."""
+    version: int
+    paths: list[str]
+    parts: list[tuple[str, str]]
+    partition_by: list[str]
+
+
 def _log_path(table_path: str) -> str:
     return f"{table_path.rstrip('/')}/{LOG_DIR}"
 
 
-def current_version(spark: SparkSession, table_path: str) -> tuple[int, str] | None:
-    """(version, folder) of the latest committed version, or None for a new table."""
+def current_version(spark: SparkSession, table_path: str) -> Version | None:
+    """The latest committed version, or None for a new table."""
     try:
-        row = (spark.read.parquet(_log_path(table_path))
-               .orderBy(F.col("version").desc()).select("version", "path").first())
+        row = spark.read.schema(LOG_SCHEMA).parquet(_log_path(table_path)).orderBy(F.col("version").desc()).first()
     except Exception as exc:  # no log yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER" in str(exc):
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             return None
         raise
-    return (row["version"], row["path"]) if row else None
+    if row is None:
+        return None
+    parts = [(p["value"], p["path"]) for p in row["parts"]]
+    return Version(row["version"], [p for _, p in parts], parts, list(row["partition_by"]))
 
 
 def read_current(spark: SparkSession, table_path: str) -> DataFrame | None:
     cur = current_version(spark, table_path)
-    return spark.read.parquet(cur[1]) if cur else None
+    return spark.read.parquet(*cur.paths) if cur else None
+
+
+def _folders(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(value, folder) of the partitions written under ``path``; names only, no data."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    names = sorted(f.getPath().getName() for f in found if f.isDirectory())
+    return [(n.split("=", 1)[1], f"{path}/{n}") for n in names if n.startswith(f"{PART}=")]
 
 
 def write_version(spark: SparkSession, df: DataFrame, table_path: str,
                   partition_by: list[str] | None = None, sort_by: list[str] | None = None,
-                  version: int | None = None) -> str:
-    """Write ``df`` as the next version folder, then record it in the log (the repoint)."""
+                  version: int | None = None, keep: list[tuple[str, str]] | None = None) -> Version:
+    """Write ``df`` into a folder of this attempt, then record it, and the folders kept
+    from before, as the next version (the repoint)."""
     if version is None:
         cur = current_version(spark, table_path)
-        version = (cur[0] + 1) if cur else 1
-    folder = f"{table_path.rstrip('/')}/v{version:06d}"
-    if partition_by:
-        # A task writes a few partition folders (not every folder), and a large
-        # partition value is still spread over several tasks.
+        version = (cur.version + 1) if cur else 1
+    by = list(partition_by or [])
+    folder = f"{table_path.rstrip('/')}/data/{version:06d}-{uuid.uuid4().hex[:12]}"
+    parts: list[tuple[str, str]] = []
+    if by:
+        # A task writes a few partition folders (not every folder), and a large partition
+        # is still spread over several tasks.  The partition's value also stays a column.
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *partition_by, *(sort_by or []))
-    writer_df = df.sortWithinPartitions(*((partition_by or []) + (sort_by or []))) if (partition_by or sort_by) else df
-    w = writer_df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(folder)
-    log = spark.range(1).select(
-        F.lit(version).alias("version"), F.lit(folder).alias("path"),
-        F.lit(_dt.datetime.now(_dt.timezone.utc).isoformat()).alias("committed_at"))
-    log.write.mode("append").parquet(_log_path(table_path))
-    return folder
+        value = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in by])
+        out = df.withColumn(PART, value)
+        out = out.repartitionByRange(n, PART, *(sort_by or [])).sortWithinPartitions(PART, *(sort_by or []))
+        out.write.partitionBy(PART).parquet(folder)
+        parts = _folders(spark, folder)
+    else:
+        (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(folder)
+        parts = [("", folder)]
+    parts = [*(keep or []), *parts]
+    if not parts:  # no row at all: the columns must still be readable
+        df.limit(0).write.parquet(f"{folder}/empty")
+        parts = [("", f"{folder}/empty")]
+    row = (version, by, parts, _dt.datetime.now(_dt.timezone.utc).isoformat())
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(table_path))
+    return Version(version, [p for _, p in parts], parts, by)
+
+
+def fit_columns(target: DataFrame, staging: DataFrame, keys: list[str], mode: str) -> DataFrame:
+    """Staged rows with the target's columns, in its order.
+
+    A column the staging lacks keeps the target's value for rows that exist (MERGE updates
+    the columns it names) and is NULL otherwise; a column the target lacks, or one of
+    another type, is an error before anything is written.
+    """
+    have, want = dict(staging.dtypes), dict(target.dtypes)
+    extra = [c for c in have if c not in want]
+    wrong = [f"{c}: {have[c]} for {want[c]}" for c in have if c in want and have[c] != want[c]]
+    no_key = [k for k in keys if k not in have]
+    if extra or wrong or no_key:
+        raise SchemaMismatch(f"staging does not fit: unknown columns {extra}, other types {wrong}, missing keys {no_key}")
+    missing = [c for c in want if c not in have]
+    if missing and mode == "merge":
+        staging = staging.join(target.select(*keys, *missing), keys, "left")
+    elif missing:
+        staging = staging.select("*", *[F.lit(None).cast(want[c]).alias(c) for c in missing])
+    return staging.select(*target.columns)
 
 
 def upsert_table(spark: SparkSession, table_path: str, staging: DataFrame, keys: list[str],
@@ -117,21 +180,78 @@ def upsert_table(spark: SparkSession, table_path: str, staging: DataFrame, keys:
                  new_table: bool = False) -> DataFrame:
     """L1-L4 on a versioned Parquet table; returns the new current version.
 
-    L1: staged rows are first written to ``staging_path`` (overwrite), so the merge
-    reads a stable copy.  L2: a missing target is created from the staging schema
-    (``new_table=True`` says the caller knows it is new: no version lookup).
+    L1: staged rows are first written (to ``staging_path``, or beside the table), so their
+    plan runs once and the key check and merge read a stable copy; it is dropped at the
+    end.  L2: a missing target is created from the staging schema (``new_table=True`` says
+    the caller knows it is new: no version lookup).  The layout is the table's own once it
+    exists; ``partition_by`` only counts at its creation.
     """
-    if staging_path:
-        staging.write.mode("overwrite").parquet(staging_path)
-        staging = spark.read.parquet(staging_path)
-    cur = None if new_table else current_version(spark, table_path)
-    target = spark.read.parquet(cur[1]) if cur else None
-    merged = upsert(target, staging, keys, mode)
-    if partition_by:
-        merged = _with_partition_cols(merged, partition_by)
-    folder = write_version(spark, merged, table_path, partition_by, sort_by,
-                           version=(cur[0] + 1) if cur else 1)
-    return spark.read.parquet(folder)
+    if mode not in ("merge", "replace"):
+        raise ValueError(f"unknown upsert mode {mode!r}")
+    copy = staging_path or f"{table_path.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}"
+    try:
+        cur = None if new_table else current_version(spark, table_path)
+        by = cur.partition_by if cur else list(partition_by or [])
+        target = spark.read.parquet(*cur.paths) if cur else None
+        staged = _with_partition_cols(staging, by) if by else staging
+        if target is not None:
+            staged = fit_columns(target, staged, keys, mode)
+            if by:  # kept columns may have moved a row's date
+                staged = _with_partition_cols(staged.drop(*[c for c in by if c in DERIVED_PARTS]), by).select(*target.columns)
+        staged.write.mode("overwrite").parquet(copy)
+        staged = spark.read.parquet(copy)
+        check_staging(staged, keys, unique=(mode == "merge"))
+        if target is None:
+            done = write_version(spark, staged, table_path, by, sort_by, version=1)
+        elif by:
+            done = _upsert_partitions(spark, table_path, cur, target, staged, keys, sort_by)
+        else:
+            done = write_version(spark, merge_plan(target, staged, keys), table_path, by, sort_by, version=cur.version + 1)
+    finally:
+        delete_path(spark, copy)
+    return spark.read.parquet(*done.paths)
+
+
+def _upsert_partitions(spark: SparkSession, table_path: str, cur: Version, target: DataFrame, staged: DataFrame,
+                       keys: list[str], sort_by: list[str] | None) -> Version:
+    """Rewrite the partitions the staged rows come from and go to; carry the others over."""
+    value = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cur.partition_by])
+    moved = target.select(*keys, *[c for c in cur.partition_by if c not in keys]).join(
+        staged.select(*keys).distinct(), keys, "left_semi").select(value.alias("v"))
+    # At most one row per partition reaches the driver.
+    touched = {r["v"] for r in moved.union(staged.select(value.alias("v"))).distinct().collect()}
+    old = [p for v, p in cur.parts if v in touched or v == ""]
+    keep = [(v, p) for v, p in cur.parts if v not in touched and v != ""]
+    before = spark.read.parquet(*old) if old else None
+    return write_version(spark, merge_plan(before, staged, keys), table_path, cur.partition_by, sort_by,
+                         version=cur.version + 1, keep=keep)
+
+
+def drop_old_versions(spark: SparkSession, table_path: str) -> list[str]:
+    """Delete the data folders that the current version does not name (older versions and
+    leftovers of failed writes); for times when nobody reads an older version."""
+    cur = current_version(spark, table_path)
+    if cur is None:
+        return []
+    base = f"{table_path.rstrip('/')}/data"
+    p = spark._jvm.org.apache.hadoop.fs.Path(base)
+    gone = []
+    for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p):
+        folder = f"{base}/{f.getPath().getName()}"
+        inside = [x for x in cur.paths if x == folder or x.startswith(folder + "/")]
+        if not inside:
+            delete_path(spark, folder)
+            gone.append(folder)
+        elif folder not in cur.paths:
+            for _, part in _folders(spark, folder):
+                if part not in cur.paths:
+                    delete_path(spark, part)
+                    gone.append(part)
+    return gone
+
+
+# Partition columns that follow from the order date.
+DERIVED_PARTS = ("order_month", "order_day")
 
 
 def _with_partition_cols(df: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -145,35 +265,50 @@ def _with_partition_cols(df: DataFrame, partition_by: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- publishing
 
 def publish_star(spark: SparkSession, star: dict[str, DataFrame], out_dir: str,
-                 fact_grain: str = "order_month") -> dict[str, str]:
-    """Dimensions sorted by key; the fact partitioned by order date and
-    clustered by (customer_id, product_id) inside each partition.
-
-    The fact is range-partitioned on (date, customer, product, order) before the
-    write, so a date or a customer holding a large share of rows is spread over
-    several tasks while each task still writes few partition folders and sorted,
-    prunable files.
+                 fact_grain: str = "order_month", overwrite: bool = False) -> dict[str, str]:
+    """Each table range-partitioned and sorted by its sort key; the fact
+    partitioned by order date, and by (order_date, customer_id, product_id) inside.
+
+    The fact's plan runs once, into a scratch copy: the range partitioning samples its
+    input before it writes it.  The range key goes down to the line, so a date or a
+    customer holding a large share of rows is spread over several tasks while each task
+    still writes few partition folders and sorted, prunable files.  Columns are checked
+    before the write, NOT NULL and the dimensions' keys on the written files.
     ``fact_grain`` is ``order_day`` for large facts, ``order_month`` for small ones.
     """
     base = out_dir.rstrip("/")
-    paths = {}
-    for name in ("dim_customers", "dim_products"):
-        key = PRIMARY_KEYS[name][0]
-        p = f"{base}/{name}"
-        star[name].sortWithinPartitions(key).write.mode("errorifexists").parquet(p)
-        paths[name] = p
-    fact = _with_partition_cols(star["fact_sales"], [fact_grain])
+    mode = "overwrite" if overwrite else "errorifexists"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Range key goes down to the line (customer, product, order), so even one
-    # customer holding a large share of a month is split over several tasks.
-    fact = (fact.repartitionByRange(n, fact_grain, "customer_id", "product_id", "order_id")
-            .sortWithinPartitions(fact_grain, "customer_id", "product_id"))
-    p = f"{base}/fact_sales"
-    fact.write.mode("errorifexists").partitionBy(fact_grain).parquet(p)
-    paths["fact_sales"] = p
+    for name in LOAD_ORDER:
+        missing = [c for c in STAR_SCHEMAS[name].fieldNames() if c not in star[name].columns]
+        if missing:
+            raise SchemaMismatch(f"{name}: columns {missing} are missing")
+    paths = {name: f"{base}/{name}" for name in LOAD_ORDER}
+    for name in ("dim_customers", "dim_products"):
+        key = SORT_KEYS[name]
+        rows = materialize(star[name], f"publish_{name}")
+        rows.repartitionByRange(n, *key).sortWithinPartitions(*key).write.mode(mode).parquet(paths[name])
+    fact = materialize(_with_partition_cols(star["fact_sales"], [fact_grain]), "publish_fact")
+    fact = (fact.repartitionByRange(n, fact_grain, *SORT_KEYS["fact_sales"], "order_id")
+            .sortWithinPartitions(fact_grain, *SORT_KEYS["fact_sales"]))
+    fact.write.mode(mode).partitionBy(fact_grain).parquet(paths["fact_sales"])
+    check_published(spark, paths)
     return paths
 
 
+def check_published(spark: SparkSession, paths: dict[str, str]) -> None:
+    """L6 on the written files: NOT NULL columns everywhere, unique keys in the dimensions."""
+    for name, path in paths.items():
+        table = spark.read.parquet(path)
+        nulls = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL[name]]).first().asDict()
+        if any(nulls.values()):
+            raise KeyViolation(f"{name}: NULLs in NOT NULL columns {[c for c, k in nulls.items() if k]}")
+        if name != "fact_sales":
+            repeated = table.groupBy(*PRIMARY_KEYS[name]).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            if not repeated.isEmpty():
+                raise KeyViolation(f"{name}: the key {PRIMARY_KEYS[name]} repeats")
+
+
 def publish_bucketed_fact(spark: SparkSession, fact: DataFrame, path: str, table: str,
                           buckets: int, key: str = "customer_id") -> None:
     """Distribute the fact by ``key`` into buckets and sort each bucket, so joins
@@ -192,7 +327,6 @@ def load_star(spark: SparkSession, star: dict[str, DataFrame], warehouse_dir: st
         staging_path = f"{scratch_dir.rstrip('/')}/{name}_staging" if scratch_dir else None
         part = ["order_month"] if name == "fact_sales" else None
         out[name] = upsert_table(spark, f"{base}/{name}", star[name], PRIMARY_KEYS[name], mode,
-                                 staging_path=staging_path, partition_by=part,
-                                 sort_by=["customer_id", "product_id"] if part else PRIMARY_KEYS[name],
+                                 staging_path=staging_path, partition_by=part, sort_by=SORT_KEYS[name],
                                  new_table=new_warehouse)
     return out

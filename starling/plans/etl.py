@@ -93,9 +93,9 @@ def clean(raw: dict[str, DataFrame], hyphen_day_first: bool = False) -> CleanRun
 
 
 def ensure_star(spark, raw_dir: str, star_dir: str, hyphen_day_first: bool = False) -> dict[str, DataFrame]:
-    """Read the published star; when it is absent, build it from the raw CSV
-    extracts (S1 -> cleaning -> publish) first.  A missing raw table stops with
-    its name (S6)."""
+    """Read the published star; when any of its tables is absent, build all of it from
+    the raw CSV extracts (S1 -> cleaning -> publish) first, over what a broken build left.
+    A missing raw table stops with its name (S6)."""
     from ..operators.warehouse import publish_star
     from ..sources.raw import read_raw_tables
 
@@ -103,9 +103,9 @@ def ensure_star(spark, raw_dir: str, star_dir: str, hyphen_day_first: bool = Fal
     names = ["dim_customers", "dim_products", "fact_sales"]
     try:
         return {n: spark.read.parquet(f"{base}/{n}") for n in names}
-    except Exception as exc:  # AnalysisException PATH_NOT_FOUND: build it
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+    except Exception as exc:  # AnalysisException: a table is absent, or its folder holds no finished file
+        if not any(x in str(exc) for x in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
             raise
     run = clean(read_raw_tables(spark, raw_dir), hyphen_day_first)
-    paths = publish_star(spark, run.star(), base)
+    paths = publish_star(spark, run.star(), base, overwrite=True)
     return {n: spark.read.parquet(paths[n]) for n in names}

@@ -375,6 +375,10 @@ CLEAN_ORDERS = _with(_STAR, _RAW) + _FACT_COLS + "\nFROM o_valid"
 
 FACT_SALES = _with(_STAR, _RAW) + _FACT_COLS + "\nFROM o_fact"
 
+CLEAN_FROM_CSV = _with(_STAR, _RAW) + _FACT_COLS + """,
+       c_name || ' "the' || chr(10) || '2nd", ' || CAST(ck AS VARCHAR) AS customer_name
+FROM o_fact JOIN (SELECT ck, c_name FROM c_clean) USING (ck)"""
+
 ORDER_TOTALS = _with(_STAR, _RAW) + """
 SELECT CAST(ok AS VARCHAR) AS order_id, CAST(ROUND(MAX(order_total), 2) AS DOUBLE) AS order_total,
        CAST(SUM(item_total) AS DOUBLE) AS sum_item_totals, COUNT(*) AS lines
@@ -604,6 +608,7 @@ ORACLE: dict[str, str] = {
     "fact_sales": FACT_SALES,
     "orphan_counts": ORPHAN_COUNTS,
     "cleaning_summary": CLEANING_SUMMARY,
+    "clean_from_csv": CLEAN_FROM_CSV,
     "pk_violations": PK_VIOLATIONS,
     "null_violations": NULL_VIOLATIONS,
     "fk_violations": FK_VIOLATIONS,

@@ -51,9 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The reliable checkpoint folder of this session, set up on first use.
 
     Order: an already-set checkpoint dir, then ``spark.checkpoint.dir`` from the
-    session conf.  Only when neither exists do we choose one: a fresh temporary
-    folder in local mode (one machine, nothing to share), otherwise a folder
-    under the warehouse directory, which a cluster keeps on shared storage.
+    session conf.  Only in local mode (one machine, nothing to share) is a fresh
+    temporary folder chosen when neither exists; on a cluster a missing setting is
+    an error, as a machine-local folder would not be seen by the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,15 +62,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if sc.master.startswith("local"):
-            configured = tempfile.mkdtemp(prefix="starling-ckpt-")
-        else:
-            wh = spark.conf.get("spark.sql.warehouse.dir")
-            configured = wh.rstrip("/") + "/_starling_checkpoints"
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="starling-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table written under this session's checkpoint root.
+
+    For use between batches, once their results are written: a frame that still
+    reads one of the tables cannot be read any more.
+    """
+    delete_path(spark, f"{checkpoint_root(spark).rstrip('/')}/tables")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder path (not created) under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")

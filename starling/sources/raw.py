@@ -34,18 +34,46 @@ def file_order_seq() -> F.Column:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table: str = "") -> DataFrame:
-    """Header CSV -> all-string frame + ``_seq``; a missing path fails with the table name."""
+def _csv_reader(spark: SparkSession, multi_line: bool):
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def _read_by_name(spark: SparkSession, path: str, expected: T.StructType, table: str, multi_line: bool) -> DataFrame:
+    """All-string columns of a header CSV, chosen by the header's names, not by place.
+
+    The header names the columns (and every further file must have the same header);
+    doubled quotes and, with ``multi_line``, newlines inside quotes belong to the value.
+    A row with too many or too few values stops the read (``FAILFAST``): it would
+    otherwise shift or lose columns silently.
+    """
     try:
-        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .csv(path))
-        df = df.select(*schema.fieldNames(), file_order_seq().alias("_seq"))
-        df.schema  # noqa: B018 - resolve now so a missing path fails here
+        header = _csv_reader(spark, multi_line).csv(path).schema
     except Exception as exc:  # AnalysisException: PATH_NOT_FOUND
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             raise MissingInputError(f"required input table '{table or path}' not found at {path}") from exc
         raise
+    strings = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields])
+    check_schema_names(strings, expected, table or path)
+    # Without column pruning: a row is malformed by its number of values, whichever columns are asked for.
+    return (_csv_reader(spark, multi_line).schema(strings).option("enforceSchema", False).option("mode", "FAILFAST")
+            .option("columnPruning", False).csv(path))
+
+
+def check_schema_names(have: T.StructType, expected: T.StructType, table: str) -> None:
+    missing = [n for n in expected.fieldNames() if n not in have.fieldNames()]
+    if missing:
+        raise ValueError(f"{table}: columns {missing} are not in the header {have.fieldNames()}")
+
+
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table: str = "", multi_line: bool = True) -> DataFrame:
+    """Header CSV -> all-string frame + ``_seq``; a missing path fails with the table name.
+
+    ``multi_line=False`` lets Spark split large files, for extracts known to have no
+    newline inside a value; with it a file is one task (extracts come in many files).
+    """
+    df = _read_by_name(spark, path, schema, table, multi_line)
+    df = df.select(*schema.fieldNames(), file_order_seq().alias("_seq"))
     return normalize_null_tokens(df, schema.fieldNames())
 
 
@@ -61,8 +89,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
     The writer trims values by default; a value such as two blanks must survive
     the round trip (it is a distinct, non-missing email to the cleaning rules).
+    Quotes are doubled, as in the usual CSV.
     """
-    (df.write.mode(mode).option("header", True)
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
@@ -76,13 +105,18 @@ def check_schema(df: DataFrame, expected: T.StructType, table: str) -> None:
         raise ValueError(f"{table}: schema contract broken; missing={missing} wrong_type={wrong}")
 
 
-def read_flat_sales(spark: SparkSession, path: str) -> DataFrame:
-    """Flat denormalised sales file (S5), explicit schema, typed by ``try_cast``."""
-    df = normalize_null_tokens(spark.read.schema(RAW_FLAT).option("header", True).csv(path))
+def read_flat_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Flat denormalised sales file (S5), columns by name, typed by ``try_cast``.
+
+    The time is cast zone-less at once: reading it through the session zone would move
+    times inside a daylight-saving gap.
+    """
+    raw = _read_by_name(spark, path, RAW_FLAT, "flat sales", multi_line)
+    df = normalize_null_tokens(raw.select(*RAW_FLAT.fieldNames()))
     return df.select(
         "order_id", "customer_name", "product_name", "category",
         F.col("quantity").try_cast("decimal(18,4)").alias("quantity"),
         F.col("unit_price").try_cast("decimal(18,4)").alias("unit_price"),
         F.col("item_total").try_cast("decimal(18,4)").alias("item_total"),
-        F.try_to_timestamp(F.col("order_date")).cast("timestamp_ntz").alias("order_date"),
+        F.col("order_date").try_cast("timestamp_ntz").alias("order_date"),
     )

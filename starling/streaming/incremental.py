@@ -16,6 +16,8 @@ the stream.  An order is expected to arrive whole within one micro-batch
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,22 +29,33 @@ from ..schemas import PRIMARY_KEYS, RAW_ORDERS
 
 
 def order_stream(spark: SparkSession, source_dir: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(RAW_ORDERS).option("header", True)
+    reader = (spark.readStream.schema(RAW_ORDERS).option("header", True).option("enforceSchema", False)
+              .option("quote", '"').option("escape", '"')
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return normalize_null_tokens(reader.csv(source_dir), RAW_ORDERS.fieldNames())
 
 
+#: A dimension by path or by a function gives its state when a batch runs; a DataFrame the files it was made from.
+Dimension = DataFrame | str | Callable[[], DataFrame]
+
+
+def _current(spark: SparkSession, dimension: Dimension) -> DataFrame:
+    if isinstance(dimension, str):
+        return spark.read.parquet(dimension)
+    return dimension() if callable(dimension) else dimension
+
+
 def start_incremental_load(spark: SparkSession, source_dir: str, fact_path: str,
-                           dim_customers: DataFrame, dim_products: DataFrame, checkpoint_location: str,
+                           dim_customers: Dimension, dim_products: Dimension, checkpoint_location: str,
                            available_now: bool = True, files_per_batch: int | None = None,
                            hyphen_day_first: bool = False) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops."""
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         flagged = cl.flag_orders(batch, hyphen_day_first, reuse=True)
-        lines = ig.referential_filter(cl.order_lines(flagged), dim_customers, dim_products)
+        lines = ig.referential_filter(cl.order_lines(flagged), _current(spark, dim_customers), _current(spark, dim_products))
         wh.upsert_table(spark, fact_path, lines, PRIMARY_KEYS["fact_sales"], mode="replace")
 
     writer = (order_stream(spark, source_dir, files_per_batch).writeStream
