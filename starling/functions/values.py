@@ -27,7 +27,7 @@ def normalize_null_tokens(df: DataFrame, columns: list[str] | None = None) -> Da
 
 
 def to_number(c: Column) -> Column:
-    """Text -> DECIMAL(18,4); anything that is not a plain number becomes NULL.
+    """Text -> DECIMAL(24,4); anything that is not a plain number becomes NULL.
 
     ``try_cast`` to decimal refuses ``NaN``/``inf``/``1.0d`` (a double cast would
     accept ``1.0d``), so bad input falls out as NULL exactly like a coerced parse.
@@ -36,7 +36,7 @@ def to_number(c: Column) -> Column:
 
 
 def money(c: Column) -> Column:
-    """Round half-up to cents and store as DECIMAL(18,2)."""
+    """Round half-up to cents and store as DECIMAL(24,2)."""
     return F.round(c, 2).cast(MONEY)
 
 

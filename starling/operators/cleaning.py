@@ -86,6 +86,8 @@ def flag_customers(raw: DataFrame, hyphen_day_first: bool = False, reuse: bool =
     email = F.col("email")
     # First row in file order per email; rows without an email are exempt.
     firsts = g.filter(_email_present(email)).groupBy("email").agg(F.min("_seq").alias("_first_seq"))
+    if reuse:  # both sides of the join are then plain exchanges, which the adaptive skew join splits
+        firsts = materialize(firsts, "email_firsts")
     f = g.join(firsts, "email", "left")
     crm = _email_present(email) & (F.col("_seq") != F.col("_first_seq"))
     missing = ~crm & _email_missing(email)
@@ -158,15 +160,16 @@ def order_lines(flagged: DataFrame) -> DataFrame:
 
     order_total sums the *unrounded* line totals of the order and is taken here,
     before orphan lines go, so it can exceed the sum of the lines finally kept.
+    Quantity and price keep the values the totals are made of (2.5 pieces stay 2.5).
     """
     lines = flagged.filter(F.col("_parsed").isNotNull() & F.col("_valid_amount")).select(
         "order_id", "customer_id", "product_id",
-        F.col("_q").try_cast("int").alias("quantity"),
-        money(F.col("_p")).alias("unit_price"),
+        F.col("_q").alias("quantity"),
+        F.col("_p").alias("unit_price"),
         (F.col("_q") * F.col("_p")).alias("_item_raw"),
         F.col("_parsed").alias("order_date"),
     )
-    return with_order_totals(lines, "_item_raw").select(
+    return with_order_totals(lines, "_item_raw", split_hot=True).select(
         "order_id", "customer_id", "product_id", "quantity", "unit_price",
         money(F.col("_item_raw")).alias("item_total"), "order_total", "order_date")
 

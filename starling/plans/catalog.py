@@ -17,6 +17,7 @@ from ..functions.dates import add_months_keep_time, parse_mixed_datetime, render
 from ..operators import integrity as ig
 from ..operators import kpis, payload, rfm
 from ..operators import warehouse as wh
+from ..schemas import MONEY
 from ..session import materialize, scratch_path
 from ..sources import messy
 from ..sources import raw as rw
@@ -221,7 +222,7 @@ def _table_summary(tables: dict[str, DataFrame]) -> DataFrame:
 
 def q_publish_star(spark, sf_dir):
     out = scratch_path(spark, "star")
-    paths = wh.publish_star(spark, _star(spark, sf_dir), out)
+    paths = wh.publish_star(spark, tb.star(spark, sf_dir, written=True), out)
     back = {n: spark.read.parquet(p) for n, p in paths.items()}
     fact = back["fact_sales"]
     months = fact.agg(F.count_distinct("order_month")).scalar()
@@ -232,7 +233,7 @@ def q_publish_star(spark, sf_dir):
 def q_load_star(spark, sf_dir):
     """Ordered load (dimensions, then the fact) into a fresh warehouse folder
     through staging and the delete-insert upsert; re-running it is a no-op (tested)."""
-    star = _star(spark, sf_dir)
+    star = tb.star(spark, sf_dir, written=True)
     target = scratch_path(spark, "warehouse")
     scratch = scratch_path(spark, "staging")
     loaded = wh.load_star(spark, star, target, mode="replace", scratch_dir=scratch, new_warehouse=True)
@@ -246,7 +247,7 @@ def _upsert_inputs(spark, sf_dir, reduce_keys: bool = True):
     recomputed (one row per key for MERGE, all rows for delete-insert).  Staged
     keys older than the cut update the target; newer ones are inserts."""
     # Both sides and the latest order read one copy of the fact.
-    fact = materialize(tb.fact_sales(spark, sf_dir, extended=True), "upsert_source")
+    fact = materialize(tb.fact_sales(spark, sf_dir, extended=True, written=True), "upsert_source")
     keys = ["order_id", "product_id"]
     cols = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "item_total",
             "order_total", "order_date"]
@@ -264,8 +265,8 @@ def _upsert_inputs(spark, sf_dir, reduce_keys: bool = True):
     base = firsts if reduce_keys else fact.select(*cols)
     staged = base.filter(F.col("order_date") >= add_months_keep_time(ref, -18))
     staged = staged.withColumn("quantity", F.col("quantity") + 1).withColumn(
-        "item_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"))
-    staged = tb.with_order_totals(staged.drop("order_total")).select(*cols)
+        "item_total", (F.col("quantity") * F.col("unit_price")).cast(MONEY))
+    staged = tb.with_order_totals(staged.drop("order_total"), split_hot=True).select(*cols)
     return target, staged
 
 
@@ -322,10 +323,36 @@ def q_dashboard_payload(spark, sf_dir):
     """Six parts over one star; the fact is materialised once because every
     part reads it (instead of re-running the lineitem/orders/part joins per part)."""
     star = _star(spark, sf_dir)
-    star["fact_sales"] = materialize(star["fact_sales"], "payload_fact")
+    used = ["order_id", "customer_id", "product_id", "quantity", "item_total", "order_date"]
+    star["fact_sales"] = materialize(star["fact_sales"].select(*used), "payload_fact")
     return payload.payload_flat(payload.payload_parts(star))
 
 
+def q_dashboard_document(spark, sf_dir):
+    """The nested document, as its parts in JSON text (the time of writing left out)."""
+    star = _star(spark, sf_dir)
+    used = ["order_id", "customer_id", "product_id", "quantity", "item_total", "order_date"]
+    star["fact_sales"] = materialize(star["fact_sales"].select(*used), "document_fact")
+    path = scratch_path(spark, "document")
+    payload.write_payload(payload.payload_document(payload.payload_parts(star), generated_at="now"), path)
+    doc = spark.read.text(path)
+    parts = ["$.status", "$.metrics.total_revenue", "$.metrics.total_orders", "$.metrics.total_customers", "$.metrics.avg_order_value"]
+    number = [F.get_json_object("value", p).alias(p.split(".")[-1]) for p in parts]
+    table = "map<string,double>"
+    segments = "map<string,struct<count:bigint,revenue:double>>"
+    row = doc.select(*number[:1], *[c.cast("double").alias(p.split(".")[-1]) for c, p in zip(number[1:], parts[1:])],
+                     F.from_json(F.get_json_object("value", "$.category_sales"), table).alias("categories"),
+                     F.from_json(F.get_json_object("value", "$.monthly_sales"), table).alias("months"),
+                     F.from_json(F.get_json_object("value", "$.rfm_segments"), segments).alias("segments"),
+                     F.get_json_object("value", "$.recent_transactions[0].order_id").alias("latest_order"),
+                     F.get_json_object("value", "$.recent_transactions[9].order_id").alias("tenth_order"))
+    base = row.select("status", "total_revenue", "total_orders", "total_customers", "avg_order_value", "latest_order", "tenth_order",
+                      F.size("categories").cast("bigint").alias("categories"), F.size("months").cast("bigint").alias("months"),
+                      F.explode(F.map_entries("segments")).alias("e"))
+    return base.select("*", F.col("e.key").alias("segment"), F.col("e.value.count").alias("segment_customers"),
+                       F.col("e.value.revenue").alias("segment_revenue")).drop("e")
+
+
 QUERIES: dict[str, Query] = {
     "kpi_totals": q_kpi_totals,
     "category_sales": q_category_sales,
@@ -359,4 +386,5 @@ QUERIES: dict[str, Query] = {
     "seasonality_share": q_seasonality_share,
     "messiness_profile": q_messiness_profile,
     "dashboard_payload": q_dashboard_payload,
+    "dashboard_document": q_dashboard_document,
 }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning as cl
 from ..operators import integrity as ig
+from ..session import materialize
 
 
 class CleanRun:
@@ -49,8 +50,9 @@ class CleanRun:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        """Valid lines before the referential filter."""
-        return cl.order_lines(self._flagged_orders)
+        """Valid lines before the referential filter, written once: the key filter, the
+        orphan counts and the key checks all read them."""
+        return materialize(cl.order_lines(self._flagged_orders), "order_lines")
 
     @cached_property
     def fact_sales(self) -> DataFrame:

@@ -586,6 +586,18 @@ UNION ALL SELECT 'recent_transactions', position || '.order_date', NULL, order_d
 UNION ALL SELECT 'recent_transactions', position || '.quantity', CAST(quantity AS DOUBLE), NULL FROM recent
 UNION ALL SELECT 'recent_transactions', position || '.item_total', item_total, NULL FROM recent"""
 
+DASHBOARD_DOCUMENT = _with(_STAR, _RECENT, _RFM_P) + f"""
+SELECT 'success' AS status, (SELECT CAST(SUM(item_total) AS DOUBLE) FROM fact_sales) AS total_revenue,
+       (SELECT CAST(COUNT(DISTINCT order_id) AS DOUBLE) FROM fact_sales) AS total_orders,
+       (SELECT CAST(COUNT(DISTINCT customer_id) AS DOUBLE) FROM dim_customers) AS total_customers,
+       (SELECT {_half_up('SUM(item_total) * 100', 'COUNT(DISTINCT order_id)')} FROM fact_sales) AS avg_order_value,
+       (SELECT order_id FROM recent WHERE position = 0) AS latest_order,
+       (SELECT order_id FROM recent WHERE position = 9) AS tenth_order,
+       (SELECT COUNT(DISTINCT p.category) FROM fact_sales f JOIN dim_products p ON f.product_id = p.product_id) AS categories,
+       (SELECT COUNT(DISTINCT strftime(order_date, '%Y-%m')) FROM fact_sales) AS months,
+       segment, customers AS segment_customers, revenue AS segment_revenue
+FROM rfm_seg"""
+
 
 ORACLE: dict[str, str] = {
     "kpi_totals": KPI_TOTALS,
@@ -620,4 +632,5 @@ ORACLE: dict[str, str] = {
     "seasonality_share": SEASONALITY_SHARE,
     "messiness_profile": MESSINESS_PROFILE,
     "dashboard_payload": DASHBOARD_PAYLOAD,
+    "dashboard_document": DASHBOARD_DOCUMENT,
 }

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
-# Cleaning works at scale 4 so a sub-cent value is not mistaken for zero early.
-WORK_DECIMAL = T.DecimalType(18, 4)
+MONEY = T.DecimalType(24, 2)
+# Cleaning works at scale 4 so a sub-cent value is not mistaken for zero early; 20 digits
+# before the point, so that no amount a file can sensibly hold is lost as "not a number".
+WORK_DECIMAL = T.DecimalType(24, 4)
 
 
 def _strings(*names: str) -> T.StructType:
@@ -52,8 +53,8 @@ FACT_SALES = T.StructType([
     T.StructField("order_id", T.StringType(), False),
     T.StructField("customer_id", T.StringType(), False),
     T.StructField("product_id", T.StringType(), False),
-    T.StructField("quantity", T.IntegerType(), True),
-    T.StructField("unit_price", MONEY, True),
+    T.StructField("quantity", WORK_DECIMAL, True),
+    T.StructField("unit_price", WORK_DECIMAL, True),
     T.StructField("item_total", MONEY, True),
     T.StructField("order_total", MONEY, True),
     T.StructField("order_date", T.TimestampNTZType(), True),

@@ -78,7 +78,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 4, F.lit(""))
         .otherwise(F.date_format(d, "yyyy-MM-dd"))
     )
-    base = cust.join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey, "left").select(
+    base = cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left").select(
         c.cast("string").alias("customer_id"),
         F.col("c_name").alias("name"),
         email.alias("email"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import add_seconds
 from ..functions.values import money
 from ..schemas import MONEY
+from ..session import materialize
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -47,14 +48,14 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation x region: 25 rows by the TPC-H definition, a fixed size."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "n_name", "r_name")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name")  # small enough for Spark to broadcast by itself
 
 
 def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     geo = geography(spark, sf_dir)
-    return cust.join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey, "left").select(
+    return cust.join(geo, cust.c_nationkey == geo.n_nationkey, "left").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("name"),
         customer_email(F.col("c_name")).alias("email"),
@@ -100,21 +101,28 @@ def fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_order_totals(lines: DataFrame, item_col: str = "item_total") -> DataFrame:
+def with_order_totals(lines: DataFrame, item_col: str = "item_total", split_hot: bool = False) -> DataFrame:
     """Attach order_total = sum of the order's line totals, rounded to cents.
 
-    Aggregate-then-join instead of a window: the aggregate combines map-side, and
-    the join back is a normal equi-join that AQE can split if one order is hot.
+    Aggregate-then-join instead of a window: the aggregate combines map-side.  With
+    ``split_hot`` the totals (one row per order) are written first: the join back then has
+    a plain exchange on either side, which the adaptive skew join splits if one order is
+    hot; an aggregate straight on its exchange it leaves whole.  Without, the plan stays
+    lazy, and a query that does not use the total does not compute it.
     A null order_id gets a null total (a window would lump the nulls together).
     """
     totals = (lines.filter(F.col("order_id").isNotNull())
               .groupBy("order_id").agg(F.sum(item_col).alias("_order_sum")))
+    if split_hot:
+        totals = materialize(totals, "order_totals")
     return (lines.join(totals, "order_id", "left")
             .withColumn("order_total", money(F.col("_order_sum"))).drop("_order_sum"))
 
 
-def fact_sales(spark: SparkSession, sf_dir: str, extended: bool = False) -> DataFrame:
-    fact = with_order_totals(fact_lines(spark, sf_dir))
+def fact_sales(spark: SparkSession, sf_dir: str, extended: bool = False, written: bool = False) -> DataFrame:
+    """The fact; ``written``: lines and totals are written first, for consumers of whole rows."""
+    lines = fact_lines(spark, sf_dir)
+    fact = with_order_totals(materialize(lines, "fact_lines"), split_hot=True) if written else with_order_totals(lines)
     cols = ["order_id", "customer_id", "product_id", "quantity", "unit_price",
             "item_total", "order_total", "order_date"]
     if extended:
@@ -122,9 +130,9 @@ def fact_sales(spark: SparkSession, sf_dir: str, extended: bool = False) -> Data
     return fact.select(*cols)
 
 
-def star(spark: SparkSession, sf_dir: str, extended: bool = False) -> dict[str, DataFrame]:
+def star(spark: SparkSession, sf_dir: str, extended: bool = False, written: bool = False) -> dict[str, DataFrame]:
     return {
         "dim_customers": dim_customers(spark, sf_dir),
         "dim_products": dim_products(spark, sf_dir),
-        "fact_sales": fact_sales(spark, sf_dir, extended=extended),
+        "fact_sales": fact_sales(spark, sf_dir, extended=extended, written=written),
     }
