@@ -58,3 +58,22 @@ def test_nonstandard_counts(spark):
     r = df.agg(F.count_if(is_nonstandard(F.col("s"), STANDARD_DATE)).alias("d"),
                F.count_if(is_nonstandard(F.col("s"), STANDARD_DATETIME)).alias("t")).first()
     assert (r.d, r.t) == (4, 4)
+
+
+PANDAS_LAYOUTS = [
+    "2024-03-05T14:30", "2024-03-05T14:30:15.123456789", "2024-03-05 14:30:15.1234567", "05-Mar-2024", "5 March 2024", "Mar 5 2024",
+    "March 05, 2024 14:30", "05/03/24", "13/03/24", "05.03.2024", "2024.03.05", "\t2024-03-05\t", " 2024-03-05 10:00\n",
+    "03/05/2024 02:30 PM", "03/05/2024 12:05 AM", "2024-03-05 12:30:15 pm", "March 5, 2024 1:30 PM", "31 Feb 2024",
+    "5-Mar-2024 10:11:12", "mar 05, 2024", "Sept 5 2024", "2024/3/5 4:05", "2024-03-05 25:00", "13/13/2024"]
+
+
+def test_layouts_read_as_pandas_reads_them(spark):
+    import pandas as pd
+    df = spark.createDataFrame(list(enumerate(PANDAS_LAYOUTS)), "i int, s string")
+    got = {r.i: r.p for r in df.select("i", parse_mixed_datetime(F.col("s")).alias("p")).collect()}
+    for i, text in enumerate(PANDAS_LAYOUTS):
+        try:
+            want = pd.to_datetime(text.strip(), format="mixed").floor("us").to_pydatetime()
+        except Exception:
+            want = None
+        assert got[i] == want, (text, got[i], want)

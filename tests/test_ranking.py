@@ -65,3 +65,11 @@ def test_multi_rank_pass_equals_row_numbers(spark, n):
     j = got.join(want, ["id", "a", "b"])
     assert j.count() == n
     assert j.filter((F.col("ra") != F.col("wa")) | (F.col("rb") != F.col("wb")) | (F.col("n") != n)).count() == 0
+
+
+def test_bins_and_ntile_differ_where_five_does_not_divide(spark):
+    """1,267 customers (the cleaned fact at sf0.01): swapping the two scorings changes results."""
+    from starling.operators.ranking import ntile_from_rank, quantile_bin_from_rank
+    n = F.lit(1267)
+    rows = spark.range(1, 1268).select(ntile_from_rank(F.col("id"), n).alias("t"), quantile_bin_from_rank(F.col("id"), n).alias("q"))
+    assert rows.filter("t <> q").count() > 0

@@ -42,3 +42,46 @@ def test_flat_sales_reader(spark, tmp_dir):
     got = {r.order_id: r for r in df.collect()}
     assert float(got["O1"].item_total) == 5.0 and got["O3"].quantity is None and got["O3"].order_date is None
     assert df.agg(F.sum("item_total")).first()[0] == 8.25
+
+
+def _text(path, text):
+    import os
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_quotes_and_newlines_belong_to_the_value(spark, tmp_dir):
+    path = _text(f"{tmp_dir}/customers.csv", 'customer_id,name,email,signup_date,city,state,country\n'
+                 'C1,"Ann ""A"", Lee",a@x.com,2024-01-05,X,Y,US\nC2,"two\nlines",b@x.com,2024-01-06,X,Y,US\n')
+    rows = rw.read_raw_csv(spark, path, rw.RAW_SCHEMAS["customers"]).collect()
+    assert [(r.customer_id, r.name, r.email, r.country) for r in rows] == [
+        ("C1", 'Ann "A", Lee', "a@x.com", "US"), ("C2", "two\nlines", "b@x.com", "US")]
+
+
+def test_columns_are_taken_by_name(spark, tmp_dir):
+    path = _text(f"{tmp_dir}/products.csv", "price,product_id,product_name,extra,category\n9.99,P1,Pen,z,Office\n")
+    row = rw.read_raw_csv(spark, path, rw.RAW_SCHEMAS["products"]).first()
+    assert (row.product_id, row.price, row.category) == ("P1", "9.99", "Office")
+    short = _text(f"{tmp_dir}/short.csv", "price,product_id\n1,P1\n")
+    with pytest.raises(ValueError, match="category"):
+        rw.read_raw_csv(spark, short, rw.RAW_SCHEMAS["products"])
+
+
+def test_a_row_with_too_many_values_stops_the_read(spark, tmp_dir):
+    path = _text(f"{tmp_dir}/products.csv", "product_id,product_name,category,price\nP1,Pen, red,Office,1.00\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        rw.read_raw_csv(spark, path, rw.RAW_SCHEMAS["products"]).collect()
+
+
+def test_incomplete_star_is_rebuilt(spark, tmp_dir):
+    views = messy.raw_tables(spark, SF001)
+    for name, df in views.items():
+        rw.write_csv(df.drop("_seq"), f"{tmp_dir}/raw/{name}.csv")
+    spark.range(3).write.parquet(f"{tmp_dir}/star/dim_customers")  # what a broken build left
+    star = etl.ensure_star(spark, f"{tmp_dir}/raw", f"{tmp_dir}/star")
+    assert star["dim_products"].count() == views["products"].count()
+    assert "email" in star["dim_customers"].columns and star["fact_sales"].count() > 0
+    again = etl.ensure_star(spark, f"{tmp_dir}/nothing", f"{tmp_dir}/star")
+    assert again["fact_sales"].count() == star["fact_sales"].count()

@@ -77,3 +77,69 @@ def test_load_star_twice_equals_once(spark, tmp_dir):
     twice = wh.load_star(spark, star, f"{tmp_dir}/wh", scratch_dir=f"{tmp_dir}/stg")
     assert {n: sorted(df.collect()) for n, df in twice.items()} == rows_once
     assert wh.current_version(spark, f"{tmp_dir}/wh/fact_sales")[0] == 2
+
+
+def _dated(spark, rows):
+    return spark.createDataFrame(rows, "order_id long, product_id long, quantity int, day string").select(
+        "order_id", "product_id", "quantity", F.col("day").cast("timestamp_ntz").alias("order_date"))
+
+
+def _key_rows(df):
+    return sorted((r.order_id, r.product_id, r.quantity, str(r.order_date)[:10]) for r in df.collect())
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_dir):
+    t = f"{tmp_dir}/fact"
+    wh.upsert_table(spark, t, _dated(spark, [(1, 1, 1, "2024-01-05"), (2, 1, 1, "2024-02-05"), (3, 1, 1, "2024-03-05")]), KEYS,
+                    partition_by=["order_month"])
+    before = dict(wh.current_version(spark, t).parts)
+    # Order 2 moves from February to May; January and March are not touched.
+    got = wh.upsert_table(spark, t, _dated(spark, [(2, 1, 9, "2024-05-07")]), KEYS)
+    after = dict(wh.current_version(spark, t).parts)
+    assert _key_rows(got) == [(1, 1, 1, "2024-01-05"), (2, 1, 9, "2024-05-07"), (3, 1, 1, "2024-03-05")]
+    assert after["202401"] == before["202401"] and after["202403"] == before["202403"]
+    assert "202402" not in after and "202405" in after
+    assert wh.current_version(spark, t).partition_by == ["order_month"]
+    assert wh.drop_old_versions(spark, t)
+    assert _key_rows(wh.read_current(spark, t)) == _key_rows(got)
+
+
+def test_a_failed_write_does_not_block_the_table(spark, tmp_dir):
+    t = f"{tmp_dir}/fact"
+    wh.upsert_table(spark, t, _rows(spark, [(1, 1, 1)]), KEYS)
+    _rows(spark, [(7, 7, 7)]).write.parquet(f"{t}/data/000002-left-behind")  # an attempt that never reached the log
+    broken = _rows(spark, [(2, 2, 2)]).withColumn("quantity", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        wh.upsert_table(spark, t, broken, KEYS)
+    assert wh.read_current(spark, t).collect() == [(1, 1, 1)]
+    assert sorted(wh.upsert_table(spark, t, _rows(spark, [(2, 2, 2)]), KEYS).collect()) == [(1, 1, 1), (2, 2, 2)]
+
+
+def test_merge_keeps_columns_it_does_not_name(spark, tmp_dir):
+    t = f"{tmp_dir}/fact"
+    wh.upsert_table(spark, t, _rows(spark, [(1, 1, 5), (2, 2, 6)]).withColumn("note", F.lit("n")), KEYS)
+    part = spark.createDataFrame([(1, 1, "new"), (3, 3, "new")], "order_id long, product_id long, note string")
+    got = wh.upsert_table(spark, t, part, KEYS)
+    assert got.columns == ["order_id", "product_id", "quantity", "note"]
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 5, "new"), (2, 2, 6, "n"), (3, 3, None, "new")]
+    for wrong in (part.withColumn("colour", F.lit("x")), part.withColumn("note", F.lit(1)), part.drop("product_id")):
+        with pytest.raises(wh.SchemaMismatch):
+            wh.upsert_table(spark, t, wrong, KEYS)
+    assert wh.current_version(spark, t).version == 2
+
+
+def test_empty_tables(spark, tmp_dir):
+    t = f"{tmp_dir}/fact"
+    none = _dated(spark, [(1, 1, 1, "2024-01-05")]).limit(0)
+    assert wh.upsert_table(spark, t, none, KEYS, partition_by=["order_month"]).count() == 0
+    assert wh.upsert_table(spark, t, _dated(spark, [(1, 1, 1, "2024-01-05")]), KEYS).count() == 1
+    assert wh.upsert_table(spark, t, none, KEYS).count() == 1
+
+
+def test_publish_checks_columns_and_nulls(spark, tmp_dir):
+    star = tb.star(spark, SF001)
+    with pytest.raises(wh.SchemaMismatch):
+        wh.publish_star(spark, {**star, "dim_products": star["dim_products"].drop("category")}, f"{tmp_dir}/a")
+    nulls = star["fact_sales"].withColumn("customer_id", F.when(F.col("order_id") % 7 == 0, None).otherwise(F.col("customer_id")))
+    with pytest.raises(wh.KeyViolation):
+        wh.publish_star(spark, {**star, "fact_sales": nulls}, f"{tmp_dir}/b")
