@@ -43,6 +43,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter(F.col("u") > F.col("v")).distinct()
 
 
+def _settled(state: DataFrame) -> bool:
+    """All stars: every node hangs from one root, and no root hangs from anything."""
+    n, nodes = state.agg(F.count(F.lit(1)), F.count_distinct("u")).first()
+    if n != nodes:
+        return False
+    return state.select(F.col("v").alias("r")).join(state.select("u"), F.col("r") == F.col("u"), "left_semi").isEmpty()
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node on an edge; component is the least node reachable.
 
@@ -60,19 +68,14 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     now, path = write(given.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct())
     loops = now.filter(F.col("u") == F.col("v")).select(F.col("u").alias("node"))
     state, state_path = write(now.filter(F.col("u") > F.col("v")))
-    mark = None
     for _ in range(MAX_ROUNDS):
+        if _settled(state):
+            break
         middle, middle_path = write(_star(state, large=True))
         nxt, nxt_path = write(_star(middle, large=False))
         delete_path(spark, middle_path)
         delete_path(spark, state_path)
         state, state_path = nxt, nxt_path
-        # At the fixed point every node hangs from a root that hangs from nothing.
-        deeper = state.select(F.col("v").alias("r")).join(state, F.col("r") == F.col("u"), "left_semi").limit(1).count()
-        size = state.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("bigint"))).first()
-        if not deeper and mark == size:
-            break
-        mark = size
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     found = state.select(F.col("u").alias("node"), F.col("v").alias("component"))

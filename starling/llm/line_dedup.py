@@ -1,32 +1,34 @@
 """Fuzzy line deduplication by MinHash, in DataFrame functions only.
 
-A document is cut at newlines; the shingles of a line are all its runs of
-``SHINGLE`` characters (a shorter line is one shingle), hashed to 64 bits.  Two
-lines are near-duplicates at a Jaccard similarity of ``SIMILARITY`` or more.  Of
-each connected component of near-duplicate lines the first occurrence, by
-(doc_id, line number), is kept.  Blank lines are never touched.
-
-*Signatures.*  The hashes of a line are split into ``BANDS`` classes by their low
-bits; the band of a class is its ``ROWS`` least hashes (one permutation MinHash).
-A short line has too few hashes for that: it takes ``BANDS`` different orders of
-all its hashes instead, and the least ``ROWS`` of each.  Lines near the border
-give both kinds, so that similar lines always have one kind in common.  At the
-threshold a band agrees with probability ``SIMILARITY ** ROWS`` = 0.41, all eight
-miss with 0.015; at 0.9 with 0.0002.
-
-*Candidates.*  Lines are known by a 128-bit digest, so exact copies are one line
-from here on (a line a third of all documents share is one row per task after
-partial aggregation).  In a bucket every line is compared with the bucket's least
-line only; a line that proves not similar to it is then compared with every line
-of that bucket, so no link that a bucket holds is lost, and buckets whose lines
-are all alike (the large ones) cost one comparison per line.
-
-*Verification* is exact, on the full shingle sets, then union-find over the links.
-
-Defined cases: null and empty texts have no lines and stay as they are; ties are
-by line number, then by digest; rows that repeat (same doc_id and text) hold the
-same occurrence and keep the same lines; a null doc_id sorts last; an empty table
-gives an empty result; further columns pass through ``dedup_lines`` unchanged.
+A document is cut at newlines.  The shingles of a line are runs of its characters that
+begin at its words: each word with the ``REACH`` characters that follow its space, hashed to
+64 bits; so every character is in a shingle, and a token without any space is one.  Two
+lines are near-duplicates at a Jaccard similarity of ``SIMILARITY`` or more.  Of each
+connected component of near-duplicate lines the first occurrence, by (doc_id, line number),
+is kept.  Blank lines are never touched.
+
+*Signatures.*  The hashes of a line are split into ``BANDS`` classes by remainder; the band
+of a class is its ``ROWS`` least hashes (one permutation MinHash).  A short line has too few
+hashes for that: it takes ``BANDS`` different orders of all its hashes instead, and the least
+``ROWS`` of each.  Lines near the border give both kinds, so that similar lines always have
+one kind in common.  At the threshold a band agrees with probability ``SIMILARITY ** ROWS``
+= 0.41, all eight miss with 0.015; at 0.9 with 0.0002.
+
+*Candidates.*  Lines are known by a 128-bit digest, so exact copies are one line from here on
+(a line a third of all documents share is one row per task after partial aggregation).  Each
+bucket has a pivot, drawn by hash, so the buckets of a line have different ones, and every
+line is first compared with the pivots of its buckets only: one comparison per line and
+bucket, however large the bucket.  In a bucket whose lines are then in one component nothing
+is left to find.  In the others every line outside the bucket's commonest component is
+compared with all lines of the bucket that are in another component, so no link that a
+bucket holds is lost.
+
+*Verification* is exact, on the full sets of shingle hashes, then union-find over the links.
+
+Defined cases: null and empty texts have no lines and stay as they are; ties are by line
+number, then by text; rows that repeat (same doc_id and text) hold the same occurrence and
+keep the same lines; a null doc_id sorts last; an empty table gives an empty result; further
+columns pass through ``dedup_lines`` unchanged.
 """
 
 from __future__ import annotations
@@ -34,10 +36,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_path
+from .common import SPACE_CLASS, materialize, scratch_path
 from .components import connected_components
 
-SHINGLE = 10
+REACH = 5
 SIMILARITY = 0.8
 BANDS = 8
 ROWS = 4
@@ -45,8 +47,8 @@ ROWS = 4
 SKETCH = 80
 #: From this many hashes on a line has the class kind; below, the kind of many orders.
 LARGE = 80
-#: Most candidate digests (16 bytes each) that are broadcast; beyond, they are joined by shuffle.
-BROADCAST_DIGESTS = 1_000_000
+#: Most candidate lines whose digests (16 bytes each) are broadcast; beyond, they are joined by shuffle.
+BROADCAST_DIGESTS = 300_000
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -59,11 +61,15 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("digest", F.unhex(F.md5(F.col("line").cast("binary"))))
 
 
-def shingle_hashes(line: Column) -> Column:
-    """Distinct 64-bit hashes of a line's shingles, in no stated order."""
-    runs = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))"), 1)
-    runs = F.when(F.length(line) > SHINGLE, runs).otherwise(F.array(line))
-    return F.array_distinct(F.transform(runs, lambda x: F.xxhash64(x)))
+def with_hashes(lines: DataFrame) -> DataFrame:
+    """``line`` replaced by ``hashes``: the sorted distinct hashes of its shingles.
+
+    The words are a column of their own: an expression that a lambda captures would be
+    evaluated again for each element.
+    """
+    cut = lines.withColumn("w", F.split("line", SPACE_CLASS)).drop("line")
+    hashes = F.transform("w", lambda x, i: F.xxhash64(x, F.substring(F.get(F.col("w"), i + 1), 1, REACH)))
+    return cut.withColumn("hashes", F.sort_array(F.array_distinct(hashes))).drop("w")
 
 
 def _band_keys(hashes: str) -> Column:
@@ -72,7 +78,7 @@ def _band_keys(hashes: str) -> Column:
     least = F.slice(hashes, 1, SKETCH)
 
     def of_class(c: Column) -> Column:
-        own = F.slice(F.filter(least, lambda x: x.bitwiseAND(F.lit(BANDS - 1)) == c), 1, ROWS)
+        own = F.slice(F.filter(least, lambda x: F.pmod(x, F.lit(BANDS)) == c), 1, ROWS)
         return F.when(F.size(own) == ROWS, F.xxhash64(F.lit("class"), c, own))
 
     def of_order(c: Column) -> Column:
@@ -87,36 +93,44 @@ def _band_keys(hashes: str) -> Column:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, digest, keys) of every line."""
-    lines = line_rows(docs).withColumn("hashes", F.sort_array(shingle_hashes(F.col("line")))).drop("line")
-    return lines.select("doc_id", "text_key", "line_no", "digest", _band_keys("hashes").alias("keys"))
-
+    """(doc_id, text_key, line_no, digest, keys) of every line."""
+    return with_hashes(line_rows(docs)).select("doc_id", "text_key", "line_no", "digest", _band_keys("hashes").alias("keys"))
 
-def _similarity(a: Column, b: Column) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both)
 
-
-def _candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(digest, line), once for each wanted digest."""
+def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(digest, hashes), once for each wanted digest; ``wanted`` names an occurrence of each."""
     lines = line_rows(docs)
     if wanted.count() <= BROADCAST_DIGESTS:
         wanted = F.broadcast(wanted)
-    return lines.join(wanted, ["digest", "doc_id", "text_key", "line_no"]).select("digest", "line").dropDuplicates(["digest"])
+    return with_hashes(lines.join(wanted, ["digest", "doc_id", "text_key", "line_no"]).select("digest", "line")).dropDuplicates(["digest"])
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose exact similarity reaches the threshold."""
+    joined = (pairs.join(sets.withColumnsRenamed({"digest": "da", "hashes": "ha"}), F.col("a") == F.col("da"))
+              .join(sets.withColumnsRenamed({"digest": "db", "hashes": "hb"}), F.col("b") == F.col("db")))
+    sized = joined.select("a", "b", F.size("ha").alias("na"), F.size("hb").alias("nb"),
+                          F.size(F.array_intersect("ha", "hb")).alias("both"))
+    return sized.filter(F.col("both") >= SIMILARITY * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with their exact similarity."""
-    own = texts.select("digest", "line")
-    joined = (pairs.join(own.withColumnsRenamed({"digest": "da", "line": "la"}), F.col("a") == F.col("da"))
-              .join(own.withColumnsRenamed({"digest": "db", "line": "lb"}), F.col("b") == F.col("db")))
-    sets = joined.select(*[F.col(c) for c in pairs.columns], shingle_hashes(F.col("la")).alias("ha"),
-                         shingle_hashes(F.col("lb")).alias("hb"))
-    return sets.withColumn("similarity", _similarity(F.col("ha"), F.col("hb"))).drop("ha", "hb")
+def _open_pairs(members: DataFrame, near: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one bucket in different components, at least one outside the bucket's commonest component."""
+    placed = members.join(near, members["digest"] == near["node"], "left").select(
+        "key", "digest", F.coalesce("component", "digest").alias("c"))
+    counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("kinds"))
+    mixed = materialize(mixed.filter(F.col("kinds") > 1).select(F.col("key").alias("k"), F.col("top.c").alias("top")), "line-mixed")
+    placed = materialize(placed.join(mixed, F.col("key") == F.col("k")).select("key", "digest", "c", "top"), "line-placed")
+    out = placed.filter(F.col("c") != F.col("top")).select("key", F.col("digest").alias("x"), F.col("c").alias("cx"))
+    every = placed.select(F.col("key").alias("ky"), F.col("digest").alias("y"), F.col("c").alias("cy"), "top")
+    # Two outsiders meet once.
+    on = (F.col("key") == F.col("ky")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("top")) | (F.col("x") < F.col("y")))
+    return out.join(every, on).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def line_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, digest, component, kept) of every line that is not blank.
+    """(doc_id, text_key, line_no, digest, component, kept) of every line that is not blank.
 
     ``component``: the least digest reachable over links, the line's own if it has none.
     """
@@ -126,27 +140,25 @@ def line_classes(docs: DataFrame) -> DataFrame:
     signatures(docs).write.parquet(sig_path)
     sig = spark.read.parquet(sig_path)
     keyed = sig.select("digest", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).filter(
-        F.col("least") < F.col("most")).select("key", "least")
-    buckets = materialize(buckets, "line-buckets")
-    members = materialize(keyed.join(buckets, "key").select("key", "digest", "least").distinct(), "line-members")
+    # Buckets of at least two different lines; the pivot is drawn anew in each.
+    turn = F.xxhash64("digest", "key")
+    buckets = keyed.groupBy("key").agg(F.min("digest").alias("least"), F.max("digest").alias("most"),
+                                       F.min(F.struct(turn.alias("turn"), "digest")).alias("first"))
+    buckets = materialize(buckets.filter(F.col("least") < F.col("most")).select("key", F.col("first.digest").alias("pivot")),
+                          "line-buckets")
+    members = materialize(keyed.join(buckets, "key").select("key", "digest", "pivot").distinct(), "line-members")
     # The first occurrence of each digest in a bucket stands for it where its text is read again.
     wanted = sig.select("digest", "doc_id", "text_key", "line_no").join(members.select("digest").distinct(), "digest", "left_semi")
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no", "text_key")
     wanted = materialize(wanted.groupBy("digest").agg(F.min(order).alias("f")).select(
         "digest", "f.doc_id", "f.text_key", "f.line_no"), "line-wanted")
-    texts = materialize(_candidate_lines(docs, wanted), "line-texts")
-    star = members.filter(F.col("digest") != F.col("least")).select(F.col("least").alias("a"), F.col("digest").alias("b")).distinct()
-    star = materialize(_verified(star, texts), "line-star")
-    links = star.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
-    # Lines unlike their bucket's least one meet every other line of that bucket.
-    unlike = star.filter(F.col("similarity") < SIMILARITY).select(F.col("a").alias("least"), F.col("b").alias("digest"))
-    rest = members.join(unlike, ["least", "digest"], "left_semi").select("key", F.col("digest").alias("b"))
-    others = members.filter(F.col("digest") != F.col("least")).select("key", F.col("digest").alias("a"))
-    rest = rest.join(others, "key").filter(F.col("a") != F.col("b")).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = _verified(rest, texts).filter(F.col("similarity") >= SIMILARITY).select("a", "b")
-    found = connected_components(links.unionByName(rest), "a", "b")
+    sets = materialize(_candidate_sets(docs, wanted), "line-sets")
+    star = members.filter(F.col("digest") != F.col("pivot")).select(
+        F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
+    links = materialize(_links(star, sets), "line-links")
+    near = materialize(connected_components(links, "a", "b"), "line-near")
+    rest = materialize(_links(_open_pairs(members, near), sets), "line-rest")
+    found = near if rest.isEmpty() else materialize(connected_components(links.unionByName(rest), "a", "b"), "line-found")
     occurrence = ["doc_id", "text_key", "line_no", "digest"]
     lines = sig.select(*occurrence)
     lines = lines.join(found, lines["digest"] == found["node"], "left").select(
