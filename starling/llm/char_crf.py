@@ -145,32 +145,35 @@ def allowed_moves(kinds: int) -> tuple[np.ndarray, np.ndarray]:
     return moves, first
 
 
-def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis=axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 def _crf_gradient(e: np.ndarray, tags: np.ndarray, moves: np.ndarray, first: np.ndarray):
-    """Loss per sequence (mean) and its gradients for emissions, moves and first tags."""
+    """Loss per sequence (mean) and its gradients for emissions, moves and first tags.
+
+    Forward-backward with each step scaled to sum to one, so that a step is a small
+    matrix product.
+    """
     t_len, b, k = e.shape
     rows = np.arange(b)
-    fwd, bwd = np.empty_like(e), np.zeros_like(e)
-    fwd[0] = e[0] + first
-    for t in range(1, t_len):
-        fwd[t] = _log_sum(fwd[t - 1][:, :, None] + moves, 1) + e[t]
-    total = _log_sum(fwd[-1], 1)
+    top = e.max(axis=2, keepdims=True)
+    place, step = np.exp(e - top), np.exp(moves)
+    fwd, bwd, scale = np.empty_like(e), np.ones_like(e), np.empty((t_len, b, 1))
+    now = np.exp(first) * place[0]
+    for t in range(t_len):
+        if t:
+            now = (fwd[t - 1] @ step) * place[t]
+        scale[t] = now.sum(axis=1, keepdims=True)
+        fwd[t] = now / scale[t]
     for t in range(t_len - 2, -1, -1):
-        bwd[t] = _log_sum(moves[None] + (e[t + 1] + bwd[t + 1])[:, None, :], 2)
-    de = np.exp(fwd + bwd - total[None, :, None])
-    dm = np.zeros_like(moves)
-    gold = first[tags[0]] + e[0, rows, tags[0]]
-    for t in range(1, t_len):
-        dm += np.exp(fwd[t - 1][:, :, None] + moves + (e[t] + bwd[t])[:, None, :] - total[:, None, None]).sum(axis=0)
-        np.add.at(dm, (tags[t - 1], tags[t]), -1.0)
-        gold += moves[tags[t - 1], tags[t]] + e[t, rows, tags[t]]
+        bwd[t] = (place[t + 1] * bwd[t + 1] / scale[t + 1]) @ step.T
+    de = fwd * bwd
+    after = place[1:] * bwd[1:] / scale[1:]
+    dm = (fwd[:-1].reshape(-1, k).T @ after.reshape(-1, k)) * step
+    np.add.at(dm, (tags[:-1].ravel(), tags[1:].ravel()), -1.0)
+    total = (np.log(scale) + top).sum(axis=(0, 2))
+    times = np.arange(t_len)[:, None]
+    gold = e[times, rows[None, :], tags].sum(axis=0) + first[tags[0]] + moves[tags[:-1], tags[1:]].sum(axis=0)
     df = de[0].sum(axis=0)
     np.add.at(df, tags[0], -1.0)
-    np.add.at(de, (np.arange(t_len)[:, None], rows[None, :], tags), -1.0)
+    de[times, rows[None, :], tags] -= 1.0
     return float((total - gold).mean()), de / b, dm / b, df / b
 
 
@@ -208,8 +211,10 @@ def train(x: np.ndarray, tags: np.ndarray, kinds: int, epochs: int, batch: int =
             grads = [None, None, None, None, np.einsum("tbh,tbk->hk", hid, de, optimize=True), de.sum(axis=(0, 1)),
                      (dm * (mask == 0)).astype(np.float32), (df * (first_mask == 0)).astype(np.float32)]
             dh_all = de @ m.out.T
+            seen = (xb.reshape(-1, 1) == np.arange(N_CLASSES)).astype(np.float32)
             for d in (0, 1):
-                dtable, dagain = np.zeros_like(m.table[d]), np.zeros_like(m.again[d])
+                dz_all = np.empty((*xb.shape, 4 * h), np.float32)
+                before = np.empty((*xb.shape, h), np.float32)
                 dh = np.zeros((xb.shape[1], h), np.float32)
                 dc = np.zeros_like(dh)
                 for t, z, gates, before_h, before_c, tc in reversed(runs[d][1]):
@@ -219,11 +224,11 @@ def train(x: np.ndarray, tags: np.ndarray, kinds: int, epochs: int, batch: int =
                     # The slope of the softsign at s is (1 - |s|)^2; half of it for the gates.
                     dz = np.concatenate([dc * g, dc * before_c, dh * tc, dc * i], axis=1) * (1 - np.abs(z)) ** 2
                     dz[:, :3 * h] *= 0.5
-                    np.add.at(dtable, xb[t], dz)
-                    dagain += before_h.T @ dz
+                    dz_all[t], before[t] = dz, before_h
                     dh = dz @ m.again[d].T
                     dc = dc * f
-                grads[d], grads[2 + d] = dtable, dagain
+                flat = dz_all.reshape(-1, 4 * h)
+                grads[d], grads[2 + d] = seen.T @ flat, before.reshape(-1, h).T @ flat
             size = np.sqrt(sum(float((g * g).sum()) for g in grads))
             cut = min(1.0, 5.0 / (size + 1e-9))
             steps += 1
