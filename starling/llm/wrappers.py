@@ -50,6 +50,8 @@ from .common import materialize, ship_package
 LONGEST_BLOCK = 24
 MOST_TEXT = 0.6
 BROADCAST_SHAPES = 50_000
+#: Most shapes of one host that are aligned in one task (pages of a host share few).
+MOST_SHAPES = 2_000
 
 # Elements by what they are.
 RAW = ("script", "style", "noscript", "template", "textarea", "title")
@@ -348,9 +350,16 @@ class Wrapper:
         return numbers
 
     def main_slots(self) -> set[int]:
-        rest = [k for k, path in enumerate(self.paths) if not any(_is_furniture(p) for p in path)
-                and not (self.in_group[k] and self.link_chars[k] > 0.6 * max(self.chars[k], 1.0)
-                         and not any(p.startswith(("<article", "<main")) for p in path))]
+        # An element that holds the title or the main element is no furniture, whatever its class says
+        # (``page with-sidebar``).
+        titled = {path[:i + 1] for path in self.paths for i in range(len(path))
+                  if any(_tag(p) in ("h1", "main") for p in path[i + 1:])}
+        rest = []
+        for k, path in enumerate(self.paths):
+            furniture = any(_tag(p) in FURNITURE or (_has_name(p) and path[:i + 1] not in titled) for i, p in enumerate(path))
+            links = self.in_group[k] and self.link_chars[k] > 0.6 * max(self.chars[k], 1.0)
+            if not furniture and not (links and not any(_tag(p) in MAIN for p in path)):
+                rest.append(k)
         for name in MAIN:
             inner = [k for k in rest if any(_tag(p) == name for p in self.paths[k])]
             if inner:
@@ -373,10 +382,11 @@ def _tag(label: str) -> str:
     return re.match(r"<([^.>]*)", label).group(1)
 
 
-def _is_furniture(label: str) -> bool:
+def _has_name(label: str) -> bool:
+    """Does the class or id of an element name page furniture?"""
     tag = _tag(label)
     names = label[1 + len(tag):-1].strip(".").split()
-    return tag in FURNITURE or (tag not in ("html", "body", "article", "main") and any(n in NAMES for n in names))
+    return tag not in ("html", "body", "article", "main") and any(n in NAMES for n in names)
 
 
 def infer(shapes: list[tuple[str, str, int, list[float], list[float]]]) -> dict[str, list[int]]:
@@ -457,7 +467,11 @@ def main_slots(pages: DataFrame) -> DataFrame:
             rows["shape"], rows["data"], rows["pages"], rows["chars"], rows["links"])])
         return pd.DataFrame({"host": [key[0]] * len(found), "shape": list(found), "main": list(found.values())})
 
-    return one.groupBy("host").applyInPandas(wrap, "host string, shape string, main array<int>")
+    # A host with more shapes than one task should align is cut into parts, each with its own wrapper.
+    many = one.groupBy(F.col("host").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    parts = F.ceil(F.col("n") / MOST_SHAPES).cast("int")
+    dealt = one.join(many, F.col("host") == F.col("h")).withColumn("part", F.pmod(F.xxhash64("shape"), parts)).drop("h", "n")
+    return dealt.groupBy("host", "part").applyInPandas(wrap, "host string, shape string, main array<int>")
 
 
 def extract(pages: DataFrame) -> DataFrame:

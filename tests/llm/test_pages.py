@@ -85,6 +85,7 @@ def test_odd_pages():
     assert text_of(["&amp &lt;b&gt; &#233;"]) == ["& <b> é"]
     assert text_of(["<P CLASS=Ad>ad</P><P>text</P>"]) == ["text"]
     assert text_of(["<article><p>kept</p></article><p>not</p>"]) == ["kept"]
+    assert text_of(["<div class='page with-sidebar'><h1>T</h1><p>kept</p><div class=sidebar><p>not</p></div></div>"]) == ["T\nkept"]
 
 
 def test_random_pages_lose_no_slot():
@@ -110,5 +111,6 @@ def test_odd_rows(odd_pages, monkeypatch):
     assert got[None].count("\n") == 19999
     assert wrappers.pages_digest(odd_pages).count() == odd_pages.count()
     assert wrappers.pages_digest(odd_pages.limit(0)).count() == 0
+    monkeypatch.setattr(wrappers, "MOST_SHAPES", 2)
     monkeypatch.setattr(wrappers, "BROADCAST_SHAPES", 0)  # the other way to attach main slots
     assert {r["page_id"]: r["text"] for r in wrappers.pages_digest(odd_pages).collect()} == got
