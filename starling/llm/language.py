@@ -153,7 +153,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     mine[x] = mine.get(x, 0) + k
     for lang, mine in total.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(mine)), pa.array(list(mine.keys()), pa.int64()), pa.array(list(mine.values()), pa.int64())],
+            [pa.array([lang] * len(mine), pa.string()), pa.array(list(mine.keys()), pa.int64()), pa.array(list(mine.values()), pa.int64())],
             ["lang", "gram", "n"])
 
 

@@ -39,6 +39,8 @@ BUCKETS = 1 << LOG_BUCKETS
 RANK = 8
 TRAIN_ROWS = 6000
 EPOCHS = 12
+#: Fewer rows are gone through more often, so that the fit takes at least so many steps.
+LEAST_STEPS = 288
 BATCH = 256
 RATE = 0.02
 DECAY_LINEAR = 1e-5
@@ -194,7 +196,7 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray) -
     dense = m.scaled(stats)
     extra = np.arange(BUCKETS, N_FEATURES)
     steps = 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // -(-len(y) // BATCH)))):
         order = rng.permutation(len(y))
         for at in range(0, len(order), BATCH):
             part = order[at:at + BATCH]
