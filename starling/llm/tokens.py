@@ -150,7 +150,8 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer: str | None = None,
     misses = digests.join(stored, "digest", "left_anti").groupBy("digest").agg(F.min("doc_id").alias("rep_id"))
     same = keyed["doc_id"].eqNullSafe(misses["rep_id"]) & (keyed["digest"] == misses["digest"])
     todo = keyed.join(misses.hint("shuffle_hash"), same, "left_semi").select("digest", "text")
-    new = todo.mapInArrow(_encoder(tokenizer), "digest binary, n_tokens bigint")
+    # A repeated row (same doc_id and text) is encoded as often as it occurs, and stored once.
+    new = todo.mapInArrow(_encoder(tokenizer), "digest binary, n_tokens bigint").groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     (new.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path))
     # Written first: both sides of the join are then plain scans, which the adaptive skew join can split
     # where copies share a digest.
