@@ -7,21 +7,20 @@ lines are near-duplicates at a Jaccard similarity of ``SIMILARITY`` or more.  Of
 connected component of near-duplicate lines the first occurrence, by (doc_id, line number),
 is kept.  Blank lines are never touched.
 
-*Signatures.*  The hashes of a line are split into ``BANDS`` classes by remainder; the band
-of a class is its ``ROWS`` least hashes (one permutation MinHash).  A short line has too few
-hashes for that: it takes ``BANDS`` different orders of all its hashes instead, and the least
-``ROWS`` of each.  Lines near the border give both kinds, so that similar lines always have
-one kind in common.  At the threshold a band agrees with probability ``SIMILARITY ** ROWS``
-= 0.41, all eight miss with 0.015; at 0.9 with 0.0002.
+*Signatures.*  One permutation MinHash by rotation: the sorted hashes of a line lie on a ring;
+from each of ``BANDS`` fixed points of the ring the next ``ROWS`` hashes make a band.  Two
+lines agree in a band when the next ``ROWS`` hashes of their union from there belong to
+both: at the threshold with probability ``SIMILARITY ** ROWS`` = 0.41, so all eight miss with
+0.015; at 0.9 with 0.0002.
 
 *Candidates.*  Lines are known by a 128-bit digest, so exact copies are one line from here on
 (a line a third of all documents share is one row per task after partial aggregation).  Each
-bucket has a pivot, drawn by hash, so the buckets of a line have different ones, and every
-line is first compared with the pivots of its buckets only: one comparison per line and
-bucket, however large the bucket.  In a bucket whose lines are then in one component nothing
-is left to find.  In the others every line outside the bucket's commonest component is
-compared with all lines of the bucket that are in another component, so no link that a
-bucket holds is lost.
+bucket has two pivots: the line that occurs most often (of near copies it is the original),
+and one drawn by hash.  Every line is first compared with the pivots of its buckets only,
+however large the bucket.  In a bucket whose lines are then in one component nothing is left
+to find.  In the others every line outside the bucket's commonest component is compared with
+all lines of the bucket that are in another component and near enough in size to reach the
+threshold, so no link that a bucket holds is lost.
 
 *Verification* is exact, on the full sets of shingle hashes, then union-find over the links.
 
@@ -43,10 +42,6 @@ REACH = 5
 SIMILARITY = 0.8
 BANDS = 8
 ROWS = 4
-#: Least hashes from which the classes take theirs: ten for each class on average.
-SKETCH = 80
-#: From this many hashes on a line has the class kind; below, the kind of many orders.
-LARGE = 80
 #: Most candidate lines whose digests (16 bytes each) are broadcast; beyond, they are joined by shuffle.
 BROADCAST_DIGESTS = 300_000
 
@@ -72,37 +67,41 @@ def with_hashes(lines: DataFrame) -> DataFrame:
     return cut.withColumn("hashes", F.sort_array(F.array_distinct(hashes))).drop("w")
 
 
-def _band_keys(hashes: str) -> Column:
-    """Bucket keys from a column of sorted hashes; both expressions run only for the lines they are for."""
-    n = F.size(hashes)
-    least = F.slice(hashes, 1, SKETCH)
+def with_keys(lines: DataFrame) -> DataFrame:
+    """``hashes`` replaced by ``keys`` (the buckets of the line) and ``size``.
 
-    def of_class(c: Column) -> Column:
-        own = F.slice(F.filter(least, lambda x: F.pmod(x, F.lit(BANDS)) == c), 1, ROWS)
-        return F.when(F.size(own) == ROWS, F.xxhash64(F.lit("class"), c, own))
-
-    def of_order(c: Column) -> Column:
-        own = F.slice(F.sort_array(F.transform(hashes, lambda x: F.xxhash64(c, x))), 1, ROWS)
-        return F.xxhash64(F.lit("order"), c, own)
-
-    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    nothing = F.array().cast("array<bigint>")
-    large = F.when(n >= int(LARGE * SIMILARITY), F.filter(F.transform(bands, of_class), lambda k: k.isNotNull()))
-    small = F.when(n <= int(LARGE / SIMILARITY), F.transform(bands, of_order))
-    return F.concat(F.coalesce(large, nothing), F.coalesce(small, nothing))
+    The points of the ring are the beginnings of ``BANDS`` equal parts of the 64-bit
+    range, so the place of a hash's part is its leading bits; the first place of each
+    part is looked up, an empty part goes on with the next.
+    """
+    bits = BANDS.bit_length() - 1
+    parts = lines.withColumn("part", F.transform("hashes", lambda x: F.shiftright(x, 64 - bits)))
+    first = [F.nullif(F.array_position("part", F.lit(t).cast("bigint")), F.lit(0)) for t in range(-BANDS // 2, BANDS // 2)]
+    at = parts.select("*", F.size("hashes").alias("size"), F.concat("hashes", "hashes").alias("ring"),
+                      *[f.alias(f"p{t}") for t, f in enumerate(first)]).drop("part", "hashes")
+    keys = []
+    for t in range(BANDS):
+        begin = F.coalesce(*[F.col(f"p{u}") for u in range(t, BANDS)], F.col("size") + 1)
+        keys.append(F.xxhash64(F.lit(t), F.slice("ring", begin.cast("int"), ROWS)))
+    return at.withColumn("keys", F.array(*keys)).drop("ring", *[f"p{t}" for t in range(BANDS)])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, digest, keys) of every line."""
-    return with_hashes(line_rows(docs)).select("doc_id", "text_key", "line_no", "digest", _band_keys("hashes").alias("keys"))
+    """(doc_id, text_key, line_no, digest, size, keys) of every line."""
+    return with_keys(with_hashes(line_rows(docs))).select("doc_id", "text_key", "line_no", "digest", "size", "keys")
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(digest, hashes), once for each wanted digest; ``wanted`` names an occurrence of each."""
-    lines = line_rows(docs)
+    """(digest, hashes), once for each wanted digest, from the texts read again.
+
+    Copies of a line are combined in each task before anything is shuffled.
+    """
+    lines = line_rows(docs).select("digest", "line")
     if wanted.count() <= BROADCAST_DIGESTS:
-        wanted = F.broadcast(wanted)
-    return with_hashes(lines.join(wanted, ["digest", "doc_id", "text_key", "line_no"]).select("digest", "line")).dropDuplicates(["digest"])
+        found = lines.join(F.broadcast(wanted), "digest", "left_semi").dropDuplicates(["digest"])
+    else:
+        found = lines.dropDuplicates(["digest"]).join(wanted, "digest", "left_semi")
+    return with_hashes(found)
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -117,15 +116,17 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _open_pairs(members: DataFrame, near: DataFrame) -> DataFrame:
     """Pairs (a, b) of one bucket in different components, at least one outside the bucket's commonest component."""
     placed = members.join(near, members["digest"] == near["node"], "left").select(
-        "key", "digest", F.coalesce("component", "digest").alias("c"))
+        "key", "digest", "size", F.coalesce("component", "digest").alias("c"))
     counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("kinds"))
     mixed = materialize(mixed.filter(F.col("kinds") > 1).select(F.col("key").alias("k"), F.col("top.c").alias("top")), "line-mixed")
-    placed = materialize(placed.join(mixed, F.col("key") == F.col("k")).select("key", "digest", "c", "top"), "line-placed")
-    out = placed.filter(F.col("c") != F.col("top")).select("key", F.col("digest").alias("x"), F.col("c").alias("cx"))
-    every = placed.select(F.col("key").alias("ky"), F.col("digest").alias("y"), F.col("c").alias("cy"), "top")
-    # Two outsiders meet once.
-    on = (F.col("key") == F.col("ky")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("top")) | (F.col("x") < F.col("y")))
+    placed = materialize(placed.join(mixed, F.col("key") == F.col("k")).select("key", "digest", "size", "c", "top"), "line-placed")
+    out = placed.filter(F.col("c") != F.col("top")).select(
+        "key", F.col("digest").alias("x"), F.col("c").alias("cx"), F.col("size").alias("sx"))
+    every = placed.select(F.col("key").alias("ky"), F.col("digest").alias("y"), F.col("c").alias("cy"), F.col("size").alias("sy"), "top")
+    # Two outsiders meet once; sets whose sizes differ by more cannot reach the threshold.
+    on = ((F.col("key") == F.col("ky")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("top")) | (F.col("x") < F.col("y")))
+          & (F.least("sx", "sy") >= SIMILARITY * F.greatest("sx", "sy")))
     return out.join(every, on).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -139,21 +140,26 @@ def line_classes(docs: DataFrame) -> DataFrame:
     sig_path = scratch_path(spark, "line-signatures")
     signatures(docs).write.parquet(sig_path)
     sig = spark.read.parquet(sig_path)
-    keyed = sig.select("digest", F.explode("keys").alias("key"))
-    # Buckets of at least two different lines; the pivot is drawn anew in each.
+    # One row for each different line from here on: copies are combined before the shuffle, so a line
+    # that a third of all documents hold is one row per task.
+    each = sig.groupBy("digest").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("times"),
+                                     *[F.max(F.col("keys")[t]).alias(f"k{t}") for t in range(BANDS)])
+    each = materialize(each, "line-distinct")
+    every_key = F.array_distinct(F.array(*[F.col(f"k{t}") for t in range(BANDS)]))
+    keyed = each.select("digest", "size", "times", F.explode(every_key).alias("key"))
+    # Buckets of at least two different lines, and what they hold.
+    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    buckets = materialize(buckets.filter(F.col("n") > 1).select("key"), "line-buckets")
+    members = materialize(keyed.join(buckets, "key").select("key", "digest", "size", "times"), "line-members")
     turn = F.xxhash64("digest", "key")
-    buckets = keyed.groupBy("key").agg(F.min("digest").alias("least"), F.max("digest").alias("most"),
-                                       F.min(F.struct(turn.alias("turn"), "digest")).alias("first"))
-    buckets = materialize(buckets.filter(F.col("least") < F.col("most")).select("key", F.col("first.digest").alias("pivot")),
-                          "line-buckets")
-    members = materialize(keyed.join(buckets, "key").select("key", "digest", "pivot").distinct(), "line-members")
-    # The first occurrence of each digest in a bucket stands for it where its text is read again.
-    wanted = sig.select("digest", "doc_id", "text_key", "line_no").join(members.select("digest").distinct(), "digest", "left_semi")
-    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no", "text_key")
-    wanted = materialize(wanted.groupBy("digest").agg(F.min(order).alias("f")).select(
-        "digest", "f.doc_id", "f.text_key", "f.line_no"), "line-wanted")
+    pivots = members.groupBy(F.col("key").alias("pk")).agg(
+        F.array(F.max(F.struct("times", turn.alias("turn"), "digest"))["digest"],
+                F.min(F.struct(turn.alias("turn"), "digest"))["digest"]).alias("pivots"))
+    pivots = materialize(pivots, "line-pivots")
+    wanted = materialize(members.select("digest").distinct(), "line-wanted")
     sets = materialize(_candidate_sets(docs, wanted), "line-sets")
-    star = members.filter(F.col("digest") != F.col("pivot")).select(
+    star = members.join(pivots, F.col("key") == F.col("pk")).select("digest", F.explode(F.array_distinct("pivots")).alias("pivot"))
+    star = star.filter(F.col("digest") != F.col("pivot")).select(
         F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
     links = materialize(_links(star, sets), "line-links")
     near = materialize(connected_components(links, "a", "b"), "line-near")
@@ -166,6 +172,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
     lines = materialize(lines, "line-components")
     # Keepers: the least occurrence per component, joined back (never a window over a component);
     # written first, so that both sides of the join are plain exchanges, which the adaptive skew join splits.
+    order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no", "text_key")
     keepers = materialize(lines.groupBy("component").agg(F.min(order).alias("k")).select(F.col("component").alias("kc"), "k"),
                           "line-keepers")
     kept = (F.col("k.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("k.line_no") == F.col("line_no"))
