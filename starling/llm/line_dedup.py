@@ -1,11 +1,11 @@
-"""Fuzzy line deduplication by MinHash, in DataFrame functions only.
+"""Fuzzy line deduplication by MinHash over character shingles.
 
-A document is cut at newlines.  The shingles of a line are runs of its characters that
-begin at its words: each word with the ``REACH`` characters that follow its space, hashed to
-64 bits; so every character is in a shingle, and a token without any space is one.  Two
-lines are near-duplicates at a Jaccard similarity of ``SIMILARITY`` or more.  Of each
-connected component of near-duplicate lines the first occurrence, by (doc_id, line number),
-is kept.  Blank lines are never touched.
+A document is cut at newlines.  The shingles of a line are all its runs of ``SHINGLE``
+characters (code points), one beginning at every character; a line of fewer characters is one
+shingle.  They are hashed in numpy, a batch of lines at a time, to ``HASH_BITS`` bits; all
+else is DataFrame functions.  Two lines are near-duplicates at a Jaccard similarity of
+``SIMILARITY`` or more.  Of each connected component of near-duplicate lines the first
+occurrence, by (doc_id, line number), is kept.  Blank lines are never touched.
 
 *Signatures.*  One permutation MinHash by rotation: the sorted hashes of a line lie on a ring;
 from each of ``BANDS`` fixed points of the ring the next ``ROWS`` hashes make a band.  Two
@@ -22,7 +22,8 @@ to find.  In the others every line outside the bucket's commonest component is c
 all lines of the bucket that are in another component and near enough in size to reach the
 threshold, so no link that a bucket holds is lost.
 
-*Verification* is exact, on the full sets of shingle hashes, then union-find over the links.
+*Verification* is exact, on the full sets of shingle hashes of both lines, made again from
+their texts (sets of eight bytes a character are never written), then union-find over the links.
 
 Defined cases: null and empty texts have no lines and stay as they are; ties are by line
 number, then by text; rows that repeat (same doc_id and text) hold the same occurrence and
@@ -32,18 +33,30 @@ columns pass through ``dedup_lines`` unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, materialize, scratch_path
+from .common import BLOCK_BYTES, materialize, scratch_path, ship_package, text_blocks
 from .components import connected_components
 
-REACH = 5
+SHINGLE = 10
 SIMILARITY = 0.8
 BANDS = 8
 ROWS = 4
 #: Most candidate lines whose digests (16 bytes each) are broadcast; beyond, they are joined by shuffle.
 BROADCAST_DIGESTS = 300_000
+#: Bits of a shingle's hash; the others of 64 hold the line's place in its block.
+HASH_BITS = 52
+#: Most lines hashed at once.
+BLOCK_LINES = 1 << (64 - HASH_BITS)
+_LOW = np.uint64((1 << HASH_BITS) - 1)
+#: Odd constants that the hashes are mixed with.
+_MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -56,61 +69,143 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("digest", F.unhex(F.md5(F.col("line").cast("binary"))))
 
 
-def with_hashes(lines: DataFrame) -> DataFrame:
-    """``line`` replaced by ``hashes``: the sorted distinct hashes of its shingles.
+def _scramble(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
+    return x ^ (x >> np.uint64(31))
 
-    The words are a column of their own: an expression that a lambda captures would be
-    evaluated again for each element.
-    """
-    cut = lines.withColumn("w", F.split("line", SPACE_CLASS)).drop("line")
-    hashes = F.transform("w", lambda x, i: F.xxhash64(x, F.substring(F.get(F.col("w"), i + 1), 1, REACH)))
-    return cut.withColumn("hashes", F.sort_array(F.array_distinct(hashes))).drop("w")
 
+def _run_hashes(chars: np.ndarray) -> np.ndarray:
+    """The hash of the run of ``SHINGLE`` characters that begins at each place but the last ones."""
+    mixed = _scramble(chars)
+    n = max(len(chars) - SHINGLE + 1, 0)
+    out = np.zeros(n, np.uint64)
+    for j in range(SHINGLE):
+        out *= _MIX[0]
+        out += mixed[j:j + n]
+    return _scramble(out)
 
-def with_keys(lines: DataFrame) -> DataFrame:
-    """``hashes`` replaced by ``keys`` (the buckets of the line) and ``size``.
 
-    The points of the ring are the beginnings of ``BANDS`` equal parts of the 64-bit
-    range, so the place of a hash's part is its leading bits; the first place of each
-    part is looked up, an empty part goes on with the next.
+def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of all lines, each below its line's number, and where each line's begin.
+
+    ``data`` holds the UTF-8 bytes of the lines, ``offsets`` where each begins, and the end; no line is empty.
+    """
+    first = (data & 0xC0) != 0x80
+    first[offsets[:-1]] = True
+    starts = np.flatnonzero(first)
+    at = np.searchsorted(starts, offsets)
+    # A character's number: its bytes; never 0, which fills up short lines.
+    chars = data[starts].astype(np.uint64)
+    if len(starts) < len(data):
+        padded = np.concatenate([data, np.zeros(3, np.uint8)])
+        more = np.ones(len(starts), bool)
+        for k in (1, 2, 3):
+            byte = padded[starts + k]
+            more &= (byte & 0xC0) == 0x80
+            chars |= np.where(more, byte, 0).astype(np.uint64) << np.uint64(8 * k)
+    chars += np.uint64(1)
+    lengths = np.diff(at)
+    runs = np.maximum(lengths - SHINGLE + 1, 0)
+    line = np.repeat(np.arange(len(lengths), dtype=np.uint64), runs)
+    place = np.arange(len(line)) + np.repeat(at[:-1] - np.cumsum(runs) + runs, runs)
+    short = np.flatnonzero(runs == 0)
+    filled = np.zeros((len(short), SHINGLE), np.uint64)
+    for j in range(SHINGLE - 1):
+        there = lengths[short] > j
+        filled[there, j] = chars[at[short[there]] + j]
+    hashes = np.concatenate([_run_hashes(chars)[place], _run_hashes(filled.ravel())[::SHINGLE]])
+    line = np.concatenate([line, short.astype(np.uint64)])
+    sets = np.sort((line << np.uint64(HASH_BITS)) | (hashes >> np.uint64(64 - HASH_BITS)))
+    sets = sets[np.concatenate([[True], sets[1:] != sets[:-1]])]
+    begins = np.searchsorted(sets, np.arange(len(lengths), dtype=np.uint64) << np.uint64(HASH_BITS))
+    return sets, np.append(begins, len(sets))
+
+
+def band_keys(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The buckets of each line, one for each band.
+
+    The points of the ring are the beginnings of ``BANDS`` equal parts of the hashes' range;
+    a band goes round the end of its line's hashes.
     """
-    bits = BANDS.bit_length() - 1
-    parts = lines.withColumn("part", F.transform("hashes", lambda x: F.shiftright(x, 64 - bits)))
-    first = [F.nullif(F.array_position("part", F.lit(t).cast("bigint")), F.lit(0)) for t in range(-BANDS // 2, BANDS // 2)]
-    at = parts.select("*", F.size("hashes").alias("size"), F.concat("hashes", "hashes").alias("ring"),
-                      *[f.alias(f"p{t}") for t, f in enumerate(first)]).drop("part", "hashes")
-    keys = []
+    own, sizes = begins[:-1], np.diff(begins)
+    line = np.arange(len(own), dtype=np.uint64) << np.uint64(HASH_BITS)
+    out = np.empty((len(own), BANDS), np.uint64)
     for t in range(BANDS):
-        begin = F.coalesce(*[F.col(f"p{u}") for u in range(t, BANDS)], F.col("size") + 1)
-        keys.append(F.xxhash64(F.lit(t), F.slice("ring", begin.cast("int"), ROWS)))
-    return at.withColumn("keys", F.array(*keys)).drop("ring", *[f"p{t}" for t in range(BANDS)])
+        point = np.uint64(t * (1 << HASH_BITS) // BANDS)
+        begin = np.searchsorted(sets, line | point) - own
+        key = np.full(len(own), t + 1, np.uint64)
+        for j in range(ROWS):
+            key = _scramble(key * _MIX[0] + (sets[own + (begin + j) % sizes] & _LOW))
+        out[:, t] = key
+    return out.view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, line_no, digest, size, keys) of every line."""
-    return with_keys(with_hashes(line_rows(docs))).select("doc_id", "text_key", "line_no", "digest", "size", "keys")
+    ship_package(docs.sparkSession)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, BLOCK_LINES):
+                part = batch.slice(low, BLOCK_LINES)
+                for at, end, data, offsets in text_blocks(part.column(4)):
+                    sets, begins = shingle_sets(data, offsets)
+                    keys = band_keys(sets, begins)
+                    ends = pa.array(np.arange(end - at + 1, dtype=np.int32) * BANDS)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(c.slice(at, end - at) for c in part.columns[:4]), pa.array(np.diff(begins).astype(np.int32)),
+                         pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))],
+                        ["doc_id", "text_key", "line_no", "digest", "size", "keys"])
 
-def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(digest, hashes), once for each wanted digest, from the texts read again.
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    lines = line_rows(docs).select("doc_id", "text_key", "line_no", "digest", "line")
+    return lines.mapInArrow(run, f"doc_id {kind}, text_key bigint, line_no int, digest binary, size int, keys array<bigint>")
+
+
+def _candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(digest, line), once for each wanted digest, from the texts read again.
 
     Copies of a line are combined in each task before anything is shuffled.
     """
     lines = line_rows(docs).select("digest", "line")
     if wanted.count() <= BROADCAST_DIGESTS:
-        found = lines.join(F.broadcast(wanted), "digest", "left_semi").dropDuplicates(["digest"])
-    else:
-        found = lines.dropDuplicates(["digest"]).join(wanted, "digest", "left_semi")
-    return with_hashes(found)
+        return lines.join(F.broadcast(wanted), "digest", "left_semi").dropDuplicates(["digest"])
+    return lines.dropDuplicates(["digest"]).join(wanted, "digest", "left_semi")
+
+
+def near_lines(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """For each pair of lines, is their similarity at least the threshold."""
+    near = np.zeros(len(a), bool)
+    long = np.cumsum(pc.add(pc.binary_length(a), pc.binary_length(b)).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(a):
+        end = int(np.searchsorted(long, BLOCK_BYTES + (long[at - 1] if at else 0), side="right"))
+        end = min(max(end, at + 1), at + BLOCK_LINES)
+        found = []
+        for x in (a, b):
+            _, _, data, offsets = next(text_blocks(x.slice(at, end - at), int(long[-1])))
+            found.append(shingle_sets(data, offsets))
+        (sa, na), (sb, nb) = found
+        merged = np.sort(np.concatenate([sa, sb]))
+        same = merged[1:][merged[1:] == merged[:-1]] >> np.uint64(HASH_BITS)
+        both = np.bincount(same.astype(np.int64), minlength=end - at)
+        near[at:end] = both >= SIMILARITY * (np.diff(na) + np.diff(nb) - both)
+        at = end
+    return near
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose exact similarity reaches the threshold."""
+    joined = (pairs.join(texts.withColumnsRenamed({"digest": "da", "line": "la"}), F.col("a") == F.col("da"))
+              .join(texts.withColumnsRenamed({"digest": "db", "line": "lb"}), F.col("b") == F.col("db")))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.select(["a", "b"]).filter(pa.array(near_lines(batch.column(2), batch.column(3))))
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose exact similarity reaches the threshold."""
-    joined = (pairs.join(sets.withColumnsRenamed({"digest": "da", "hashes": "ha"}), F.col("a") == F.col("da"))
-              .join(sets.withColumnsRenamed({"digest": "db", "hashes": "hb"}), F.col("b") == F.col("db")))
-    sized = joined.select("a", "b", F.size("ha").alias("na"), F.size("hb").alias("nb"),
-                          F.size(F.array_intersect("ha", "hb")).alias("both"))
-    return sized.filter(F.col("both") >= SIMILARITY * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+    return joined.select("a", "b", "la", "lb").mapInArrow(run, "a binary, b binary")
 
 
 def _open_pairs(members: DataFrame, near: DataFrame) -> DataFrame:
@@ -157,13 +252,13 @@ def line_classes(docs: DataFrame) -> DataFrame:
                 F.min(F.struct(turn.alias("turn"), "digest"))["digest"]).alias("pivots"))
     pivots = materialize(pivots, "line-pivots")
     wanted = materialize(members.select("digest").distinct(), "line-wanted")
-    sets = materialize(_candidate_sets(docs, wanted), "line-sets")
+    texts = materialize(_candidate_lines(docs, wanted), "line-texts")
     star = members.join(pivots, F.col("key") == F.col("pk")).select("digest", F.explode(F.array_distinct("pivots")).alias("pivot"))
     star = star.filter(F.col("digest") != F.col("pivot")).select(
         F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
-    links = materialize(_links(star, sets), "line-links")
+    links = materialize(_links(star, texts), "line-links")
     near = materialize(connected_components(links, "a", "b"), "line-near")
-    rest = materialize(_links(_open_pairs(members, near), sets), "line-rest")
+    rest = materialize(_links(_open_pairs(members, near), texts), "line-rest")
     found = near if rest.isEmpty() else materialize(connected_components(links.unionByName(rest), "a", "b"), "line-found")
     occurrence = ["doc_id", "text_key", "line_no", "digest"]
     lines = sig.select(*occurrence)
