@@ -14,8 +14,14 @@ wrapper's slot behind each of its texts.
 *Main slots.*  A slot inside a navigation, header, footer, aside, form, script or style
 element, or one whose class or id names a menu, advert, notice, sidebar, comments and the
 like, is page furniture; so is a repeated group that holds links and hardly any other text.
-Of the others the main ones lie in the wrapper's article or main element if it has one,
-else in the innermost element that holds most of the remaining text of the host's pages.
+They are chosen for each shape, so pages of several templates do not decide for one another:
+of the shape's other slots the main ones lie in its own article or main element if it has
+one, else in the innermost element that holds most of the remaining text.  The host is
+evidence only: which repeated slots hold links is told from all its pages, and at each step
+inwards the text is summed over the shapes that have all the elements the shape has there
+(so a page whose article is short for once is cut like its siblings).  A shape with text
+outside furniture always has a main slot.  Pages without a host are each judged by their
+own shape.
 
 *Extraction.*  Every page of a shape gives the texts of its main slots, in page order:
 character references decoded, white space inside a block one space, blocks joined by \\n.
@@ -24,8 +30,8 @@ Cost: one pass makes the shapes, one extracts; between them only shapes are shuf
 table of main slots is broadcast up to ``BROADCAST_SHAPES`` rows, beyond that joined.
 
 Defined cases: null and empty html give the empty text; a page without any tag is one
-block; pages cut off in the middle are read as far as they go; a null or odd url is a host
-of its own (the empty one); repeated rows keep one output row each; a host with a single
+block; pages cut off in the middle are read as far as they go; a null or odd url has the
+empty host, whose shapes have a wrapper each; repeated rows keep one output row each; a host with a single
 page is its own wrapper.
 """
 
@@ -269,6 +275,16 @@ def shape_of(page: str) -> tuple[list[Item], list[tuple[str, int, bool]]]:
     return fold(items), texts
 
 
+@dataclass(slots=True)
+class ShapeSlots:
+    """The slots of one shape: where they are, the wrapper's slot for each, and how much text its pages have in them."""
+    paths: list[tuple[str, ...]]
+    in_group: list[bool]
+    numbers: list[int]
+    chars: list[float]
+    link_chars: list[float]
+
+
 class Wrapper:
     """A union-free regular expression and, for each slot, where it is and how much text it has."""
 
@@ -349,32 +365,68 @@ class Wrapper:
             self.link_chars[k] += l
         return numbers
 
-    def main_slots(self) -> set[int]:
+    def main_slots(self, shapes: list[ShapeSlots]) -> list[list[bool]]:
+        """For each of the host's shapes, which of its slots are main."""
         # An element that holds the title or the main element is no furniture, whatever its class says
         # (``page with-sidebar``).
-        titled = {path[:i + 1] for path in self.paths for i in range(len(path))
+        titled = {path[:i + 1] for s in shapes for path in s.paths for i in range(len(path))
                   if any(_tag(p) in ("h1", "main") for p in path[i + 1:])}
-        rest = []
-        for k, path in enumerate(self.paths):
-            furniture = any(_tag(p) in FURNITURE or (_has_name(p) and path[:i + 1] not in titled) for i, p in enumerate(path))
-            links = self.in_group[k] and self.link_chars[k] > 0.6 * max(self.chars[k], 1.0)
-            if not furniture and not (links and not any(_tag(p) in MAIN for p in path)):
+        kept = [self._plain(s, titled) for s in shapes]
+        # The text below each element of a shape, summed over the shapes with the same elements there.
+        below: dict[tuple[str, ...], dict[frozenset, dict[tuple[str, ...], float]]] = {}
+        children = []
+        for s, rest in zip(shapes, kept):
+            own: dict[tuple[str, ...], dict[tuple[str, ...], float]] = {}
+            for k in rest:
+                path = s.paths[k]
+                for i in range(len(path)):
+                    at = own.setdefault(path[:i], {})
+                    at[path[:i + 1]] = at.get(path[:i + 1], 0.0) + s.chars[k]
+                # Text right in an element counts for the element as a whole.
+                at = own.setdefault(path, {})
+                at[()] = at.get((), 0.0) + s.chars[k]
+            children.append(own)
+            for here, at in own.items():
+                sums = below.setdefault(here, {}).setdefault(frozenset(at), {})
+                for p, c in at.items():
+                    sums[p] = sums.get(p, 0.0) + c
+        known: dict[tuple, tuple[tuple[str, ...] | None, float]] = {}
+        return [self._main(s, rest, own, below, known) for s, rest, own in zip(shapes, kept, children)]
+
+    def _plain(self, s: ShapeSlots, titled: set[tuple[str, ...]]) -> list[int]:
+        """The slots of a shape that are neither furniture nor, if there are others, groups of links."""
+        plain, rest = [], []
+        for k, path in enumerate(s.paths):
+            if any(_tag(p) in FURNITURE or (_has_name(p) and path[:i + 1] not in titled) for i, p in enumerate(path)):
+                continue
+            plain.append(k)
+            # The wrapper's slot speaks for this one only if it lies in the same element.
+            w = s.numbers[k]
+            same = self.paths[w] == path
+            chars, link_chars = (self.chars[w], self.link_chars[w]) if same else (s.chars[k], s.link_chars[k])
+            links = (s.in_group[k] or (same and self.in_group[w])) and link_chars > 0.6 * max(chars, 1.0)
+            if not links or any(_tag(p) in MAIN for p in path):
                 rest.append(k)
+        return rest or plain
+
+    @staticmethod
+    def _main(s: ShapeSlots, rest: list[int], own: dict, below: dict, known: dict) -> list[bool]:
         for name in MAIN:
-            inner = [k for k in rest if any(_tag(p) == name for p in self.paths[k])]
+            inner = {k for k in rest if any(_tag(p) == name for p in s.paths[k])}
             if inner:
-                return set(inner)
-        total = sum(self.chars[k] for k in rest)
+                return [k in inner for k in range(len(s.paths))]
         here: tuple[str, ...] = ()
+        share = 1.0
         while True:  # the innermost element holding most of the text
-            deeper: dict[tuple[str, ...], float] = {}
-            for k in rest:
-                if len(self.paths[k]) > len(here) and self.paths[k][:len(here)] == here:
-                    p = self.paths[k][:len(here) + 1]
-                    deeper[p] = deeper.get(p, 0.0) + self.chars[k]
-            best = max(deeper, key=lambda p: (deeper[p], p), default=None)
-            if best is None or deeper[best] < MOST_TEXT * total or _tag(best[-1]) in ("p", "li", "td") or _tag(best[-1]) in INLINE:
-                return {k for k in rest if self.paths[k][:len(here)] == here}
+            mine = frozenset(own.get(here, ()))
+            if (here, mine) not in known:
+                sums = {p: sum(at[p] for has, at in below.get(here, {}).items() if mine <= has) for p in mine}
+                best = max((p for p in sums if p), key=lambda p: (sums[p], p), default=None)
+                known[here, mine] = best, sums[best] / max(sum(sums.values()), 1.0) if best else 0.0
+            best, part = known[here, mine]
+            share *= part
+            if best is None or share < MOST_TEXT or _tag(best[-1]) in ("p", "li", "td") or _tag(best[-1]) in INLINE:
+                return [k in rest and s.paths[k][:len(here)] == here for k in range(len(s.paths))]
             here = best
 
 
@@ -392,11 +444,12 @@ def _has_name(label: str) -> bool:
 def infer(shapes: list[tuple[str, str, int, list[float], list[float]]]) -> dict[str, list[int]]:
     """{shape id: which of its slots are main} for the shapes (id, json, pages, chars, link chars) of one host."""
     w = Wrapper()
-    numbers = {}
+    found = {}
     for shape_id, data, _, chars, links in sorted(shapes, key=lambda s: (-s[2], s[0])):
-        numbers[shape_id] = w.add(from_json(json.loads(data)), chars, links)
-    main = w.main_slots()
-    return {s: [int(k in main) for k in ks] for s, ks in numbers.items()}
+        shape = from_json(json.loads(data))
+        inside = [i for x in shape for i in [x.label == "("] * sum(1 for _ in slots([x]))]
+        found[shape_id] = ShapeSlots([x.path for x in slots(shape)], inside, w.add(shape, chars, links), chars, links)
+    return {s: [int(m) for m in main] for s, main in zip(found, w.main_slots(list(found.values())))}
 
 
 def blocks_text(texts: list[tuple[str, int, bool]], chosen: set[int]) -> str:
@@ -463,8 +516,10 @@ def main_slots(pages: DataFrame) -> DataFrame:
     one = heads.join(sums, ["host", "shape"], "left").withColumns({"chars": F.coalesce("chars", none), "links": F.coalesce("links", none)})
 
     def wrap(key, rows: pd.DataFrame) -> pd.DataFrame:
-        found = infer([(s, d, int(n), list(c), list(l)) for s, d, n, c, l in zip(
-            rows["shape"], rows["data"], rows["pages"], rows["chars"], rows["links"])])
+        shapes = [(s, d, int(n), list(c), list(l)) for s, d, n, c, l in zip(
+            rows["shape"], rows["data"], rows["pages"], rows["chars"], rows["links"])]
+        # Pages without a host have nothing in common.
+        found = infer(shapes) if key[0] else {k: v for s in shapes for k, v in infer([s]).items()}
         return pd.DataFrame({"host": [key[0]] * len(found), "shape": list(found), "main": list(found.values())})
 
     # A host with more shapes than one task should align is cut into parts, each with its own wrapper.
