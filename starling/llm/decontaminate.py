@@ -340,9 +340,16 @@ def _arrow_type(kind):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a passage of an item; a null doc_id is matched with null."""
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["__leak"]), "left_anti")
+    """``docs`` without the documents that hold a passage of an item.
+
+    A document is told by its doc_id (null matches null) and its text, so one that is clean
+    stays even if it shares its id with one that is not.
+    """
+    who = F.struct("doc_id", F.xxhash64("text").alias("text_key"))
+    leaks = find_leaks(docs.select(who.alias("doc_id"), "text"), benchmark).select(
+        F.col("doc_id.doc_id").alias("__leak"), F.col("doc_id.text_key").alias("__key")).distinct()
+    same = docs["doc_id"].eqNullSafe(leaks["__leak"]) & (F.xxhash64(docs["text"]) == leaks["__key"])
+    return docs.join(leaks, same, "left_anti")
 
 
 def leaks_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -20,8 +20,10 @@ pairs within the distance come out, each found once (see ``_matches``).
 Components: union-find over the fingerprints, each standing for its documents.
 
 Defined cases: null text is empty; rows repeated keep one output row each; a null
-doc_id never names a component unless its group has no other id; an empty table
-gives an empty result; further columns pass through ``keep_one_each`` unchanged.
+doc_id never names a component unless its group has no other id; a document is told
+by its doc_id and text, so texts that share an id, or have none, are different
+documents; an empty table gives an empty result; further columns pass through
+``keep_one_each`` unchanged.
 """
 
 from __future__ import annotations
@@ -114,29 +116,39 @@ def _matches(fps: DataFrame, bits: int) -> DataFrame:
     return asked.join(stored, on).select("a", "b")
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the least doc_id of the component."""
-    rows = materialize(fingerprints(docs, shingle), "simhash-rows")
-    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+def _named(docs: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """(who, fp, keeper) of every row: its document and the least one of its component, ids before null.
+
+    A document is the struct (no_id, doc_id, text_key), in this order.
+    """
+    who = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text_key"))
+    rows = materialize(fingerprints(docs.select(who.alias("doc_id"), "text"), shingle).withColumnRenamed("doc_id", "who"), "simhash-rows")
+    fps = materialize(rows.groupBy("fp").agg(F.min("who").alias("first")), "simhash-distinct")
     links = _matches(fps.select("fp"), bits)
     found = connected_components(links, "a", "b")
     grouped = fps.join(found, fps["fp"] == found["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = grouped.join(least, "root").select(F.col("fp").alias("nfp"), "component_id")
-    return rows.join(named, rows["fp"] == named["nfp"]).select("doc_id", "fp", "component_id")
+    least = grouped.groupBy("root").agg(F.min("first").alias("keeper"))
+    named = grouped.join(least, "root").select(F.col("fp").alias("nfp"), "keeper")
+    return rows.join(named, rows["fp"] == named["nfp"]).select("who", "fp", "keeper")
+
+
+def components(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """(doc_id, fp, component_id) of every row; component_id is the least doc_id of the component."""
+    return _named(docs, shingle, bits).select("who.doc_id", "fp", F.col("keeper.doc_id").alias("component_id"))
 
 
 def keep_one_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """``docs`` with one document of each component: the one that names it (least doc_id).
+    """``docs`` with one document of each component: the least by (doc_id, nulls last, text digest).
 
-    Rows that repeat (same doc_id and text) are reduced to one.  A group whose ids
-    are all null keeps one row of each text.
+    Rows that repeat (same doc_id and text) are reduced to one.
     """
-    found = components(docs, shingle, bits)
-    kept = materialize(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(
-        F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")), "simhash-kept")
-    left = docs.join(kept.select("__id"), docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    own = _named(docs, shingle, bits).filter(
+        F.col("who.doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("who.text_key") == F.col("keeper.text_key")))
+    kept = materialize(own.groupBy(F.col("who.doc_id").alias("__id"), F.col("who.text_key").alias("__key")).agg(
+        F.count(F.lit(1)).alias("__n")), "simhash-kept")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key"))
+    left = docs.join(kept.select("__id", "__key"), same, "left_semi")
     if kept.filter(F.col("__n") > 1).limit(1).count():  # else there is no repeated row to look for
         left = left.dropDuplicates(["doc_id", "text"])
     return left
