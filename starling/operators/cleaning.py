@@ -68,7 +68,7 @@ def _email_present(email: Column) -> Column:
     return email.isNotNull() & (email != "") & (email != "NaN")
 
 
-def _email_missing(email: Column) -> Column:
+def email_missing(email: Column) -> Column:
     t = strip(email)
     return email.isNull() | (t == "") | (F.lower(t) == "nan")
 
@@ -90,7 +90,7 @@ def flag_customers(raw: DataFrame, hyphen_day_first: bool = False, reuse: bool =
         firsts = materialize(firsts, "email_firsts")
     f = g.join(firsts, "email", "left")
     crm = _email_present(email) & (F.col("_seq") != F.col("_first_seq"))
-    missing = ~crm & _email_missing(email)
+    missing = ~crm & email_missing(email)
     alive = ~crm & ~missing
     return f.select(
         *CUSTOMER_COLS, "_n",

@@ -88,7 +88,7 @@ def metrics_elapsed(fact: DataFrame) -> DataFrame:
             .filter(F.col("recency").isNotNull() & F.col("monetary").isNotNull()))
 
 
-def metrics_calendar(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def metrics_calendar(fact: DataFrame, dim_customers: DataFrame, reuse: bool = True) -> DataFrame:
     """A12a/b: dimension x fact population, calendar-day recency, spend rounded to cents.
 
     Aggregated per customer *before* the join.  The SQL groups the join by
@@ -96,14 +96,20 @@ def metrics_calendar(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
     that group's spend by k, which is reproduced exactly with the row count k.
     A customer without any dated or without any priced line has no recency or no
     spend to rank and is left out, as in ``metrics_elapsed``.
+
+    ``reuse=False`` is for inputs in equal buckets of the customer: the per-customer rows are
+    not written but joined where they are, in their buckets, and the reference date is
+    a scan of its own over one column.
     """
     day = F.to_date("order_date")
-    per = materialize(fact.groupBy("customer_id").agg(
+    per = fact.groupBy("customer_id").agg(
         F.max(day).alias("_last"),
         F.count_distinct("order_id").alias("frequency_orders"),
-        F.sum("item_total").alias("_spend")), "rfm_per_customer")
+        F.sum("item_total").alias("_spend"))
+    if reuse:
+        per = materialize(per, "rfm_per_customer")
     dims = dim_customers.groupBy("customer_id", "name", "email").agg(F.count(F.lit(1)).alias("_k"))
-    ref = per.agg(F.max("_last")).scalar()  # over all rows of the fact, before the join
+    ref = (per.agg(F.max("_last")) if reuse else fact.agg(F.max(day))).scalar()  # over all rows of the fact, before the join
     return (per.filter(F.col("_last").isNotNull() & F.col("_spend").isNotNull()).join(dims, "customer_id")
             .select("customer_id", F.col("name").alias("customer_name"), "email",
                     F.datediff(ref, F.col("_last")).cast("bigint").alias("recency_days"),
@@ -129,16 +135,16 @@ def rfm_p(fact: DataFrame) -> DataFrame:
     return s.withColumn("segment", segment_p(F.col("r_score"), F.col("f_score"), F.col("m_score")))
 
 
-def _scored_q(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def _scored_q(fact: DataFrame, dim_customers: DataFrame, reuse: bool = True) -> DataFrame:
     """Preset Q's metrics and scores, spend still DECIMAL."""
-    return score(metrics_calendar(fact, dim_customers), "recency_days", "frequency_orders", "monetary_spend",
+    return score(metrics_calendar(fact, dim_customers, reuse), "recency_days", "frequency_orders", "monetary_spend",
                  ["customer_id", "customer_name", "email"], method="ntile")
 
 
-def rfm_q(fact: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def rfm_q(fact: DataFrame, dim_customers: DataFrame, reuse: bool = True) -> DataFrame:
     """Preset Q, the SQL report's columns and order (largest spend first, then customer)."""
     r, f, mm = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    report = _scored_q(fact, dim_customers).orderBy(F.desc("monetary_spend"), "customer_id", "customer_name", "email")
+    report = _scored_q(fact, dim_customers, reuse).orderBy(F.desc("monetary_spend"), "customer_id", "customer_name", "email")
     return report.select(
         "customer_id", "customer_name", "email", "recency_days", "frequency_orders",
         F.col("monetary_spend").cast("double").alias("monetary_spend"),
