@@ -24,9 +24,10 @@ class CleanRun:
     not plan (or analyse) the order pipeline.
     """
 
-    def __init__(self, raw: dict[str, DataFrame], hyphen_day_first: bool = False):
+    def __init__(self, raw: dict[str, DataFrame], hyphen_day_first: bool = False, rejected: dict[str, int] | None = None):
         self.raw = raw
         self.hyphen_day_first = hyphen_day_first
+        self.rejected = rejected
 
     @cached_property
     def _customers(self) -> cl.Cleaned:
@@ -71,11 +72,16 @@ class CleanRun:
             orphans["orphan_product_lines"].alias("orphan_product_lines_dropped"),
             orphans["kept_lines"].alias("final_rows"),
         )
-        return reduce(DataFrame.unionByName, [
+        report = reduce(DataFrame.unionByName, [
             _long(self._customers.metrics, "customers", cl.CUSTOMER_METRICS),
             _long(self._products.metrics, "products", cl.PRODUCT_METRICS),
             _long(order_counts, "orders", cl.ORDER_METRICS),
         ])
+        if self.rejected is None:
+            return report
+        # Before step 0: rows of the files that never became rows of a table.
+        aside = [(t, -1, "malformed_rows_set_aside", n) for t, n in self.rejected.items()]
+        return report.unionByName(report.sparkSession.createDataFrame(aside, "table_name string, step int, metric string, value bigint"))
 
     def star(self) -> dict[str, DataFrame]:
         return {"dim_customers": self.dim_customers, "dim_products": self.dim_products,
@@ -90,14 +96,25 @@ def _long(metrics: DataFrame, table: str, names: list[str]) -> DataFrame:
                           F.expr(f"stack({len(ordered)}, {pairs}) AS (step, metric, value)"))
 
 
-def clean(raw: dict[str, DataFrame], hyphen_day_first: bool = False) -> CleanRun:
-    return CleanRun(raw, hyphen_day_first)
+def clean(raw: dict[str, DataFrame], hyphen_day_first: bool = False, rejected: dict[str, int] | None = None) -> CleanRun:
+    """``rejected``: malformed rows by table that were set aside before (they head the report)."""
+    return CleanRun(raw, hyphen_day_first, rejected)
 
 
-def ensure_star(spark, raw_dir: str, star_dir: str, hyphen_day_first: bool = False) -> dict[str, DataFrame]:
+def clean_files(spark, raw_dir: str, hyphen_day_first: bool = False, max_rejects: int | None = None) -> tuple[CleanRun, DataFrame]:
+    """The cleaning run over raw CSV files whose malformed rows are set aside, and these rows."""
+    from ..sources.raw import read_raw_tables_aside
+
+    read = read_raw_tables_aside(spark, raw_dir, max_rejects)
+    run = clean({n: r.rows for n, r in read.items()}, hyphen_day_first, {n: r.rejected for n, r in read.items()})
+    return run, reduce(DataFrame.unionByName, [r.rejects for r in read.values()])
+
+
+def ensure_star(spark, raw_dir: str, star_dir: str, hyphen_day_first: bool = False, max_rejects: int = 0) -> dict[str, DataFrame]:
     """Read the published star; when any of its tables is absent, build all of it from
     the raw CSV extracts (S1 -> cleaning -> publish) first, over what a broken build left.
-    A missing raw table stops with its name (S6)."""
+    A missing raw table stops with its name (S6).  Up to ``max_rejects`` malformed rows a table
+    are set aside (written to ``_rejects`` beside the star); more end the load."""
     from ..operators.warehouse import publish_star
     from ..sources.raw import read_raw_tables
 
@@ -108,6 +125,10 @@ def ensure_star(spark, raw_dir: str, star_dir: str, hyphen_day_first: bool = Fal
     except Exception as exc:  # AnalysisException: a table is absent, or its folder holds no finished file
         if not any(x in str(exc) for x in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
             raise
-    run = clean(read_raw_tables(spark, raw_dir), hyphen_day_first)
+    if max_rejects:
+        run, rejects = clean_files(spark, raw_dir, hyphen_day_first, max_rejects)
+        rejects.write.mode("overwrite").parquet(f"{base}/_rejects")
+    else:
+        run = clean(read_raw_tables(spark, raw_dir), hyphen_day_first)
     paths = publish_star(spark, run.star(), base, overwrite=True)
     return {n: spark.read.parquet(paths[n]) for n in names}

@@ -3,22 +3,46 @@
 Raw files are read with an explicit all-STRING schema (never inferred), null
 tokens are normalised by one projection, and a file-order sequence is taken at
 the scan, before any shuffle, because "keep the first row" means first in the file.
+
+A value may hold newlines inside quotes, and Spark can split a CSV file over tasks only if none
+does.  Large files are therefore looked through once as plain text (which can be split): a
+newline inside quotes leaves lines with an odd number of quotes, so without such a line the file
+is read split (``splittable``).
+
+Rows with too many or too few values end the read, or are set aside with their file and text
+(``read_raw_aside``), up to a limit.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import normalize_null_tokens
 from ..schemas import RAW_FLAT, RAW_SCHEMAS
+from ..session import scratch_path
+
+CORRUPT = "_corrupt"
 
 
 class MissingInputError(FileNotFoundError):
     """A required raw table is absent; carries the table name."""
 
 
+class TooManyRejects(ValueError):
+    """More malformed rows than the load allows."""
+
+
+class RawRead(NamedTuple):
+    """Well-formed rows (as ``read_raw_csv`` gives them), and the malformed ones: (table_name, file, text)."""
+    rows: DataFrame
+    rejects: DataFrame
+    rejected: int
+
+
 def file_order_seq() -> F.Column:
     """Orderable position of a row in its input files.
 
@@ -39,25 +63,49 @@ def _csv_reader(spark: SparkSession, multi_line: bool):
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
-def _read_by_name(spark: SparkSession, path: str, expected: T.StructType, table: str, multi_line: bool) -> DataFrame:
+def splittable(spark: SparkSession, path: str) -> bool:
+    """Can the files be read in pieces: is there no newline inside a quoted value?
+
+    Doubled quotes keep a line's number of quotes even.  A stray quote makes the answer "no", which
+    is only slower.  Files that are one task anyway, for they are smaller than a split, are not looked at.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    found = fs.globStatus(p) or []
+    sizes = [fs.getContentSummary(f.getPath()) for f in found]
+    if not any(x.getLength() > most for x in sizes):
+        return False
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def _read_by_name(spark: SparkSession, path: str, expected: T.StructType, table: str, multi_line: bool | None,
+                  aside: bool = False) -> DataFrame:
     """All-string columns of a header CSV, chosen by the header's names, not by place.
 
     The header names the columns (and every further file must have the same header);
-    doubled quotes and, with ``multi_line``, newlines inside quotes belong to the value.
-    A row with too many or too few values stops the read (``FAILFAST``): it would
-    otherwise shift or lose columns silently.
+    doubled quotes and, with ``multi_line``, newlines inside quotes belong to the value
+    (None: it is found out whether there are any).  A row with too many or too few values stops
+    the read (``FAILFAST``): it would otherwise shift or lose columns silently.  With ``aside`` its text
+    is in the column ``CORRUPT`` instead, which is null for all others.
     """
     try:
-        header = _csv_reader(spark, multi_line).csv(path).schema
+        header = _csv_reader(spark, multi_line is not False).csv(path).schema
     except Exception as exc:  # AnalysisException: PATH_NOT_FOUND
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
             raise MissingInputError(f"required input table '{table or path}' not found at {path}") from exc
         raise
     strings = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields])
     check_schema_names(strings, expected, table or path)
+    if multi_line is None:
+        multi_line = not splittable(spark, path)
     # Without column pruning: a row is malformed by its number of values, whichever columns are asked for.
-    return (_csv_reader(spark, multi_line).schema(strings).option("enforceSchema", False).option("mode", "FAILFAST")
-            .option("columnPruning", False).csv(path))
+    reader = _csv_reader(spark, multi_line).option("enforceSchema", False).option("columnPruning", False)
+    if aside:
+        strings = T.StructType([*strings.fields, T.StructField(CORRUPT, T.StringType())])
+        return reader.schema(strings).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return reader.schema(strings).option("mode", "FAILFAST").csv(path)
 
 
 def check_schema_names(have: T.StructType, expected: T.StructType, table: str) -> None:
@@ -66,17 +114,41 @@ def check_schema_names(have: T.StructType, expected: T.StructType, table: str) -
         raise ValueError(f"{table}: columns {missing} are not in the header {have.fieldNames()}")
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table: str = "", multi_line: bool = True) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table: str = "",
+                 multi_line: bool | None = None) -> DataFrame:
     """Header CSV -> all-string frame + ``_seq``; a missing path fails with the table name.
 
-    ``multi_line=False`` lets Spark split large files, for extracts known to have no
-    newline inside a value; with it a file is one task (extracts come in many files).
+    Large files are split over tasks unless a value holds a newline; ``multi_line`` True or False says
+    that one may, or that none does, and saves the look through the text.
     """
     df = _read_by_name(spark, path, schema, table, multi_line)
     df = df.select(*schema.fieldNames(), file_order_seq().alias("_seq"))
     return normalize_null_tokens(df, schema.fieldNames())
 
 
+def read_raw_aside(spark: SparkSession, path: str, schema: T.StructType, table: str = "", multi_line: bool | None = None,
+                   max_rejects: int | None = None) -> RawRead:
+    """As ``read_raw_csv``, with malformed rows set aside.
+
+    The files are parsed once: all rows are written to the scratch folder, the malformed ones counted
+    on the way, and both results read that copy.  More than ``max_rejects`` of them (None: any number)
+    end the load with TooManyRejects before anything is built from it.
+    """
+    df = _read_by_name(spark, path, schema, table, multi_line, aside=True)
+    df = df.select(*schema.fieldNames(), CORRUPT, file_order_seq().alias("_seq"))
+    seen, copy = Observation(), scratch_path(spark, f"raw_{table or 'table'}")
+    df.observe(seen, F.count("_corrupt").alias("rejected"), F.count(F.lit(1)).alias("all_rows")).write.parquet(copy)
+    rejected = seen.get["rejected"]
+    if max_rejects is not None and rejected > max_rejects:
+        raise TooManyRejects(f"{table or path}: {rejected} malformed rows of {seen.get['all_rows']}, at most {max_rejects} are allowed; "
+                             f"they are the rows with {CORRUPT} in {copy}")
+    read = spark.read.parquet(copy)
+    rows = normalize_null_tokens(read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), schema.fieldNames())
+    rejects = read.filter(F.col(CORRUPT).isNotNull()).select(
+        F.lit(table).alias("table_name"), F.col("_seq.file").alias("file"), F.col(CORRUPT).alias("text"))
+    return RawRead(rows, rejects, rejected)
+
+
 def read_raw_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """customers.csv, products.csv, orders.csv under ``raw_dir`` (each may be a folder of parts)."""
     base = raw_dir.rstrip("/")
@@ -84,6 +156,12 @@ def read_raw_tables(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
             for name, schema in RAW_SCHEMAS.items()}
 
 
+def read_raw_tables_aside(spark: SparkSession, raw_dir: str, max_rejects: int | None = None) -> dict[str, RawRead]:
+    base = raw_dir.rstrip("/")
+    return {name: read_raw_aside(spark, f"{base}/{name}.csv", schema, name, max_rejects=max_rejects)
+            for name, schema in RAW_SCHEMAS.items()}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header CSV sink (the export form of the star; Parquet is the primary form).
 
@@ -105,7 +183,7 @@ def check_schema(df: DataFrame, expected: T.StructType, table: str) -> None:
         raise ValueError(f"{table}: schema contract broken; missing={missing} wrong_type={wrong}")
 
 
-def read_flat_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_flat_sales(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Flat denormalised sales file (S5), columns by name, typed by ``try_cast``.
 
     The time is cast zone-less at once: reading it through the session zone would move
