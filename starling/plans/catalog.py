@@ -9,11 +9,12 @@ as DOUBLE (exact cents), counts as BIGINT, dates and times as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import add_months_keep_time, parse_mixed_datetime, render_date, render_datetime
+from ..functions.dates import add_months_keep_time, month_key, parse_mixed_datetime, render_date, render_datetime
 from ..operators import integrity as ig
 from ..operators import kpis, payload, rfm
 from ..operators import warehouse as wh
@@ -22,7 +23,7 @@ from ..session import materialize, scratch_path
 from ..sources import messy
 from ..sources import raw as rw
 from ..sources import tables as tb
-from . import etl
+from . import etl, marts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,7 +207,6 @@ def q_fk_violations(spark, sf_dir):
 
 def _table_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """Per table: rows, and the money sum that identifies its content."""
-    from functools import reduce
     parts = [
         tables["dim_customers"].agg(F.count(F.lit(1)).alias("rows"),
                                     F.lit(None).cast("double").alias("amount")),
@@ -288,10 +288,138 @@ def q_replace_by_key(spark, sf_dir):
     return _upsert_query(spark, sf_dir, "replace", reduce_keys=False)
 
 
+def _restated(spark, sf_dir, days: int):
+    """The fact up to its latest order, first line of each key; and as a batch its last ``days`` days restated
+    (quantity + 1), with the orders' totals recomputed."""
+    fact = materialize(tb.fact_sales(spark, sf_dir, extended=True, written=True), "restated_source")
+    cols = ["customer_id", "quantity", "unit_price", "item_total", "order_total", "order_date"]
+    order = ["line_number", "supplier_id", "quantity", "unit_price", "customer_id", "item_total", "order_total", "order_date"]
+    firsts = fact.groupBy("order_id", "product_id").agg(F.min(F.struct(*order)).alias("r")).select(
+        "order_id", "product_id", *[F.col("r")[c].alias(c) for c in cols])
+    firsts = materialize(firsts, "restated_firsts")
+    latest = fact.agg(F.max("order_date")).scalar()
+    staged = firsts.filter(F.col("order_date") >= latest - F.expr(f"INTERVAL {days} DAYS"))
+    staged = staged.withColumn("quantity", F.col("quantity") + 1).withColumn(
+        "item_total", (F.col("quantity") * F.col("unit_price")).cast(MONEY))
+    staged = tb.with_order_totals(staged.drop("order_total"), split_hot=True).select(*firsts.columns)
+    return firsts.filter(F.col("order_date") < latest), staged
+
+
+def q_upsert_buckets(spark, sf_dir):
+    """A batch of two days into a fact laid out by hash of the key: only folders of the staged keys'
+    buckets are read and written again."""
+    target, staged = _restated(spark, sf_dir, 2)
+    table, keys = scratch_path(spark, "fact_buckets"), ["order_id", "product_id"]
+    wh.upsert_table(spark, table, target, keys, buckets=64, sort_by=wh.SORT_KEYS["fact_sales"], new_table=True)
+    wh.upsert_table(spark, table, staged, keys)
+    return _fact_out(wh.read_current(spark, table))
+
+
+def q_marts_incremental(spark, sf_dir):
+    """KPI marts kept up to date by a batch of 90 days, from additive parts."""
+    target, staged = _restated(spark, sf_dir, 90)
+    base = scratch_path(spark, "marts_incremental")
+    products, customers = tb.dim_products(spark, sf_dir), tb.dim_customers(spark, sf_dir)
+    wh.upsert_table(spark, f"{base}/fact", target, ["order_id", "product_id"], partition_by=["order_month"], new_table=True)
+    marts.build_parts(spark, target, products, f"{base}/marts")
+    marts.load_batch(spark, f"{base}/fact", f"{base}/marts", staged, products, "restated")
+    got = marts.publish_marts(spark, f"{base}/marts", customers)
+    nothing = F.lit(None).cast("bigint")
+    return (got["kpi_totals"].select(F.lit("kpi_totals").alias("mart"), F.lit("all").alias("key"), F.col("total_revenue").alias("revenue"),
+                                     F.col("total_orders").alias("orders"))
+            .unionByName(got["category_sales"].select(F.lit("category_sales").alias("mart"), F.col("category").alias("key"), "revenue",
+                                                      nothing.alias("orders")))
+            .unionByName(got["monthly_sales"].select(F.lit("monthly_sales").alias("mart"), F.col("month").alias("key"), "revenue",
+                                                     nothing.alias("orders"))))
+
+
+class _Stopped(RuntimeError):
+    pass
+
+
+def q_load_resume(spark, sf_dir):
+    """A load whose fact fails after the dimensions were committed, then the same load again: dimensions
+    are left as they are, the fact is loaded, a third run changes nothing."""
+    star = tb.star(spark, sf_dir, written=True)
+    target = scratch_path(spark, "warehouse_resume")
+    broken = star["fact_sales"].withColumn("quantity", F.when(F.col("quantity") > 0, F.raise_error(F.lit("stopped"))).cast("int"))
+    try:
+        wh.load_star(spark, {**star, "fact_sales": broken}, target, load_id="load-1")
+        raise _Stopped("the broken fact was loaded")
+    except _Stopped:
+        raise
+    except Exception as exc:
+        if "stopped" not in str(exc):
+            raise
+    wh.load_star(spark, star, target, load_id="load-1", enforce_foreign_keys=True)
+    loaded = wh.load_star(spark, star, target, load_id="load-1")
+    versions = [(n, wh.current_version(spark, f"{target}/{n}").version) for n in loaded]
+    return _table_summary(loaded).join(spark.createDataFrame(versions, "table_name string, version bigint"), "table_name")
+
+
+def q_rfm_bucketed(spark, sf_dir):
+    """Fact and customers in equal buckets of the customer; the RFM report over them needs no exchange
+    up to its ranks."""
+    prefix = f"bucketed_{scratch_path(spark, 'b').rsplit('-', 1)[-1]}_"
+    star = wh.publish_bucketed_star(spark, tb.star(spark, sf_dir), scratch_path(spark, "bucketed"),
+                                    int(spark.conf.get("spark.sql.shuffle.partitions")), prefix)
+    return rfm.rfm_q(star["fact_sales"], star["dim_customers"], reuse=False)
+
+
+def q_category_sales_replicated(spark, sf_dir):
+    """Revenue by category with the written product dimension, replicated or not by its measured size."""
+    star = _star(spark, sf_dir)
+    path = scratch_path(spark, "products")
+    star["dim_products"].write.parquet(path)
+    return kpis.category_sales(star["fact_sales"], wh.dimension(spark, path))
+
+
+def q_distinct_sketch(spark, sf_dir):
+    """A1b/A1c, optional: orders and customers by month and over all, from stored sketches; and are they
+    within 5 % of the exact counts."""
+    fact = _star(spark, sf_dir)["fact_sales"].select("order_id", "customer_id", "order_date")
+    fact = materialize(fact, "sketch_fact")
+    est = kpis.merge_distinct(materialize(kpis.distinct_parts(fact), "sketches"))
+    month = month_key(F.col("order_date"))
+    exact = fact.groupBy(month.alias("m")).agg(F.count_distinct("order_id").alias("exact_orders"),
+                                               F.count_distinct("customer_id").alias("exact_customers"))
+    whole = fact.agg(F.count_distinct("order_id").alias("exact_orders"), F.count_distinct("customer_id").alias("exact_customers"))
+    exact = exact.unionByName(whole.select(F.lit(None).cast("string").alias("m"), "*"))
+
+    def near(a: str, b: str):
+        return F.abs(F.col(a) - F.col(b)) <= 0.05 * F.col(b)
+
+    return est.join(exact, F.col("month").eqNullSafe(F.col("m"))).select(
+        F.coalesce("month", F.lit("all")).alias("month"), "exact_orders", "exact_customers",
+        near("orders", "exact_orders").alias("orders_near"), near("customers", "exact_customers").alias("customers_near"))
+
+
 # ------------------------------------------------------------------ flat file, profiles, payload
 
-def q_flat_kpis(spark, sf_dir):
-    """Write the flat sales file (CSV), read it back with its fixed schema, KPIs per category."""
+def q_csv_rejects(spark, sf_dir):
+    """A CSV of all customers in which names hold a bare comma and cities a bare newline now and then: the
+    malformed rows with their text, and how many rows are left."""
+    c = tb.read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    raw = c.select(
+        key.cast("string").alias("customer_id"),
+        F.concat("c_name", F.when(key % 97 == 0, ",Jr").otherwise("")).alias("name"), tb.customer_email(F.col("c_name")).alias("email"),
+        F.lit("2024-01-05").alias("signup_date"),
+        F.concat(F.col("c_nationkey").cast("string"), F.when(key % 101 == 0, "\nNorth").otherwise("")).alias("city"),
+        F.col("c_mktsegment").alias("state"), F.lit("US").alias("country"))
+    path = scratch_path(spark, "ragged")
+    # As lines of one column named like the whole header, so that nothing is quoted.
+    lines = raw.select(F.explode(F.split(F.concat_ws(",", *raw.columns), "\n")).alias(",".join(raw.columns)))
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)
+    read = rw.read_raw_aside(spark, path, rw.RAW_SCHEMAS["customers"], "customers")
+    kept = read.rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("customer_id").cast("bigint")).alias("ids"))
+    return (read.rejects.groupBy("table_name", "text").agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("bigint").alias("ids"))
+            .unionByName(kept.select(F.lit("customers").alias("table_name"), F.lit(None).cast("string").alias("text"),
+                                     F.col("n").alias("rows"), "ids")))
+
+
+def _flat_file(spark, sf_dir):
+    """The flat sales file, written as CSV and read back with its fixed schema."""
     s = _star(spark, sf_dir)
     flat = (s["fact_sales"].join(s["dim_customers"].select("customer_id", F.col("name").alias("customer_name")),
                                  "customer_id", "left")
@@ -301,13 +429,27 @@ def q_flat_kpis(spark, sf_dir):
                     render_datetime(F.col("order_date")).alias("order_date")))
     path = scratch_path(spark, "flat_sales")
     rw.write_csv(flat, path)
-    back = rw.read_flat_sales(spark, path)
-    return (back.filter(F.col("category").isNotNull()).groupBy("category").agg(
-        F.sum("item_total").cast("decimal(18,2)").cast("double").alias("revenue"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count(F.lit(1)).alias("lines"),
-        F.count_distinct("customer_name").alias("customers"),
-        F.sum("quantity").cast("bigint").alias("units")))
+    return rw.read_flat_sales(spark, path)
+
+
+def _flat_measures():
+    return [F.sum("item_total").cast("decimal(18,2)").cast("double").alias("revenue"),
+            F.count_distinct("order_id").alias("orders"),
+            F.count(F.lit(1)).alias("lines")]
+
+
+def q_flat_kpis_customers(spark, sf_dir):
+    """The KPIs of the flat file by customer, with the latest order."""
+    back = _flat_file(spark, sf_dir)
+    return back.filter(F.col("customer_name").isNotNull()).groupBy("customer_name").agg(
+        *_flat_measures(), F.count_distinct("category").alias("categories"), F.sum("quantity").cast("bigint").alias("units"),
+        render_datetime(F.max("order_date")).alias("latest_order"))
+
+def q_flat_kpis(spark, sf_dir):
+    """Write the flat sales file (CSV), read it back with its fixed schema, KPIs per category."""
+    back = _flat_file(spark, sf_dir)
+    return back.filter(F.col("category").isNotNull()).groupBy("category").agg(
+        *_flat_measures(), F.count_distinct("customer_name").alias("customers"), F.sum("quantity").cast("bigint").alias("units"))
 
 
 def q_seasonality_share(spark, sf_dir):
@@ -353,6 +495,28 @@ def q_dashboard_document(spark, sf_dir):
                        F.col("e.value.revenue").alias("segment_revenue")).drop("e")
 
 
+def q_dashboard_entries(spark, sf_dir):
+    """Every entry of the written document: the amounts of the maps and the fields of the list."""
+    star = _star(spark, sf_dir)
+    used = ["order_id", "customer_id", "product_id", "quantity", "item_total", "order_date"]
+    star["fact_sales"] = materialize(star["fact_sales"].select(*used), "document_fact")
+    path = scratch_path(spark, "document")
+    payload.write_payload(payload.payload_document(payload.payload_parts(star), generated_at="now"), path)
+    doc = spark.read.text(path)
+    amounts = F.map_entries(F.from_json(F.col("part"), "map<string,double>"))
+    parts = [doc.select(F.lit(name).alias("section"), F.get_json_object("value", f"$.{name}").alias("part"))
+             .select("section", F.explode(amounts).alias("e")).select("section", F.col("e.key").alias("key"), F.col("e.value").alias("num_value"),
+                                                                      F.lit(None).cast("string").alias("text_value"))
+             for name in ("metrics", "category_sales", "monthly_sales", "monthly_signups")]
+    rows = "array<struct<order_id:string,customer_name:string,product_name:string,category:string,quantity:double,item_total:double,order_date:string>>"
+    recent = doc.select(F.posexplode(F.from_json(F.get_json_object("value", "$.recent_transactions"), rows)).alias("p", "r"))
+    texts, numbers = ["order_id", "customer_name", "product_name", "category", "order_date"], ["quantity", "item_total"]
+    fields = [F.struct(F.concat("p", F.lit(f".{f}")).alias("key"), (F.col(f"r.{f}") if f in numbers else F.lit(None).cast("double")).alias("num_value"),
+                       (F.col(f"r.{f}") if f in texts else F.lit(None).cast("string")).alias("text_value")) for f in texts + numbers]
+    parts.append(recent.select(F.lit("recent_transactions").alias("section"), F.inline(F.array(*fields))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Query] = {
     "kpi_totals": q_kpi_totals,
     "category_sales": q_category_sales,
@@ -382,6 +546,15 @@ QUERIES: dict[str, Query] = {
     "load_star": q_load_star,
     "upsert_merge": q_upsert_merge,
     "replace_by_key": q_replace_by_key,
+    "upsert_buckets": q_upsert_buckets,
+    "marts_incremental": q_marts_incremental,
+    "load_resume": q_load_resume,
+    "rfm_bucketed": q_rfm_bucketed,
+    "category_sales_replicated": q_category_sales_replicated,
+    "distinct_sketch": q_distinct_sketch,
+    "csv_rejects": q_csv_rejects,
+    "flat_kpis_customers": q_flat_kpis_customers,
+    "dashboard_entries": q_dashboard_entries,
     "flat_kpis": q_flat_kpis,
     "seasonality_share": q_seasonality_share,
     "messiness_profile": q_messiness_profile,

@@ -522,6 +522,65 @@ FROM merged"""
 UPSERT_MERGE = _upsert("firsts")
 REPLACE_BY_KEY = _upsert("fact_sales")
 
+
+def _restated(days: int) -> str:
+    """``merged``: the fact before its latest order, with its last ``days`` days restated."""
+    return _with(_STAR, _UPSERT_BASE) + f""",
+batch AS (
+  SELECT f.order_id, f.customer_id, f.product_id, f.quantity + 1 AS quantity, f.unit_price,
+         CAST((f.quantity + 1) * f.unit_price AS DECIMAL(18,2)) AS item_total, f.order_date
+  FROM firsts f, ref WHERE f.order_date >= ref_ts - INTERVAL {days} DAY
+),
+merged AS (
+  SELECT order_id, customer_id, product_id, quantity, unit_price, item_total,
+         SUM(item_total) OVER (PARTITION BY order_id) AS order_total, order_date FROM batch
+  UNION ALL
+  SELECT order_id, customer_id, product_id, quantity, unit_price, item_total, order_total, order_date
+  FROM firsts WHERE (order_id, product_id) NOT IN (SELECT (order_id, product_id) FROM batch)
+)"""
+
+
+UPSERT_BUCKETS = _restated(2) + """
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+       CAST(product_id AS VARCHAR) AS product_id, CAST(quantity AS BIGINT) AS quantity,
+       CAST(unit_price AS DOUBLE) AS unit_price, CAST(item_total AS DOUBLE) AS item_total,
+       CAST(order_total AS DOUBLE) AS order_total, strftime(order_date, '%Y-%m-%d %H:%M:%S') AS order_date
+FROM merged"""
+
+MARTS_INCREMENTAL = _restated(90) + """
+SELECT 'kpi_totals' AS mart, 'all' AS key, CAST(SUM(item_total) AS DOUBLE) AS revenue, COUNT(DISTINCT order_id) AS orders FROM merged
+UNION ALL
+SELECT 'category_sales', p.category, CAST(SUM(m.item_total) AS DOUBLE), NULL
+FROM merged m JOIN dim_products p ON m.product_id = p.product_id GROUP BY p.category
+UNION ALL
+SELECT 'monthly_sales', strftime(order_date, '%Y-%m'), CAST(SUM(item_total) AS DOUBLE), NULL FROM merged GROUP BY 2"""
+
+LOAD_RESUME = _with(_STAR) + f"SELECT s.*, CAST(1 AS BIGINT) AS version FROM ({_SUMMARY}) s"
+
+DISTINCT_SKETCH = _with(_STAR) + """
+SELECT coalesce(strftime(order_date, '%Y-%m'), 'all') AS month, COUNT(DISTINCT order_id) AS exact_orders,
+       COUNT(DISTINCT customer_id) AS exact_customers, TRUE AS orders_near, TRUE AS customers_near
+FROM fact_sales GROUP BY GROUPING SETS ((strftime(order_date, '%Y-%m')), ())"""
+
+CSV_REJECTS = """
+WITH lines AS (
+  SELECT c_custkey AS k, c_custkey % 97 = 0 AS comma, c_custkey % 101 = 0 AS newline,
+         CAST(c_custkey AS VARCHAR) || ',' || c_name || ',Jr,' || lower(replace(c_name, '#', '.')) || '@example.com,2024-01-05,' AS with_jr,
+         CAST(c_custkey AS VARCHAR) || ',' || c_name || ',' || lower(replace(c_name, '#', '.')) || '@example.com,2024-01-05,' AS without,
+         CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment || ',US' AS rest
+  FROM customer
+),
+-- A comma too many is one row of eight values.  A newline makes two rows; with a comma too many
+-- in the first one as well, that one has six of the seven values, else five.
+bad AS (
+  SELECT with_jr || city || ',' || rest AS text FROM lines WHERE comma AND NOT newline
+  UNION ALL SELECT CASE WHEN comma THEN with_jr ELSE without END || city FROM lines WHERE newline
+  UNION ALL SELECT 'North,' || rest FROM lines WHERE newline
+)
+SELECT 'customers' AS table_name, text, COUNT(*) AS rows, CAST(NULL AS BIGINT) AS ids FROM bad GROUP BY text
+UNION ALL
+SELECT 'customers', NULL, COUNT(*), CAST(SUM(k) AS BIGINT) FROM lines WHERE NOT comma AND NOT newline"""
+
 # ------------------------------------------------------------------ flat file, profiles, payload
 
 FLAT_KPIS = _with(_STAR) + """
@@ -533,6 +592,16 @@ LEFT JOIN dim_products p ON f.product_id = p.product_id
 WHERE p.category IS NOT NULL
 GROUP BY p.category"""
 
+FLAT_KPIS_CUSTOMERS = _with(_STAR) + """
+SELECT c.name AS customer_name, CAST(SUM(f.item_total) AS DOUBLE) AS revenue, COUNT(DISTINCT f.order_id) AS orders,
+       COUNT(*) AS lines, COUNT(DISTINCT p.category) AS categories, CAST(SUM(f.quantity) AS BIGINT) AS units,
+       strftime(MAX(f.order_date), '%Y-%m-%d %H:%M:%S') AS latest_order
+FROM fact_sales f
+JOIN dim_customers c ON f.customer_id = c.customer_id
+LEFT JOIN dim_products p ON f.product_id = p.product_id
+WHERE c.name IS NOT NULL
+GROUP BY c.name"""
+
 SEASONALITY_SHARE = _with(_STAR) + f""",
 order_grain AS (
   SELECT order_id, MIN(order_date) AS d, COUNT(*) AS lines FROM fact_sales
@@ -586,6 +655,8 @@ UNION ALL SELECT 'recent_transactions', position || '.order_date', NULL, order_d
 UNION ALL SELECT 'recent_transactions', position || '.quantity', CAST(quantity AS DOUBLE), NULL FROM recent
 UNION ALL SELECT 'recent_transactions', position || '.item_total', item_total, NULL FROM recent"""
 
+DASHBOARD_ENTRIES = f"SELECT * FROM ({DASHBOARD_PAYLOAD}) WHERE section NOT IN ('status', 'rfm_segments')"
+
 DASHBOARD_DOCUMENT = _with(_STAR, _RECENT, _RFM_P) + f"""
 SELECT 'success' AS status, (SELECT CAST(SUM(item_total) AS DOUBLE) FROM fact_sales) AS total_revenue,
        (SELECT CAST(COUNT(DISTINCT order_id) AS DOUBLE) FROM fact_sales) AS total_orders,
@@ -628,6 +699,15 @@ ORACLE: dict[str, str] = {
     "load_star": LOAD_STAR,
     "upsert_merge": UPSERT_MERGE,
     "replace_by_key": REPLACE_BY_KEY,
+    "upsert_buckets": UPSERT_BUCKETS,
+    "marts_incremental": MARTS_INCREMENTAL,
+    "load_resume": LOAD_RESUME,
+    "rfm_bucketed": RFM_SQL,
+    "category_sales_replicated": CATEGORY_SALES,
+    "distinct_sketch": DISTINCT_SKETCH,
+    "csv_rejects": CSV_REJECTS,
+    "flat_kpis_customers": FLAT_KPIS_CUSTOMERS,
+    "dashboard_entries": DASHBOARD_ENTRIES,
     "flat_kpis": FLAT_KPIS,
     "seasonality_share": SEASONALITY_SHARE,
     "messiness_profile": MESSINESS_PROFILE,
