@@ -44,6 +44,18 @@ def crc_mod(doc_id: Column, mod: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % mod
 
 
+def unused(df: DataFrame, *stems: str) -> list[str]:
+    """Names for columns of one's own that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while stem in taken:
+            stem += "_"
+        taken.add(stem)
+        out.append(stem)
+    return out
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, once per Spark context.
 

@@ -170,9 +170,13 @@ def learn(docs: DataFrame, learn_from: Column, per_language: int = TRAIN_PER_LAN
                          F.col("lang"))
     chosen = F.abs(F.xxhash64(F.lit("language"), F.col("doc_id")) % 1_000_000) < share * 1_000_000
     counted = rows.filter(chosen).select("lang", "text").mapInArrow(_count_grams, "lang string, gram bigint, n bigint")
-    per = counted.groupBy("gram").pivot("lang", languages).agg(F.sum("n")).fillna(0)
-    kept = per.filter(F.greatest(*[F.col(f"`{l}`") for l in languages], F.lit(0)) >= MIN_COUNT).toPandas()
-    counts = kept[languages].to_numpy(dtype=np.float64).reshape(len(kept), len(languages))
+    # Columns are numbered: a language may be called like a column.
+    number = {l: f"n{k}" for k, l in enumerate(languages)}
+    numbered = counted.withColumn("lang", F.element_at(F.create_map(*[F.lit(x) for pair in number.items() for x in pair]), F.col("lang")))
+    names = list(number.values())
+    per = numbered.groupBy("gram").pivot("lang", names).agg(F.sum("n")).fillna(0)
+    kept = per.filter(F.greatest(*names, F.lit(0)) >= MIN_COUNT).toPandas()
+    counts = kept[names].to_numpy(dtype=np.float64).reshape(len(kept), len(languages))
     rate = counts / np.maximum(counts.sum(axis=0), 1.0)
     member = (rate > 0) & (rate >= KEEP_SHARE * rate.max(axis=1, keepdims=True, initial=0.0))
     masks = (member.astype(np.uint64) << np.arange(len(languages), dtype=np.uint64)).sum(axis=1, dtype=np.uint64)

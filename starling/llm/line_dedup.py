@@ -11,7 +11,10 @@ occurrence, by (doc_id, line number), is kept.  Blank lines are never touched.
 from each of ``BANDS`` fixed points of the ring the next ``ROWS`` hashes make a band.  Two
 lines agree in a band when the next ``ROWS`` hashes of their union from there belong to
 both: at the threshold with probability ``SIMILARITY ** ROWS`` = 0.41, so all eight miss with
-0.015; at 0.9 with 0.0002.
+0.015; at 0.9 with 0.0002.  The points of a short line often begin the same band, so lines of fewer than
+``SHORT`` shingles are found by prefixes instead, which lose nothing: of the sorted hashes of two lines that
+reach the threshold, the first ``n - ceil(SIMILARITY * n) + 1`` have one in common.  Lines that are
+long enough for bands but can be near a short one have both.
 
 *Candidates.*  Lines are known by a 128-bit digest, so exact copies are one line from here on
 (a line a third of all documents share is one row per task after partial aggregation).  Each
@@ -20,7 +23,9 @@ and one drawn by hash.  Every line is first compared with the pivots of its buck
 however large the bucket.  In a bucket whose lines are then in one component nothing is left
 to find.  In the others every line outside the bucket's commonest component is compared with
 all lines of the bucket that are in another component and near enough in size to reach the
-threshold, so no link that a bucket holds is lost.
+threshold.  Before pairs are verified, sketches of ``SKETCH`` bits (the lowest bit of the least hash in each
+part of the hashes' range) are compared: pairs whose sketches differ in more places than those
+of pairs at the threshold do, by ``SKETCH_ERRORS`` standard errors (99.7 % of them pass), are not verified.
 
 *Verification* is exact, on the full sets of shingle hashes of both lines, made again from
 their texts (sets of eight bytes a character are never written), then union-find over the links.
@@ -34,26 +39,37 @@ columns pass through ``dedup_lines`` unchanged.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, materialize, scratch_path, ship_package, text_blocks
+from .common import materialize, scratch_path, ship_package, text_blocks, unused
 from .components import connected_components
 
 SHINGLE = 10
 SIMILARITY = 0.8
 BANDS = 8
 ROWS = 4
+#: Lines of fewer shingles are found by prefixes; those of up to SHORT_NEAR by prefixes as well.
+SHORT = 16
+SHORT_NEAR = int((SHORT - 1) / SIMILARITY)
+PREFIXES = SHORT_NEAR - int(np.ceil(SIMILARITY * SHORT_NEAR)) + 1
+KEYS = BANDS + PREFIXES
+LOG_SKETCH = 9
+SKETCH = 1 << LOG_SKETCH
+SKETCH_WORDS = SKETCH // 64
+SKETCH_ERRORS = 2.75
 #: Most candidate lines whose digests (16 bytes each) are broadcast; beyond, they are joined by shuffle.
 BROADCAST_DIGESTS = 300_000
 #: Bits of a shingle's hash; the others of 64 hold the line's place in its block.
 HASH_BITS = 52
-#: Most lines hashed at once.
+#: Most lines, and about how many bytes of them, hashed at once: a hash is 8 bytes a character, and some ten arrays are alive.
 BLOCK_LINES = 1 << (64 - HASH_BITS)
+HASH_BYTES = 1 << 18
 _LOW = np.uint64((1 << HASH_BITS) - 1)
 #: Odd constants that the hashes are mixed with.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
@@ -141,26 +157,86 @@ def band_keys(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def prefix_keys(sets: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix buckets of each line, and which of them there are: those of short lines and their neighbours."""
+    own, sizes = begins[:-1], np.diff(begins)
+    wanted = np.where(sizes <= SHORT_NEAR, sizes - np.ceil(SIMILARITY * sizes - 1e-9).astype(np.int64) + 1, 0)
+    there = np.arange(PREFIXES) < wanted[:, None]
+    keys = np.zeros((len(own), PREFIXES), np.uint64)
+    for j in range(PREFIXES):
+        keys[:, j] = _scramble((sets[np.minimum(own + j, len(sets) - 1)] & _LOW) * _MIX[0] + np.uint64(BANDS + 1))
+    return keys.view(np.int64), there
+
+
+def line_keys(sets: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All buckets of each line, and which of them there are."""
+    bands = band_keys(sets, begins)
+    prefixes, there = prefix_keys(sets, begins)
+    long = np.broadcast_to((np.diff(begins) >= SHORT)[:, None], bands.shape)
+    return np.concatenate([bands, prefixes], axis=1), np.concatenate([long, there], axis=1)
+
+
+def sketches(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """For each line the lowest bits of the least hashes in ``SKETCH`` equal parts of the hashes' range, as words."""
+    part = sets >> np.uint64(HASH_BITS - LOG_SKETCH)  # with the line's number above
+    least = np.concatenate([[True], part[1:] != part[:-1]])
+    set_bits = least & ((sets & np.uint64(1)) == 1)
+    out = np.zeros((len(begins) - 1) * SKETCH_WORDS, np.uint64)
+    np.bitwise_or.at(out, (part[set_bits] >> np.uint64(6)).astype(np.int64), np.uint64(1) << (part[set_bits] & np.uint64(63)))
+    return out.reshape(-1, SKETCH_WORDS).view(np.int64)
+
+
+def _most_apart(size_a: Column, size_b: Column) -> Column:
+    """How many places of two sketches may differ if the lines reach the threshold."""
+    union = (size_a + size_b) / (1 + SIMILARITY)
+    expected = SKETCH * (1 - F.exp(-union / SKETCH)) * (1 - SIMILARITY) / 2
+    return expected + SKETCH_ERRORS * F.sqrt(expected) + 1
+
+
+def _apart(a: str, b: str) -> Column:
+    """In how many places the sketches ``a``0.. and ``b``0.. differ."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(SKETCH_WORDS)])
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, digest, size, keys) of every line."""
+    """(doc_id, text_key, line_no, digest, size, k0, k1, ...) of every line; keys it does not have are null."""
     ship_package(docs.sparkSession)
+    names = [f"k{t}" for t in range(KEYS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, BLOCK_LINES):
                 part = batch.slice(low, BLOCK_LINES)
-                for at, end, data, offsets in text_blocks(part.column(4)):
+                for at, end, data, offsets in text_blocks(part.column(4), HASH_BYTES):
                     sets, begins = shingle_sets(data, offsets)
-                    keys = band_keys(sets, begins)
-                    ends = pa.array(np.arange(end - at + 1, dtype=np.int32) * BANDS)
+                    keys, there = line_keys(sets, begins)
                     yield pa.RecordBatch.from_arrays(
                         [*(c.slice(at, end - at) for c in part.columns[:4]), pa.array(np.diff(begins).astype(np.int32)),
-                         pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))],
-                        ["doc_id", "text_key", "line_no", "digest", "size", "keys"])
+                         *[pa.array(keys[:, t], mask=~there[:, t]) for t in range(KEYS)]],
+                        ["doc_id", "text_key", "line_no", "digest", "size", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     lines = line_rows(docs).select("doc_id", "text_key", "line_no", "digest", "line")
-    return lines.mapInArrow(run, f"doc_id {kind}, text_key bigint, line_no int, digest binary, size int, keys array<bigint>")
+    return lines.mapInArrow(run, f"doc_id {kind}, text_key bigint, line_no int, digest binary, size int, "
+                            + ", ".join(f"{n} bigint" for n in names))
+
+
+def line_sketches(texts: DataFrame) -> DataFrame:
+    """(digest, size, s0, s1, ...) of every row of ``texts`` (digest, line)."""
+    names = [f"s{k}" for k in range(SKETCH_WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, BLOCK_LINES):
+                part = batch.slice(low, BLOCK_LINES)
+                for at, end, data, offsets in text_blocks(part.column(1), HASH_BYTES):
+                    sets, begins = shingle_sets(data, offsets)
+                    words = sketches(sets, begins)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).slice(at, end - at), pa.array(np.diff(begins).astype(np.int32)),
+                         *[pa.array(np.ascontiguousarray(words[:, k])) for k in range(SKETCH_WORDS)]], ["digest", "size", *names])
+
+    return texts.select("digest", "line").mapInArrow(run, "digest binary, size int, " + ", ".join(f"{n} bigint" for n in names))
 
 
 def _candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -180,7 +256,7 @@ def near_lines(a: pa.Array, b: pa.Array) -> np.ndarray:
     long = np.cumsum(pc.add(pc.binary_length(a), pc.binary_length(b)).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(a):
-        end = int(np.searchsorted(long, BLOCK_BYTES + (long[at - 1] if at else 0), side="right"))
+        end = int(np.searchsorted(long, HASH_BYTES + (long[at - 1] if at else 0), side="right"))
         end = min(max(end, at + 1), at + BLOCK_LINES)
         found = []
         for x in (a, b):
@@ -208,20 +284,45 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "la", "lb").mapInArrow(run, "a binary, b binary")
 
 
-def _open_pairs(members: DataFrame, near: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket in different components, at least one outside the bucket's commonest component."""
+def _side(sketched: DataFrame, a: str, *more: str) -> DataFrame:
+    """The sketches as columns of one side of a pair."""
+    return sketched.select(F.col("digest").alias(a), F.col("size").alias(f"n_{a}"), *[F.col(c).alias(f"{c}_{a}") for c in more],
+                           *[F.col(f"s{k}").alias(f"s_{a}{k}") for k in range(SKETCH_WORDS)])
+
+
+def _may_reach(a: str, b: str) -> Column:
+    """Sizes and sketches of a pair allow for the threshold."""
+    na, nb = F.col(f"n_{a}"), F.col(f"n_{b}")
+    return (F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)) & (_apart(f"s_{a}", f"s_{b}") <= _most_apart(na, nb))
+
+
+def _star_pairs(members: DataFrame, pivots: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the lines of a bucket and its pivots that may reach the threshold."""
+    star = members.join(pivots, F.col("key") == F.col("pk")).select("digest", F.explode(F.array_distinct("pivots")).alias("pivot"))
+    star = star.filter(F.col("digest") != F.col("pivot")).select(
+        F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
+    # The pairs are written, as the sketches are: a pivot of very many lines is split by the adaptive skew join.
+    star = materialize(star, "line-star")
+    both = star.join(_side(sketched, "x"), F.col("a") == F.col("x")).join(_side(sketched, "y"), F.col("b") == F.col("y"))
+    return both.filter(_may_reach("x", "y")).select("a", "b")
+
+
+def _open_pairs(members: DataFrame, near: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one bucket in different components that may reach the threshold, at least one outside the
+    bucket's commonest component."""
     placed = members.join(near, members["digest"] == near["node"], "left").select(
-        "key", "digest", "size", F.coalesce("component", "digest").alias("c"))
+        "key", "digest", F.coalesce("component", "digest").alias("c"))
     counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("kinds"))
     mixed = materialize(mixed.filter(F.col("kinds") > 1).select(F.col("key").alias("k"), F.col("top.c").alias("top")), "line-mixed")
-    placed = materialize(placed.join(mixed, F.col("key") == F.col("k")).select("key", "digest", "size", "c", "top"), "line-placed")
-    out = placed.filter(F.col("c") != F.col("top")).select(
-        "key", F.col("digest").alias("x"), F.col("c").alias("cx"), F.col("size").alias("sx"))
-    every = placed.select(F.col("key").alias("ky"), F.col("digest").alias("y"), F.col("c").alias("cy"), F.col("size").alias("sy"), "top")
-    # Two outsiders meet once; sets whose sizes differ by more cannot reach the threshold.
-    on = ((F.col("key") == F.col("ky")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("top")) | (F.col("x") < F.col("y")))
-          & (F.least("sx", "sy") >= SIMILARITY * F.greatest("sx", "sy")))
+    placed = placed.join(mixed, F.col("key") == F.col("k")).drop("k").join(
+        sketched.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d")).drop("d")
+    placed = materialize(placed, "line-placed")
+    out = _side(placed.filter(F.col("c") != F.col("top")), "x", "key", "c")
+    every = _side(placed, "y", "key", "c", "top")
+    # Two outsiders meet once.
+    on = ((F.col("key_x") == F.col("key_y")) & (F.col("c_x") != F.col("c_y")) & ((F.col("c_y") == F.col("top_y")) | (F.col("x") < F.col("y")))
+          & _may_reach("x", "y"))
     return out.join(every, on).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -237,15 +338,15 @@ def line_classes(docs: DataFrame) -> DataFrame:
     sig = spark.read.parquet(sig_path)
     # One row for each different line from here on: copies are combined before the shuffle, so a line
     # that a third of all documents hold is one row per task.
-    each = sig.groupBy("digest").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("times"),
-                                     *[F.max(F.col("keys")[t]).alias(f"k{t}") for t in range(BANDS)])
+    names = [f"k{t}" for t in range(KEYS)]
+    each = sig.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), *[F.max(n).alias(n) for n in names])
     each = materialize(each, "line-distinct")
-    every_key = F.array_distinct(F.array(*[F.col(f"k{t}") for t in range(BANDS)]))
-    keyed = each.select("digest", "size", "times", F.explode(every_key).alias("key"))
+    every_key = F.array_compact(F.array_distinct(F.array(*names)))
+    keyed = each.select("digest", "times", F.explode(every_key).alias("key"))
     # Buckets of at least two different lines, and what they hold.
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     buckets = materialize(buckets.filter(F.col("n") > 1).select("key"), "line-buckets")
-    members = materialize(keyed.join(buckets, "key").select("key", "digest", "size", "times"), "line-members")
+    members = materialize(keyed.join(buckets, "key").select("key", "digest", "times"), "line-members")
     turn = F.xxhash64("digest", "key")
     pivots = members.groupBy(F.col("key").alias("pk")).agg(
         F.array(F.max(F.struct("times", turn.alias("turn"), "digest"))["digest"],
@@ -253,12 +354,10 @@ def line_classes(docs: DataFrame) -> DataFrame:
     pivots = materialize(pivots, "line-pivots")
     wanted = materialize(members.select("digest").distinct(), "line-wanted")
     texts = materialize(_candidate_lines(docs, wanted), "line-texts")
-    star = members.join(pivots, F.col("key") == F.col("pk")).select("digest", F.explode(F.array_distinct("pivots")).alias("pivot"))
-    star = star.filter(F.col("digest") != F.col("pivot")).select(
-        F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
-    links = materialize(_links(star, texts), "line-links")
+    sketched = materialize(line_sketches(texts), "line-sketches")
+    links = materialize(_links(_star_pairs(members, pivots, sketched), texts), "line-links")
     near = materialize(connected_components(links, "a", "b"), "line-near")
-    rest = materialize(_links(_open_pairs(members, near), texts), "line-rest")
+    rest = materialize(_links(_open_pairs(members, near, sketched), texts), "line-rest")
     found = near if rest.isEmpty() else materialize(connected_components(links.unionByName(rest), "a", "b"), "line-found")
     occurrence = ["doc_id", "text_key", "line_no", "digest"]
     lines = sig.select(*occurrence)
@@ -280,22 +379,20 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     Of a document's lines the removed ones go; blank lines and the order stay.
     """
-    gone = (line_classes(docs).filter(~F.col("kept")).groupBy(F.col("doc_id").alias("__gone_id"), F.col("text_key").alias("__gone_key"))
-            .agg(F.collect_set("line_no").alias("__gone")))
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    joined = docs.withColumn("__key", key).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")) & (F.col("__key") == F.col("__gone_key")), "left")
-    joined = joined.withColumn("__lines", F.split(F.col("text"), "\n"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    left = F.array_join(F.transform(stay, lambda i: F.get(F.col("__lines"), i)), "\n")
-    joined = joined.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left))
+    own, key, numbers, lines = unused(docs, "gone_id", "gone_key", "gone", "lines")
+    gone = (line_classes(docs).filter(~F.col("kept")).groupBy(F.col("doc_id").alias(own), F.col("text_key").alias(key))
+            .agg(F.collect_set("line_no").alias(numbers)))
+    here = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(own)) & (here == F.col(key)), "left")
+    joined = joined.withColumn(lines, F.split(F.col("text"), "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(numbers))
+    left = F.array_join(F.transform(stay, lambda i: F.get(F.col(lines), i)), "\n")
+    joined = joined.withColumn("text", F.when(F.col(numbers).isNull(), F.col("text")).otherwise(left))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(
+        joined = joined.withColumn("n_chars", F.when(F.col(numbers).isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(docs.schema["n_chars"].dataType)))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def lines_digest(docs: DataFrame) -> DataFrame:
     return line_classes(docs).select("doc_id", "line_no", F.lower(F.hex("component")).alias("line_class"), "kept")
-
-

@@ -88,10 +88,11 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: in
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """The mixed corpus: each taken document once per copy, with ``copy`` = 1, 2, ... (replaces a column of that name)."""
-    plan = mix_plan(docs.drop("copy"), weights, max_repeat, seed)
+    # The whole row rides along as one column, so that none of its names can clash with the plan's.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "copy"]).alias("document")
+    plan = mix_plan(docs.select("doc_id", "text", "source", row), weights, max_repeat, seed)
     copies = F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("copy")
-    names = [c for c in docs.columns if c != "copy" and not c.startswith("mix_")]
-    return plan.filter(F.col("mix_copies") > 0).select(*[F.col(f"`{c}`") for c in names], copies)
+    return plan.filter(F.col("mix_copies") > 0).select("document", copies).select("document.*", "copy")
 
 
 def mix_digest(docs: DataFrame) -> DataFrame:

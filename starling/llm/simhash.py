@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ship_package
+from .common import materialize, ship_package, unused
 from .components import connected_components
 
 SHINGLE = 3
@@ -145,11 +145,12 @@ def keep_one_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) ->
     """
     own = _named(docs, shingle, bits).filter(
         F.col("who.doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("who.text_key") == F.col("keeper.text_key")))
-    kept = materialize(own.groupBy(F.col("who.doc_id").alias("__id"), F.col("who.text_key").alias("__key")).agg(
-        F.count(F.lit(1)).alias("__n")), "simhash-kept")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key"))
-    left = docs.join(kept.select("__id", "__key"), same, "left_semi")
-    if kept.filter(F.col("__n") > 1).limit(1).count():  # else there is no repeated row to look for
+    key_id, key, n = unused(docs, "kept_id", "kept_key", "kept_n")
+    kept = materialize(own.groupBy(F.col("who.doc_id").alias(key_id), F.col("who.text_key").alias(key)).agg(
+        F.count(F.lit(1)).alias(n)), "simhash-kept")
+    same = docs["doc_id"].eqNullSafe(F.col(key_id)) & (F.xxhash64(docs["text"]) == F.col(key))
+    left = docs.join(kept.select(key_id, key), same, "left_semi")
+    if kept.filter(F.col(n) > 1).limit(1).count():  # else there is no repeated row to look for
         left = left.dropDuplicates(["doc_id", "text"])
     return left
 
