@@ -50,7 +50,9 @@ def odd(spark):
 def clashing(odd):
     """The same rows with further columns named like outputs and internals."""
     from pyspark.sql import functions as F
-    names = ["score", "size", "copy", "fp", "digest", "line_no", "words", "kept", "component", "row", "lang_pred", "a.b"]
+    names = ["score", "size", "copy", "fp", "digest", "line_no", "words", "kept", "component", "row", "lang_pred", "a.b",
+             "__key", "__lines", "__gone", "__id", "gone", "gone_id", "gone_key", "lines", "kept_id", "kept_key", "mix_size", "mix_copies", "mix_note",
+             "document"]
     return odd.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
 
 

@@ -102,8 +102,9 @@ def test_simhash_odd_rows(odd, clashing, empty):
 # --- lines ---
 
 def line_shingles(x):
-    w = re.split(r"[\x20\x09-\x0D]+", x)
-    return frozenset((a, b[:line_dedup.REACH] if b is not None else None) for a, b in zip(w, [*w[1:], None]))
+    """All runs of characters; a shorter line is one."""
+    n = line_dedup.SHINGLE
+    return frozenset(x[i:i + n] for i in range(max(1, len(x) - n + 1)))
 
 
 def naive_line_classes(lines, at_least=0.8):

@@ -6,10 +6,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from starling.llm import line_dedup
 
-import test_dedup
 from llm_helpers import Sets, con, documents  # noqa: F401
 
 
@@ -85,7 +85,84 @@ def test_line_classes_by_all_runs(spark, documents, con):  # noqa: F811
     assert len(found) <= want * 1.001
 
 
-def test_pipeline_by_all_runs(spark, documents, con, monkeypatch):  # noqa: F811
-    """The pipeline's brute force, which takes its shingles from ``line_shingles``, with all runs."""
-    monkeypatch.setattr(test_dedup, "line_shingles", runs)
-    test_dedup.test_pipeline_against_brute_force(spark, documents, con)
+def sets_of(lines):
+    data = "".join(lines).encode()
+    offsets = np.concatenate([[0], np.cumsum([len(x.encode()) for x in lines])])
+    return line_dedup.shingle_sets(np.frombuffer(data, np.uint8), offsets)
+
+
+def edited_pairs(rng, n, tries=4000):
+    """Pairs of lines of about ``n`` shingles whose similarity is at or just above the threshold."""
+    letters = "abcdefghij klmnop"
+    out = []
+    while len(out) < tries:
+        a = "".join(rng.choice(letters) for _ in range(n + line_dedup.SHINGLE - 1))
+        extra = max(1, round(n * rng.choice([0.1, 0.15, 0.2, 0.25])))
+        tail = "".join(rng.choice(letters) for _ in range(extra))
+        b = a + tail if rng.random() < 0.5 else tail + a
+        if near(a, b):
+            out.append((a, b))
+    return out
+
+
+@pytest.mark.parametrize("n", [4, 5, 8, 10, 12, 14, 15, 16, 18, 20, 30, 60, 200])
+def test_recall_by_length(n):
+    """Of pairs at the threshold, at least 0.97 meet in a bucket and pass the sketches, whatever their length; all short ones."""
+    pairs = edited_pairs(random.Random(n), n, 1000 if n > 20 else 2000)
+    keys, sketch = [], []
+    for side in (0, 1):
+        lines = [p[side] for p in pairs]
+        k, s = [], []
+        for low in range(0, len(lines), 1000):
+            sets, begins = sets_of(lines[low:low + 1000])
+            values, there = line_dedup.line_keys(sets, begins)
+            k += [set(v[t].tolist()) for v, t in zip(values, there)]
+            s += list(zip(np.diff(begins).tolist(), line_dedup.sketches(sets, begins).view(np.uint64).tolist()))
+        keys.append(k)
+        sketch.append(s)
+    met = np.array([bool(a & b) for a, b in zip(*keys)])
+    passed = []
+    for (na, sa), (nb, sb) in zip(*sketch):
+        expected = line_dedup.SKETCH * (1 - np.exp(-(na + nb) / (1 + line_dedup.SIMILARITY) / line_dedup.SKETCH)) * (1 - line_dedup.SIMILARITY) / 2
+        apart = sum(bin(x ^ y).count("1") for x, y in zip(sa, sb))
+        passed.append(apart <= expected + line_dedup.SKETCH_ERRORS * expected ** 0.5 + 1)
+    print(n, met.mean(), np.mean(passed), (met & np.array(passed)).mean())
+    assert np.mean(passed) >= 0.99 and (met & np.array(passed)).mean() >= 0.97
+    if n < 15:
+        assert met.all()
+
+
+def test_sketches_by_hand():
+    """Each bit is the lowest bit of the least hash in its part of the range."""
+    lines = ["abcdefghijklmnopqrstuvwxyz" * 20, "short one", "的一是不了人我在有他这中大来上"]
+    sets, begins = sets_of(lines)
+    words = line_dedup.sketches(sets, begins).view(np.uint64)
+    for i in range(len(lines)):
+        own = sets[begins[i]:begins[i + 1]] & line_dedup._LOW
+        for part in range(line_dedup.SKETCH):
+            inside = own[own >> np.uint64(line_dedup.HASH_BITS - line_dedup.LOG_SKETCH) == part]
+            bit = int(words[i, part // 64]) >> (part % 64) & 1
+            assert bit == (int(inside.min()) & 1 if len(inside) else 0)
+
+
+def test_many_near_copies_of_near_copies(spark):
+    """A bucket full of lines that are near some of the others: no link is lost, in one class or in several."""
+    rng = random.Random(12)
+    base = "".join(rng.choice("abcdefghij klmnop") for _ in range(300))
+    lines = [base]
+    for k in range(150):  # a chain of edits that leads away from the base, and variants of the base
+        x = list(rng.choice(lines[-3:]) if k % 2 else base)
+        for _ in range(1 + k % 9):
+            x[rng.randrange(len(x))] = rng.choice("qrstuv")
+        lines.append("".join(x))
+    lines = sorted(set(lines))
+    got = classes_of(spark, lines)
+    sets = Sets(len(lines))
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if near(a, lines[j]):
+                sets.join(i, j)
+    want = [sets.find(i) for i in range(len(lines))]
+    assert len(set(want)) > 1
+    pairs = {(got[i], want[i]) for i in range(len(lines))}
+    assert len(pairs) == len({a for a, _ in pairs}) and len(pairs) <= len(set(want)) + 1
