@@ -131,8 +131,11 @@ def _log_path(table_path: str) -> str:
 
 def current_version(spark: SparkSession, table_path: str) -> Version | None:
     """The latest committed version, or None for a new table."""
-    names = [n for n in _names(spark, _log_path(table_path)) if n.endswith(".json") and n[0].isdigit()]
+    files = _names(spark, _log_path(table_path))
+    names = [n for n in files if n.endswith(".json") and n[0].isdigit()]
     if not names:
+        if any(n.endswith(".parquet") for n in files):  # never take it for a new table
+            raise RuntimeError(f"{table_path} has a version log of an earlier format; load it anew")
         return None
     text = spark.read.text(f"{_log_path(table_path)}/{names[-1]}", wholetext=True).first()[0]
     e = json.loads(text)

@@ -25,9 +25,9 @@ from ..schemas import MONEY, PRIMARY_KEYS, WORK_DECIMAL
 from ..session import delete_path
 
 MEASURES = {"lines": "bigint", "units": WORK_DECIMAL.simpleString(), "revenue": MONEY.simpleString()}
-#: Parts and their keys.  Orders are many, so their part is laid out in key buckets.
+#: Parts and their keys.  Orders are many, so their part is laid out in key buckets (more for a larger fact).
 PARTS = {"by_total": "scope", "by_month": "month", "by_category": "category", "by_order": "order_id"}
-ORDER_BUCKETS = 64
+ORDER_BUCKETS = 16
 
 
 def register_views(spark: SparkSession, star: dict[str, DataFrame], prefix: str = "") -> list[str]:
@@ -91,11 +91,12 @@ def _less(part: DataFrame) -> DataFrame:
     return part.withColumns({m: (-F.col(m)).cast(kind) for m, kind in MEASURES.items()})
 
 
-def build_parts(spark: SparkSession, fact: DataFrame, dim_products: DataFrame, marts_dir: str) -> None:
-    """Write the parts of a whole fact as first versions."""
+def build_parts(spark: SparkSession, fact: DataFrame, dim_products: DataFrame, marts_dir: str,
+                order_buckets: int = ORDER_BUCKETS) -> None:
+    """Write the parts of a whole fact as first versions; ``order_buckets`` is the layout of the orders' part."""
     for name, df in fact_parts(fact, dim_products).items():
         wh.upsert_table(spark, f"{marts_dir.rstrip('/')}/{name}", df, [PARTS[name]], new_table=True,
-                        buckets=ORDER_BUCKETS if name == "by_order" else 0)
+                        buckets=order_buckets if name == "by_order" else 0)
 
 
 def load_batch(spark: SparkSession, fact_path: str, marts_dir: str, staged: DataFrame, dim_products: DataFrame,

@@ -366,3 +366,9 @@ def test_rfm_over_equal_buckets_has_no_exchange(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for n in ("dim_customers", "fact_sales"):
             spark.sql(f"DROP TABLE IF EXISTS rfm_test_{n}")
+
+
+def test_a_log_of_the_earlier_format_is_not_a_new_table(spark, tmp_dir):
+    _rows(spark, [(1, 1, 1)]).write.parquet(f"{tmp_dir}/t/{wh.LOG_DIR}")
+    with pytest.raises(RuntimeError, match="earlier format"):
+        wh.upsert_table(spark, f"{tmp_dir}/t", _rows(spark, [(1, 1, 1)]), KEYS)
