@@ -10,11 +10,13 @@ on the same contexts with written-out forms put in (``name at host dot org``,
 ``(212) 555-0100``, grouped digits, spaced addresses), labelled where they were put.
 
 *Whole texts.*  The texts of a block lie in one stream, cut into windows of ``WINDOW``
-characters that overlap by ``2 * MARGIN``.  Every window is tagged and decoded.  Of a span
-found in the overlap of two windows the decode of the window that holds it further from
-its edge counts; then all spans of a text are reconciled at once: base spans stay, added
-ones must not touch them or each other (the longer one stays, then the first), must look
-like their kind (enough digits, four groups, a host), and never cross texts.
+characters that overlap by ``2 * MARGIN``.  Added spans must not touch base spans, must look
+like their kind (enough digits, four groups, a host) and never cross texts.  Windows that
+can hold no such span (too few digits, no @ or "dot" or bracketed "at" outside of base spans)
+are not tagged: the bound is exact.  All others are tagged and decoded.  The parts of a span
+that two neighbouring windows both cut are joined.  Then the spans of all windows are held
+against each other: of two that overlap the one further from its window's edge stays, then
+the longer one, then the first.
 
 Defined cases: null and empty texts have no spans; repeated rows are each searched; a
 table without any base span still trains on the written-out forms; an empty table gives
@@ -23,6 +25,8 @@ an empty result.  Places are code points, end exclusive.
 
 from __future__ import annotations
 
+import bisect
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -40,6 +44,7 @@ WINDOW = 1024
 MARGIN = 48
 WINDOWS_AT_ONCE = 1024
 TRAIN_TEXTS = 4000
+PIECES = 5
 TRAIN_LENGTH = 112
 TRAIN_WINDOWS = 2400
 EPOCHS = 10
@@ -198,108 +203,246 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, texts: int = TRAIN_TEXTS) -> char_crf.Tagger:
-    """A tagger trained on contexts from at most about ``texts`` documents, chosen by a hash of the id."""
-    ship_package(docs.sparkSession)
+    """A tagger trained on contexts from about ``texts`` documents, chosen by a hash of id and text.
+
+    At most ``PIECES`` different contexts a text are kept, whatever the ids and however often rows repeat.
+    Training is one task on one thread (a worker has as many as its task has cores), which a lost
+    executor's successor does again; only the tagger, a few thousand numbers, comes to the driver.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
     total = docs.select("doc_id").count()
-    chosen = F.abs(F.xxhash64(F.lit("pii"), F.col("doc_id")) % 1_000_000) < 1_000_000.0 * texts / max(total, 1)
-    pieces = docs.filter(chosen).select("text").mapInArrow(_contexts, "piece string, spans array<int>").collect()
-    contexts = sorted((r["piece"], [tuple(r["spans"][k:k + 3]) for k in range(0, len(r["spans"]), 3)]) for r in pieces)
-    x, y = training_windows([c for c in contexts if c[0].strip()])
-    return char_crf.train(x, y, len(KINDS), EPOCHS, rate=RATE)
+    chosen = F.abs(F.xxhash64(F.lit("pii"), F.col("doc_id"), F.col("text")) % 1_000_000) < 1_000_000.0 * texts / max(total, 1)
+    pieces = docs.filter(chosen).select("text").mapInArrow(_contexts, "piece string, spans array<int>").distinct()
+    pieces = pieces.orderBy(F.xxhash64("piece"), "piece", "spans").limit(PIECES * texts)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(r["piece"], r["spans"]) for batch in batches for r in batch.to_pylist()]
+        contexts = sorted((t, [tuple(v[k:k + 3]) for k in range(0, len(v), 3)]) for t, v in rows)
+        x, y = training_windows([c for c in contexts if c[0].strip()])
+        model = char_crf.train(x, y, len(KINDS), EPOCHS, rate=RATE)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    found = pieces.coalesce(1).mapInArrow(fit, "model binary").collect()
+    # No context at all, so perhaps no task: the written-out forms are enough to train on.
+    return pickle.loads(found[0][0]) if found else char_crf.train(*training_windows([]), len(KINDS), EPOCHS, rate=RATE)
 
 
 # --- tagging ----------------------------------------------------------------------------------
 
+_HOST_CHARS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789-")
+_AT = re.compile(r"\s?[\[(]?\s?(@|at)")
+_DOT = re.compile(r"\s?[\[(]?\s?(\.|dot)")
+_SIGN_END = re.compile(r"\s?[\])]?\s?")
+_MAIL_MARK = re.compile(r"@|dot|[(\[]at[)\]]")
+
+
+def _is_host(host: str) -> bool:
+    """Names of letters, digits and hyphens with ``.`` or ``dot`` between them, once at least.
+
+    "dot" may be part of a name as well, so all readings are followed at once, place by place:
+    at each place, can a reading that ends there be inside a name, and can a name begin there.
+    """
+    n = len(host)
+    inside = [[False, False] for _ in range(n + 1)]  # a name ends here, without and with a dot before
+    begins = [[False, False] for _ in range(n + 1)]
+    begins[0][0] = True
+    for at in range(n):
+        if any(inside[at]):
+            m = _DOT.match(host, at)
+            if m:
+                last = _SIGN_END.match(host, m.end()).end()
+                for end in range(m.end(), min(last, n) + 1):
+                    begins[end][1] = True
+        if host[at] in _HOST_CHARS:
+            for dotted in (0, 1):
+                inside[at + 1][dotted] |= inside[at][dotted] or begins[at][dotted]
+    return inside[n][1]
+
+
+def _ascii_digits(text: str) -> str:
+    return "".join(c for c in text if "0" <= c <= "9")
+
 
 def _plausible(kind: int, found: str) -> bool:
-    """What a span of a kind has at least."""
-    digits = sum(c.isdigit() for c in found)
+    """What a span of a kind has at least; ``_live`` relies on it."""
     if kind == 0:
         low = found.lower()
-        return bool(re.fullmatch(r"[a-z0-9._%+-]+\s?[\[(]?\s?(@|at)\s?[\])]?\s?[a-z0-9-]+(\s?[\[(]?\s?(\.|dot)\s?[\])]?\s?[a-z0-9-]+)+", low)) \
-            and ("@" in low or "dot" in low or "(at)" in low or "[at]" in low)
+        return bool(_MAIL_MARK.search(low)) and any(_is_host(low[end:]) for end in _heads(low))
+    digits = _ascii_digits(found)
     if kind == 1:
         parts = re.findall(r"[0-9]+", found)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
     if kind == 2:
-        only = "".join(c for c in found if c.isdigit())
-        return 14 <= len(only) <= 19 and only.isascii() and luhn(only)
-    return 7 <= digits <= 15 and not re.search(r"[A-Za-z]", found)
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return 7 <= len(digits) <= 15 and not re.search(r"[A-Za-z]", found)
+
+
+def _heads(low: str) -> list[int]:
+    """Where a host may begin after a name and its ``@`` or ``at``."""
+    name = re.match(r"[a-z0-9._%+-]+", low)
+    if not name:
+        return []
+    ends = []
+    # "at" inside the name's own run of characters, or the sign right after the run.
+    for m in re.finditer(r"at", name.group()):
+        if m.start() and low[m.end():m.end() + 1]:
+            ends.append(m.end())
+    after = _AT.match(low, name.end())
+    if after:
+        ends.append(after.end())
+    out = []
+    for end in ends:
+        last = _SIGN_END.match(low, end).end()
+        out += range(end, last + 1)
+    return out
+
+
+def _live(stream: np.ndarray, covered: np.ndarray, n: int, step: int) -> np.ndarray:
+    """Which of the ``n`` windows can hold a span that ``_plausible`` lets pass, or a part of one: an exact bound.
+
+    Outside of base spans (``covered``), which added spans never touch, such a span has an ``@``, a "dot" or
+    a bracketed "at", or at least seven digits, or four groups of them.  As a span may be joined from the parts
+    of two neighbouring windows, a window is judged together with its neighbours.
+    """
+    code = char_crf.classes_of
+
+    def word(*letters: np.ndarray) -> np.ndarray:
+        there = np.ones(len(stream), bool)
+        for j, c in enumerate(letters):
+            there[:len(stream) - j] &= (stream[j:] == c[0]) if len(c) == 1 else np.isin(stream[j:], c)
+            there[len(stream) - j:] = False
+        return there
+
+    marks = word(code("@")) | word(code("d"), code("o"), code("t")) | word(code("(["), code("a"), code("t"), code(")]"))
+    marks &= ~covered
+    digits = (stream == code("0")[0]) & ~covered
+    groups = digits.copy()
+    groups[1:] &= ~digits[:-1]
+    begins = np.maximum(np.arange(n) * step - step, 0)
+    ends = np.minimum(np.arange(n) * step + WINDOW + step, len(stream))
+    begins = np.minimum(begins, ends)
 
+    def inside(places: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(places)
+        return np.searchsorted(at, ends) - np.searchsorted(at, begins)
 
-def stream_spans(tagger: char_crf.Tagger, stream: np.ndarray) -> list[Span]:
-    """Spans over one stream of classes, windows reconciled: each span once."""
+    # The first of four groups may have begun before the window.
+    return (inside(marks) > 0) | (inside(digits) >= 7) | (inside(groups) >= 3)
+
+
+def _clear(taken: list[Span], s: Span) -> bool:
+    """Does ``s`` overlap none of ``taken``, which are in order and overlap none of each other."""
+    k = bisect.bisect_left(taken, s)
+    return (k == len(taken) or taken[k][0] >= s[2]) and (k == 0 or taken[k - 1][2] <= s[0])
+
+
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    while a < b and text[a].isspace():
+        a += 1
+    while a < b and text[b - 1] in " \t\n,;":
+        b -= 1
+    return a, b
+
+
+def stream_spans(tagger: char_crf.Tagger, stream: np.ndarray, covered: np.ndarray | None = None,
+                 accept=lambda s: s) -> list[Span]:
+    """Spans over one stream of classes, windows reconciled: each span once.
+
+    Windows that can hold no plausible span clear of ``covered`` (base spans) are not tagged; without
+    ``covered`` all are.  ``accept`` gives a span's final form or None, before spans of neighbouring windows
+    are held against each other.
+    """
     step = WINDOW - 2 * MARGIN
     n = max(1, -(-max(0, len(stream) - 2 * MARGIN) // step))
     padded = np.zeros((n - 1) * step + WINDOW, np.uint8)
     padded[:len(stream)] = stream
     view = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::step]
+    chosen = np.arange(n) if covered is None else np.flatnonzero(_live(stream, covered, n, step))
     best: dict[Span, int] = {}
-    for at in range(0, n, WINDOWS_AT_ONCE):
-        x = np.ascontiguousarray(view[at:at + WINDOWS_AT_ONCE].T)
-        e = tagger.emissions(x)
+    cut_right: dict[int, Span] = {}  # of each window, the span that its end cuts
+    cut_left: dict[int, Span] = {}
+
+    def found(s: Span, depth: int) -> None:
+        s = accept(s)
+        if s:
+            best[s] = max(best.get(s, -1), depth)
+
+    for at in range(0, len(chosen), WINDOWS_AT_ONCE):
+        part = chosen[at:at + WINDOWS_AT_ONCE]
+        e = tagger.emissions(np.ascontiguousarray(view[part].T))
         live = np.flatnonzero(tagger.may_tag(e))
         if not len(live):
             continue
         tags = tagger.decode(np.ascontiguousarray(e[:, live]))
-        for col, w in enumerate(live):
+        for col, w in enumerate(part[live].tolist()):
             own = tags[:, col]
             if not own.any():
                 continue
-            base = (at + int(w)) * step
-            for a in np.flatnonzero(own % 2 == 1):
+            base = w * step
+            heads = own % 2 == 1
+            heads[0] |= own[0] > 0
+            for a in np.flatnonzero(heads).tolist():
                 kind = int(own[a] - 1) // 2
                 b = a + 1
                 while b < WINDOW and own[b] == 2 + 2 * kind:
                     b += 1
                 # How far the span is from the window's artificial edges.
-                left = a if base else WINDOW
-                right = WINDOW - b if base + WINDOW < len(padded) else WINDOW
-                s = (base + int(a), kind, base + int(b))
-                best[s] = max(best.get(s, -1), min(int(left), int(right)))
+                left = a if w else WINDOW
+                right = WINDOW - b if w < n - 1 else WINDOW
+                s = (base + a, kind, base + b)
+                if right == 0:
+                    cut_right[w] = s
+                if left == 0:
+                    cut_left[w] = s
+                if left and right:
+                    found(s, min(left, right))
+    for w, s in cut_right.items():
+        t = cut_left.get(w + 1)
+        # One span, longer than the overlap, which both parts cover.
+        if t and t[1] == s[1] and s[0] <= t[0] and t[2] >= s[2]:
+            found((s[0], s[1], t[2]), 0)
     # Where spans of neighbouring windows contradict each other, the one further inside its window counts.
     out: list[Span] = []
     for s in sorted(best, key=lambda s: (-best[s], -(s[2] - s[0]), s)):
-        if all(s[2] <= o[0] or s[0] >= o[2] for o in out[-64:]) and best[s] > 0:
-            out.append(s)
-    return sorted(out)
-
-
-def reconcile(text: str, base: list[Span], added: list[Span]) -> list[Span]:
-    """All spans of one text: the base ones, and those added that stand clear of them and of each other."""
-    out = list(base)
-    for a, k, b in sorted(added, key=lambda s: (-(s[2] - s[0]), s)):
-        while a < b and text[a].isspace():
-            a += 1
-        while a < b and text[b - 1] in " \t\n,;":
-            b -= 1
-        if a < b and _plausible(k, text[a:b]) and all(b <= o[0] or a >= o[2] for o in out):
-            out.append((a, k, b))
-    return sorted(out)
+        if _clear(out, s):
+            bisect.insort(out, s)
+    return out
 
 
-def find_spans(tagger: char_crf.Tagger, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
-    """(base spans, all spans) of each text."""
+def find_spans(tagger: char_crf.Tagger, texts: list[str], skip: bool = True) -> list[tuple[list[Span], list[Span]]]:
+    """(base spans, all spans) of each text; without ``skip`` every window is tagged, with the same result."""
     coded = [char_crf.classes_of(t) for t in texts]
     gap = np.zeros(1, np.uint8)
     stream = np.concatenate([p for c in coded for p in (c, gap)]) if coded else gap
-    starts = np.concatenate([[0], np.cumsum([len(c) + 1 for c in coded])])
+    starts = np.concatenate([[0], np.cumsum([len(c) + 1 for c in coded])]).tolist()
+    base = [base_spans(t) for t in texts]
+    covered = np.zeros(len(stream), bool)
+    for i, spans in enumerate(base):
+        for a, _, b in spans:
+            covered[starts[i] + a:starts[i] + b] = True
+
+    def accept(s: Span) -> Span | None:
+        """The span without white space around it, if it lies in one text, touches no base span and is plausible."""
+        i = bisect.bisect_right(starts, s[0]) - 1
+        if i >= len(texts) or s[2] > starts[i] + len(texts[i]):
+            return None
+        a, b = _trimmed(texts[i], s[0] - starts[i], s[2] - starts[i])
+        if a >= b or covered[starts[i] + a:starts[i] + b].any() or not _plausible(s[1], texts[i][a:b]):
+            return None
+        return starts[i] + a, s[1], starts[i] + b
+
     added: list[list[Span]] = [[] for _ in texts]
-    for a, k, b in stream_spans(tagger, stream):
-        i = int(np.searchsorted(starts, a, "right")) - 1
-        if i < len(texts) and b <= starts[i] + len(texts[i]):  # never across texts
-            added[i].append((a - int(starts[i]), k, b - int(starts[i])))
-    out = []
-    for text, more in zip(texts, added):
-        base = base_spans(text)
-        out.append((base, reconcile(text, base, more)))
-    return out
+    for a, k, b in stream_spans(tagger, stream, covered if skip else None, accept):
+        i = bisect.bisect_right(starts, a) - 1
+        added[i].append((a - starts[i], k, b - starts[i]))
+    return [(own, sorted(own + more)) for own, more in zip(base, added)]
 
 
 SPAN_TYPE = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.StringType()),
                                       T.StructField("end", T.LongType()), T.StructField("base", T.BooleanType())]))
 #: Characters of text in one stream.
-STREAM_CHARS = 475_000
+STREAM_CHARS = 4_000_000
 
 
 def tag_documents(docs: DataFrame, tagger: char_crf.Tagger) -> DataFrame:
@@ -321,8 +464,10 @@ def tag_documents(docs: DataFrame, tagger: char_crf.Tagger) -> DataFrame:
                     waiting, size = [], 0
             if waiting:
                 out += find_spans(shared.value, waiting)
-            rows = [[{"start": a, "kind": KINDS[k], "end": b, "base": (a, k, b) in set(base)} for a, k, b in every]
-                    for base, every in out]
+            rows = []
+            for base, every in out:
+                plain = set(base)
+                rows.append([{"start": a, "kind": KINDS[k], "end": b, "base": (a, k, b) in plain} for a, k, b in every])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, arrow)], ["doc_id", "spans"])
 
     return narrow.mapInArrow(run, T.StructType([T.StructField("doc_id", narrow.schema["doc_id"].dataType),
