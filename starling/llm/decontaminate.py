@@ -1,6 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
-Texts and items are sequences of words (runs of letters and digits, lower-cased).
+Texts and items are sequences of words (runs of letters and digits, lower-cased; in scripts
+written without spaces every character is a word).
 A document is contaminated by an item if some passage of it is within an edit
 distance of ``MAX_EDITS`` times the item's words (words inserted, deleted or
 replaced).
@@ -28,12 +29,16 @@ window that could match is left out.
 *Verification* is exact: the least edit distance between the item and any passage
 around the window (Sellers' dynamic programme over words).
 
+*Short items*, of fewer than ``MIN_WORDS`` words, allow no edit: they are looked up as exact
+sequences.  ``drop_contaminated`` does not go by them, as a few words are no evidence
+against a longer document.
+
 Items are handled in blocks of at most ``BLOCK_WORDS`` words, each block broadcast and
-held against all documents, so memory does not grow with the benchmark.
+held against all documents, so memory does not grow with the benchmark (a word of an item
+takes about 0.45 windows, each 12 bytes a table: about 220 bytes).
 
-Defined cases: null and empty texts hold nothing; an item of fewer than ``MIN_WORDS``
-words says nothing about contamination and is left out; items of equal text each get
-their own rows; a document's repeated passage gives one row per item (least distance,
+Defined cases: null and empty texts hold nothing; an item without a word is found nowhere;
+items of equal text each get their own rows; a document's repeated passage gives one row per item (least distance,
 then first place); documents repeated give repeated rows; no items, no rows.
 """
 
@@ -49,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, unused
 
 MAX_EDITS = 0.2
 MIN_WORDS = 5
@@ -57,17 +62,38 @@ TABLES = 40
 SAMPLES = 4
 CLASS_FACTOR = 1.5
 SEED = 2016
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 #: Texts searched together (their words lie in one array).
 TEXTS_AT_ONCE = 512
 #: Windows walked at once.
 WALK_ROWS = 1 << 14
 
+#: Blocks of scripts written without spaces (Thai and Lao, Burmese, Khmer, kana, Han characters).
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_ANY_UNSPACED = re.compile(f"[{_UNSPACED}]")
 _WORD = re.compile(r"[^\W_]+")
+_WORD_OR_CHARACTER = re.compile(rf"[{_UNSPACED}]|(?:(?![{_UNSPACED}])[^\W_])+")
+
+
+def folded(text: str | None) -> str:
+    """The text in lower case, character by character: places stay those of the text."""
+    text = text or ""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower()[0] for c in text)
+
+
+def _pattern(low: str) -> re.Pattern:
+    return _WORD if low.isascii() or not _ANY_UNSPACED.search(low) else _WORD_OR_CHARACTER
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    low = folded(text)
+    return _pattern(low).findall(low)
+
+
+def word_places(text: str | None) -> list[tuple[int, int]]:
+    low = folded(text)
+    return [m.span() for m in _pattern(low).finditer(low)]
 
 
 def passage_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -102,11 +128,14 @@ class LengthClass:
     stride: int
     window: int
     needed: int
-    bits: np.ndarray
+    #: per table and step: with a word's code it says whether the pointer moves on
+    salt: np.ndarray
     at: np.ndarray
     #: which words the items of this class have
     known: np.ndarray
-    #: per table: sorted keys and, for each, (item, offset) entries
+    #: (item, offset) of every window that was entered
+    owner: np.ndarray | None = None
+    #: per table: sorted keys and, for each, its window's number
     keys: list[np.ndarray] = field(default_factory=list)
     entries: list[np.ndarray] = field(default_factory=list)
 
@@ -115,31 +144,43 @@ class Index:
     """The items of one block: vocabulary, walks and tables."""
 
     def __init__(self, items: list[tuple[object, str]], tables: int = TABLES, samples: int = SAMPLES,
-                 max_edits: float = MAX_EDITS):
+                 max_edits: float = MAX_EDITS, short: bool = True):
+        """``short``: also look up items of fewer than ``MIN_WORDS`` words."""
         self.max_edits = max_edits
         by_words: dict[tuple[str, ...], list] = defaultdict(list)
         for item_id, text in items:
             found = tuple(words_of(text))
-            if len(found) >= MIN_WORDS:
+            if len(found) >= (1 if short else MIN_WORDS):
                 by_words[found].append(item_id)
         self.item_ids = list(by_words.values())
         self.vocabulary: dict[str, int] = {}
         self.items = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws], np.int32)
                       for ws in by_words]
         self.classes: list[LengthClass] = []
+        #: For each length of short items: their sorted keys, and which items these are.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         rng = np.random.default_rng(SEED)
         if not self.items:
             return
         # One random number per word: whichever words are in the block, a word's bits stay its own.
         code = np.zeros(len(self.vocabulary) + 1, np.uint64)
         from xxhash import xxh64_intdigest
+        # Words of no item share a code; it moves the pointer as any other does, so a walk gets past them.
+        code[0] = xxh64_intdigest("", SEED)
         for w, k in self.vocabulary.items():
             code[k] = xxh64_intdigest(w, SEED)
         self.mix = rng.integers(1, 1 << 63, samples, dtype=np.uint64) | np.uint64(1)
         self.code = code
         lengths = np.array([len(x) for x in self.items])
-        least = int(lengths.min())
-        while least <= lengths.max():
+        for n in range(1, MIN_WORDS):
+            mine = np.flatnonzero(lengths == n)
+            if len(mine):
+                keys = self._sequence_keys(np.stack([self.items[i] for i in mine]).T)
+                order = np.argsort(keys, kind="stable")
+                self.short[n] = keys[order], mine[order]
+        long = lengths[lengths >= MIN_WORDS]
+        least = int(long.min()) if len(long) else 1
+        while len(long) and least <= lengths.max():
             top = max(least + 1, int(np.ceil(least * CLASS_FACTOR)))
             mine = np.flatnonzero((lengths >= least) & (lengths < top))
             if len(mine):
@@ -155,13 +196,10 @@ class Index:
         needed = max(1, window - int(self.max_edits * longest))
         steps = window
         salt = rng.integers(1, 1 << 63, (tables, steps), dtype=np.uint64) | np.uint64(1)
-        # bits[table, step, word]: does the pointer move on.
-        bits = np.stack([[((self.code * salt[t, j]) >> np.uint64(61)) & np.uint64(1) for j in range(steps)]
-                         for t in range(tables)]).astype(np.int32)
         at = np.stack([np.sort(rng.choice(steps, min(samples, steps), replace=False)) for _ in range(tables)])
         in_class = np.zeros(len(self.vocabulary) + 1, bool)
         in_class[np.concatenate([self.items[i] for i in mine])] = True
-        c = LengthClass(least, stride, window, needed, bits, at, in_class)
+        c = LengthClass(least, stride, window, needed, salt, at, in_class)
         heads, owner = [], []
         for i in mine:
             # Words missing from a passage's beginning move its window's place in the item further on.
@@ -174,33 +212,61 @@ class Index:
             flat[k, :len(h)] = h
         begins = np.arange(len(heads)) * (window + 1)
         flat = flat.ravel()
-        owner = np.array(owner)
+        c.owner = np.array(owner, np.int32)
         for t in range(tables):
             k = self._walk(c, t, flat, begins)
             order = np.argsort(k, kind="stable")
             c.keys.append(k[order])
-            c.entries.append(owner[order])
+            c.entries.append(order.astype(np.int32))
         return c
 
     def _walk(self, c: LengthClass, table: int, words: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """The key of the window of ``c.window`` words at each of ``begins``."""
         pointer = begins.astype(np.int32)
         key = np.zeros(len(begins), np.uint64)
-        bits, at = c.bits[table], c.at[table]
+        salt, at = c.salt[table], c.at[table]
         which = 0
         # After j steps the pointer is at most j words on, so it stays inside the window.
         for j in range(int(at[-1]) + 1):
-            word = words[pointer]
+            code = self.code[words[pointer]]
             if j == at[which]:
-                key = (key ^ self.code[word]) * self.mix[which]
+                key = (key ^ code) * self.mix[which]
                 key ^= key >> np.uint64(31)
                 which += 1
-            pointer += bits[j][word]
+            code *= salt[j]
+            pointer += ((code >> np.uint64(61)) & np.uint64(1)).astype(np.int32)
+        return key
+
+    def _sequence_keys(self, words: np.ndarray) -> np.ndarray:
+        """A key for each sequence of words, given as its first words, its second words, and so on."""
+        key = np.zeros(len(words[0]), np.uint64)
+        for w in words:
+            key = (key ^ self.code[w]) * self.mix[0]
+            key ^= key >> np.uint64(29)
         return key
 
+    def _short_places(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """(text, item, place) of the first place of each short item in each text; places as in ``words``."""
+        out = []
+        for n, (keys, mine) in self.short.items():
+            shifted = [words[j:len(words) - n + 1 + j] for j in range(n)]
+            # The places where all words occur in items.
+            places = np.flatnonzero(np.logical_and.reduce([w > 0 for w in shifted]))
+            key = self._sequence_keys(np.stack([w[places] for w in shifted]))
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            item = mine[at]
+            sequences = np.stack([self.items[i] for i in mine])
+            same = np.logical_and.reduce([sequences[at, j] == shifted[j][places] for j in range(n)])
+            places, item = places[same], item[same]
+            text = np.searchsorted(starts, places, "right") - 1
+            # Of each text and item the first: places are in order, and unique keeps the first.
+            _, first = np.unique(text * len(self.items) + item, return_index=True)
+            out.append(np.stack([text[first], item[first], places[first]], axis=1))
+        return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+
     def join(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Encoded texts in one array, far enough apart that no window reaches the next; and where each begins."""
-        gap = np.zeros(max((c.window for c in self.classes), default=0) + 1, np.int32)
+        gap = np.zeros(max([MIN_WORDS, *(c.window for c in self.classes)]) + 1, np.int32)
         begins = np.concatenate([[0], np.cumsum([len(t) + len(gap) for t in texts])]).astype(np.int64)
         return np.concatenate([x for t in texts for x in (t, gap)]) if texts else gap, begins
 
@@ -224,7 +290,7 @@ class Index:
                         continue
                     n = np.searchsorted(c.keys[t], key[hit], "right") - lo[hit]
                     which = np.repeat(lo[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    entry = c.entries[t][which]
+                    entry = c.owner[c.entries[t][which]]
                     out.append(np.stack([entry[:, 0], np.repeat(part[hit], n) - entry[:, 1]], axis=1))
         if not out:
             return np.zeros((0, 2), np.int64)
@@ -249,6 +315,9 @@ class Index:
         words, starts = self.join(texts)
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
         present = np.zeros(len(self.vocabulary) + 1, bool)
+        for k, i, p in self._short_places(words, starts).tolist():
+            at = p - int(starts[k])
+            found[k][i] = (0, at, at + len(self.items[i]))
         for i, p in self._candidates(words).tolist():
             item = self.items[i]
             most = int(self.max_edits * len(item))
@@ -286,7 +355,9 @@ class Index:
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[object, str]]]:
     """The items in blocks, by a hash of the id; each block is collected on its own."""
     items = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    # At least as many as there are words: runs without white space, and every character of unspaced scripts.
+    unspaced = F.length(F.regexp_replace("text", f"[^{_UNSPACED}]", ""))
+    total = items.agg(F.sum(F.size(F.split("text", r"[^\p{L}\p{N}]+")) + unspaced)).first()[0] or 0
     n = max(1, -(-total // block_words))
     for k in range(n):
         part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
@@ -294,11 +365,11 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[objec
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS,
-               block_words: int = BLOCK_WORDS) -> DataFrame:
+               block_words: int = BLOCK_WORDS, short: bool = True) -> DataFrame:
     """(doc_id, item_id, n_edits, start, end): the passages of ``docs`` within reach of an item.
 
-    Places are code points of the lower-cased text (the same as the text's but for a
-    few letters whose lower case is longer); end exclusive.
+    Places are code points of the text; end exclusive.  ``short``: also look for items of
+    fewer than ``MIN_WORDS`` words, which have to be there without edits.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -308,7 +379,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDI
     schema = f"doc_id {doc_kind}, item_id {item_type.simpleString()}, n_edits int, `start` bigint, `end` bigint"
     out = None
     for items in _blocks(benchmark, block_words):
-        index = spark.sparkContext.broadcast(Index(items, max_edits=max_edits))
+        index = spark.sparkContext.broadcast(Index(items, max_edits=max_edits, short=short))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             ix = index.value
@@ -319,7 +390,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDI
                     for k, hits in enumerate(ix.search([ix.encode(words_of(t)) for t in texts])):
                         if not hits:
                             continue
-                        spots = [(m.start(), m.end()) for m in _WORD.finditer(texts[k].lower())]
+                        spots = word_places(texts[k])
                         for i, (d, a, b) in sorted(hits.items()):
                             rows += [(at + k, item_id, d, spots[a][0], spots[b - 1][1]) for item_id in ix.item_ids[i]]
                 cols = list(zip(*rows)) if rows else [[]] * 5
@@ -340,15 +411,16 @@ def _arrow_type(kind):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a passage of an item.
+    """``docs`` without the documents that hold a passage of an item of ``MIN_WORDS`` words or more.
 
     A document is told by its doc_id (null matches null) and its text, so one that is clean
     stays even if it shares its id with one that is not.
     """
+    leak, key = unused(docs, "leak_id", "leak_key")
     who = F.struct("doc_id", F.xxhash64("text").alias("text_key"))
-    leaks = find_leaks(docs.select(who.alias("doc_id"), "text"), benchmark).select(
-        F.col("doc_id.doc_id").alias("__leak"), F.col("doc_id.text_key").alias("__key")).distinct()
-    same = docs["doc_id"].eqNullSafe(leaks["__leak"]) & (F.xxhash64(docs["text"]) == leaks["__key"])
+    leaks = find_leaks(docs.select(who.alias("doc_id"), "text"), benchmark, short=False).select(
+        F.col("doc_id.doc_id").alias(leak), F.col("doc_id.text_key").alias(key)).distinct()
+    same = docs["doc_id"].eqNullSafe(leaks[leak]) & (F.xxhash64(docs["text"]) == leaks[key])
     return docs.join(leaks, same, "left_anti")
 
 
