@@ -265,6 +265,13 @@ def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, rows: int = TR
     # The chosen labels are bounded by ``rows``; the texts stay where they are.
     joined = _inputs(docs).join(F.broadcast(chosen), "doc_id").select("y", "text", "n_chars")
     # Texts repeated under one id make more rows; a document's copies weigh as often as they occur.
+    # An id may hold any number of rows, though: beyond twice the bound each text counts once, chosen by its hash.
+    if _inputs(docs).select("doc_id").join(F.broadcast(chosen), "doc_id").count() > 2 * rows:
+        by_text = _inputs(docs).join(F.broadcast(chosen), "doc_id").withColumn("key", F.xxhash64("doc_id", "text"))
+        keys = by_text.select("key").distinct().count()
+        share = 1_000_000.0 * rows / keys
+        joined = (by_text.filter(F.abs(F.xxhash64(F.lit("quality text"), F.col("key")) % 1_000_000) < share)
+                  .dropDuplicates(["key"]).select("y", "text", "n_chars"))
     got = joined.mapInArrow(_featurise, "y int, buckets binary, weights binary, stats binary").collect()
     got.sort(key=lambda r: (bytes(r["stats"]), bytes(r["buckets"])))  # the fit must not depend on task order
     y = np.array([r["y"] for r in got], float)
