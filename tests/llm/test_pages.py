@@ -17,20 +17,17 @@ def show(items):
 
 def text_of(pages):
     """Main texts of the pages of one host, without Spark."""
-    shapes, per = {}, []
+    found = {}
     for p in pages:
-        items, texts = wrappers.shape_of(p)
-        import json
-        data = json.dumps(wrappers.to_json(items))
-        sl = list(wrappers.slots(items))
-        row = shapes.setdefault(data, [0, [0.0] * len(sl), [0.0] * len(sl)])
-        row[0] += 1
-        for k, s in enumerate(sl):
-            row[1][k] += sum(len(texts[t][0]) for t in s.texts)
-            row[2][k] += sum(len(texts[t][0]) for t in s.texts if texts[t][2])
-        per.append((data, sl, texts))
-    main = wrappers.infer([(d, d, n, c, l) for d, (n, c, l) in shapes.items()])
-    return [wrappers.blocks_text(texts, {t for s, m in zip(sl, main[d]) if m for t in s.texts}) for d, sl, texts in per]
+        wrappers.sum_up(found, "host", p)
+    known = wrappers.infer(list(found.values()))
+    out = []
+    for p in pages:
+        items, texts, _, name = wrappers.read_page(p)
+        main, template = known[name]
+        equal = {(k, h) for k, own in enumerate(template) for h in own}
+        out.append(wrappers.blocks_text(texts, wrappers.main_texts(items, texts, main, equal)))
+    return out
 
 
 def test_whole_table(spark, con):
@@ -58,7 +55,7 @@ def test_alignment_makes_options_and_repetitions():
                  "<body><h1>t</h1><em>by</em><p>a</p><p>b</p></body>"):
         shape, _ = wrappers.shape_of(page)
         n = len(list(wrappers.slots(shape)))
-        w.add(shape, [1.0] * n, [0.0] * n)
+        w.add(shape, wrappers.Shape("", "", 1, [1.0] * n, [0.0] * n, [{}] * n, []))
     assert show(w.items) == "<body> <h1> # </h1> <em>? #? </em>? (<p> # </p>)+ </body>"
 
 
