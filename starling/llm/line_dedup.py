@@ -23,9 +23,10 @@ and one drawn by hash.  Every line is first compared with the pivots of its buck
 however large the bucket.  In a bucket whose lines are then in one component nothing is left
 to find.  In the others every line outside the bucket's commonest component is compared with
 all lines of the bucket that are in another component and near enough in size to reach the
-threshold.  Before pairs are verified, sketches of ``SKETCH`` bits (the lowest bit of the least hash in each
-part of the hashes' range) are compared: pairs whose sketches differ in more places than those
-of pairs at the threshold do, by ``SKETCH_ERRORS`` standard errors (99.7 % of them pass), are not verified.
+threshold.  Before pairs are verified, sketches of ``SKETCH`` bits are compared: a bit is set if a hash of
+the line lies in that part of the hashes' range.  Every place at which two sketches differ takes a shingle
+that one line has and the other lacks, so a pair that differs in more places than lines at the threshold
+have such shingles cannot reach it, and is not verified: nothing is lost.
 
 *Verification* is exact, on the full sets of shingle hashes of both lines, made again from
 their texts (sets of eight bytes a character are never written), then union-find over the links.
@@ -59,10 +60,9 @@ SHORT = 16
 SHORT_NEAR = int((SHORT - 1) / SIMILARITY)
 PREFIXES = SHORT_NEAR - int(np.ceil(SIMILARITY * SHORT_NEAR)) + 1
 KEYS = BANDS + PREFIXES
-LOG_SKETCH = 9
+LOG_SKETCH = 11
 SKETCH = 1 << LOG_SKETCH
 SKETCH_WORDS = SKETCH // 64
-SKETCH_ERRORS = 2.75
 #: Most candidate lines whose digests (16 bytes each) are broadcast; beyond, they are joined by shuffle.
 BROADCAST_DIGESTS = 300_000
 #: Bits of a shingle's hash; the others of 64 hold the line's place in its block.
@@ -177,20 +177,16 @@ def line_keys(sets: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def sketches(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """For each line the lowest bits of the least hashes in ``SKETCH`` equal parts of the hashes' range, as words."""
+    """For each line, which of ``SKETCH`` equal parts of the hashes' range hold one of its hashes, as words of bits."""
     part = sets >> np.uint64(HASH_BITS - LOG_SKETCH)  # with the line's number above
-    least = np.concatenate([[True], part[1:] != part[:-1]])
-    set_bits = least & ((sets & np.uint64(1)) == 1)
     out = np.zeros((len(begins) - 1) * SKETCH_WORDS, np.uint64)
-    np.bitwise_or.at(out, (part[set_bits] >> np.uint64(6)).astype(np.int64), np.uint64(1) << (part[set_bits] & np.uint64(63)))
+    np.bitwise_or.at(out, (part >> np.uint64(6)).astype(np.int64), np.uint64(1) << (part & np.uint64(63)))
     return out.reshape(-1, SKETCH_WORDS).view(np.int64)
 
 
 def _most_apart(size_a: Column, size_b: Column) -> Column:
-    """How many places of two sketches may differ if the lines reach the threshold."""
-    union = (size_a + size_b) / (1 + SIMILARITY)
-    expected = SKETCH * (1 - F.exp(-union / SKETCH)) * (1 - SIMILARITY) / 2
-    return expected + SKETCH_ERRORS * F.sqrt(expected) + 1
+    """How many shingles only one of the lines can have if they reach the threshold."""
+    return (size_a + size_b) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6
 
 
 def _apart(a: str, b: str) -> Column:

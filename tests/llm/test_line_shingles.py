@@ -107,7 +107,7 @@ def edited_pairs(rng, n, tries=4000):
 
 @pytest.mark.parametrize("n", [4, 5, 8, 10, 12, 14, 15, 16, 18, 20, 30, 60, 200])
 def test_recall_by_length(n):
-    """Of pairs at the threshold, at least 0.97 meet in a bucket and pass the sketches, whatever their length; all short ones."""
+    """Of pairs at the threshold, at least 0.97 meet in a bucket, whatever their length; all short ones.  All pass the sketches."""
     pairs = edited_pairs(random.Random(n), n, 1000 if n > 20 else 2000)
     keys, sketch = [], []
     for side in (0, 1):
@@ -123,17 +123,16 @@ def test_recall_by_length(n):
     met = np.array([bool(a & b) for a, b in zip(*keys)])
     passed = []
     for (na, sa), (nb, sb) in zip(*sketch):
-        expected = line_dedup.SKETCH * (1 - np.exp(-(na + nb) / (1 + line_dedup.SIMILARITY) / line_dedup.SKETCH)) * (1 - line_dedup.SIMILARITY) / 2
         apart = sum(bin(x ^ y).count("1") for x, y in zip(sa, sb))
-        passed.append(apart <= expected + line_dedup.SKETCH_ERRORS * expected ** 0.5 + 1)
+        passed.append(apart <= (na + nb) * (1 - line_dedup.SIMILARITY) / (1 + line_dedup.SIMILARITY) + 1e-6)
     print(n, met.mean(), np.mean(passed), (met & np.array(passed)).mean())
-    assert np.mean(passed) >= 0.99 and (met & np.array(passed)).mean() >= 0.97
+    assert all(passed) and met.mean() >= 0.97
     if n < 15:
         assert met.all()
 
 
 def test_sketches_by_hand():
-    """Each bit is the lowest bit of the least hash in its part of the range."""
+    """A bit is set if a hash of the line lies in its part of the range."""
     lines = ["abcdefghijklmnopqrstuvwxyz" * 20, "short one", "的一是不了人我在有他这中大来上"]
     sets, begins = sets_of(lines)
     words = line_dedup.sketches(sets, begins).view(np.uint64)
@@ -142,7 +141,7 @@ def test_sketches_by_hand():
         for part in range(line_dedup.SKETCH):
             inside = own[own >> np.uint64(line_dedup.HASH_BITS - line_dedup.LOG_SKETCH) == part]
             bit = int(words[i, part // 64]) >> (part % 64) & 1
-            assert bit == (int(inside.min()) & 1 if len(inside) else 0)
+            assert bit == int(len(inside) > 0)
 
 
 def test_many_near_copies_of_near_copies(spark):
