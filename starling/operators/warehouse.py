@@ -217,8 +217,10 @@ def write_version(spark: SparkSession, df: DataFrame, table_path: str,
         # A task writes a few partition folders (not every folder), and a large partition
         # is still spread over several tasks.  The partition's value also stays a column.
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        out = df.withColumn(PART, _label(by, buckets, bucket_keys))
-        out = out.repartitionByRange(n, PART, *(sort_by or [])).sortWithinPartitions(PART, *(sort_by or []))
+        # The label is made again behind the shuffle, not carried through it.
+        label = _label(by, buckets, bucket_keys)
+        out = df.repartitionByRange(n, label, *(sort_by or [])).withColumn(PART, label)
+        out = out.sortWithinPartitions(PART, *(sort_by or []))
         out.write.partitionBy(PART).parquet(folder)
         parts = _folders(spark, folder)
     else:
@@ -293,7 +295,8 @@ def upsert_table(spark: SparkSession, table_path: str, staging: DataFrame, keys:
                  partition_by: list[str] | None = None, sort_by: list[str] | None = None,
                  new_table: bool = False, buckets: int = 0, schema: T.StructType | None = None,
                  not_null: list[str] | None = None, load_id: str | None = None,
-                 check: Callable[[DataFrame], None] | None = None, base_version: int | None = None) -> DataFrame:
+                 check: Callable[[DataFrame], None] | None = None, base_version: int | None = None,
+                 written: bool = False) -> DataFrame:
     """L1-L4 on a versioned Parquet table; returns the new current version.
 
     L1: staged rows are first written (to ``staging_path``, or beside the table), so their
@@ -307,6 +310,8 @@ def upsert_table(spark: SparkSession, table_path: str, staging: DataFrame, keys:
     which is given the staged copy.  ``load_id`` names the load: one that the table has taken in
     already changes nothing.  A writer that another one overtakes starts over from the new version,
     unless ``base_version`` says which one the caller has worked from: then it is a VersionConflict.
+    ``written`` says that the staged rows are read from a copy that stays (a scan, filtered at most): it
+    serves as the staging, and is not copied again.
     """
     if mode not in ("merge", "replace"):
         raise ValueError(f"unknown upsert mode {mode!r}")
@@ -321,8 +326,12 @@ def upsert_table(spark: SparkSession, table_path: str, staging: DataFrame, keys:
         if no_key:
             raise SchemaMismatch(f"staging does not fit: missing keys {no_key}")
         counts |= {f"null_{c}": F.count_if(F.col(c).isNull()) for c in dict.fromkeys([*keys, *(not_null or [])])}
-        _refuse(write_counted(staging, copy, counts, columns), name)
-        staged = spark.read.parquet(copy)
+        if written:
+            _refuse(staging.agg(*[c.alias(n) for n, c in counts.items()]).first().asDict(), name)
+            staged = staging.select(*columns) if columns else staging
+        else:
+            _refuse(write_counted(staging, copy, counts, columns), name)
+            staged = spark.read.parquet(copy)
         if schema is not None:
             check_schema(staged, schema, name)
         if mode == "merge":
@@ -339,7 +348,8 @@ def upsert_table(spark: SparkSession, table_path: str, staging: DataFrame, keys:
                 cur = current_version(spark, table_path)
         raise VersionConflict(f"{table_path}: overtaken {ATTEMPTS} times")
     finally:
-        delete_path(spark, copy)
+        if not written:
+            delete_path(spark, copy)
 
 
 def _attempt(spark: SparkSession, table_path: str, cur: Version | None, staged: DataFrame, keys: list[str], mode: str,
@@ -362,6 +372,18 @@ def _attempt(spark: SparkSession, table_path: str, cur: Version | None, staged:
                          cur.buckets, cur.bucket_keys, loads)
 
 
+def _holding(spark: SparkSession, cur: Version, staged: DataFrame, keys: list[str], buckets: set[str]) -> set[str]:
+    """Labels of the partitions that hold a staged key now, by the key and partition columns of the folders in
+    ``buckets`` (those of the staged keys, if the layout has any)."""
+    near = [p for v, p in cur.parts if not cur.buckets or v == "" or _bucket(v) in buckets]
+    if not near:
+        return set()
+    there = spark.read.parquet(*near)
+    held = there.select(*dict.fromkeys([*keys, *cur.partition_by])).join(staged.select(*keys).distinct(), keys, "left_semi")
+    # At most one row per partition reaches the driver.
+    return {r["v"] for r in held.select(_label(cur.partition_by, cur.buckets, cur.bucket_keys).alias("v")).distinct().collect()}
+
+
 def touched_parts(spark: SparkSession, cur: Version, staged: DataFrame, keys: list[str]) -> tuple[list[str], list[tuple[str, str]]]:
     """(folders that may hold a staged key or will hold a staged row, all other parts).
 
@@ -374,24 +396,29 @@ def touched_parts(spark: SparkSession, cur: Version, staged: DataFrame, keys: li
     # At most one row per partition reaches the driver.
     touched = {r["v"] for r in staged.select(label.alias("v")).distinct().collect()}
     if cur.partition_by:
-        near = [p for v, p in cur.parts if not cur.buckets or v == "" or _bucket(v) in {_bucket(t) for t in touched}]
-        if near:
-            there = spark.read.parquet(*near)
-            moved = there.select(*dict.fromkeys([*keys, *cur.partition_by])).join(staged.select(*keys).distinct(), keys, "left_semi")
-            touched |= {r["v"] for r in moved.select(label.alias("v")).distinct().collect()}
+        touched |= _holding(spark, cur, staged, keys, {_bucket(t) for t in touched})
     old = [p for v, p in cur.parts if v in touched or v == ""]
     return old, [(v, p) for v, p in cur.parts if v not in touched and v != ""]
 
 
 def rows_of_keys(spark: SparkSession, table_path: str, staged: DataFrame, keys: list[str]) -> DataFrame | None:
-    """The table's current rows with a staged key, read from the folders that may hold one; None for a new table."""
+    """The table's current rows with a staged key, read from the folders that may hold one; None for a new table.
+
+    Of a partitioned table whole rows are read from the folders that hold one, which keys alone tell.
+    """
     cur = current_version(spark, table_path)
     if cur is None:
         return None
     there = spark.read.parquet(*cur.paths)
+    wanted: set[str] = set()
     if cur.buckets:
         label = F.pmod(F.xxhash64(*cur.bucket_keys), F.lit(cur.buckets)).cast("string")
         wanted = {r["v"] for r in staged.select(label.alias("v")).distinct().collect()}
+    if cur.partition_by:
+        held = _holding(spark, cur, staged, keys, wanted)
+        near = [p for v, p in cur.parts if v == "" or v in held]
+        there = spark.read.parquet(*near) if near else there.limit(0)
+    elif cur.buckets:
         near = [p for v, p in cur.parts if v == "" or _bucket(v) in wanted]
         there = spark.read.parquet(*near) if near else there.limit(0)
     return there.join(staged.select(*keys).distinct(), keys, "left_semi").select(*there.columns)

@@ -291,12 +291,9 @@ def q_replace_by_key(spark, sf_dir):
 def _restated(spark, sf_dir, days: int):
     """The fact up to its latest order, first line of each key; and as a batch its last ``days`` days restated
     (quantity + 1), with the orders' totals recomputed."""
-    fact = materialize(tb.fact_sales(spark, sf_dir, extended=True, written=True), "restated_source")
-    cols = ["customer_id", "quantity", "unit_price", "item_total", "order_total", "order_date"]
-    order = ["line_number", "supplier_id", "quantity", "unit_price", "customer_id", "item_total", "order_total", "order_date"]
-    firsts = fact.groupBy("order_id", "product_id").agg(F.min(F.struct(*order)).alias("r")).select(
-        "order_id", "product_id", *[F.col("r")[c].alias(c) for c in cols])
-    firsts = materialize(firsts, "restated_firsts")
+    fact = tb.marked_lines(spark, sf_dir)
+    firsts = fact.filter("is_first").select("order_id", "product_id", "customer_id", "quantity", "unit_price", "item_total",
+                                            "order_total", "order_date")
     latest = fact.agg(F.max("order_date")).scalar()
     staged = firsts.filter(F.col("order_date") >= latest - F.expr(f"INTERVAL {days} DAYS"))
     staged = staged.withColumn("quantity", F.col("quantity") + 1).withColumn(
@@ -320,7 +317,8 @@ def q_marts_incremental(spark, sf_dir):
     target, staged = _restated(spark, sf_dir, 90)
     base = scratch_path(spark, "marts_incremental")
     products, customers = tb.dim_products(spark, sf_dir), tb.dim_customers(spark, sf_dir)
-    wh.upsert_table(spark, f"{base}/fact", target, ["order_id", "product_id"], partition_by=["order_month"], new_table=True)
+    wh.upsert_table(spark, f"{base}/fact", target, ["order_id", "product_id"], partition_by=["order_month"], new_table=True,
+                    written=True)
     marts.build_parts(spark, target, products, f"{base}/marts")
     marts.load_batch(spark, f"{base}/fact", f"{base}/marts", staged, products, "restated")
     got = marts.publish_marts(spark, f"{base}/marts", customers)

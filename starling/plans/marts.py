@@ -117,13 +117,16 @@ def load_batch(spark: SparkSession, fact_path: str, marts_dir: str, staged: Data
         staged.write.parquet(f"{folder}/staged")
         rows = spark.read.parquet(f"{folder}/staged")
         before = wh.rows_of_keys(spark, fact_path, rows, keys)
+        if before is not None:  # every part reads it
+            before.write.parquet(f"{folder}/before")
+            before = spark.read.parquet(f"{folder}/before")
         new = fact_parts(rows, dim_products)
         old = fact_parts(before, dim_products) if before is not None else {}
         for name, key in PARTS.items():
             (_added(key, new[name], _less(old[name])) if old else new[name]).write.parquet(f"{folder}/{name}")
         try:
             wh.upsert_table(spark, fact_path, rows, keys, mode, load_id=batch_id, base_version=cur.version if cur else 0,
-                            partition_by=["order_month"], sort_by=wh.SORT_KEYS["fact_sales"])
+                            partition_by=["order_month"], sort_by=wh.SORT_KEYS["fact_sales"], written=True)
             break
         except wh.VersionConflict:
             continue

@@ -16,6 +16,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Rows that one task of a step with a given number of tasks has to hold, about.
+ROWS_PER_TASK = 500_000
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "starling", extra: dict | None = None) -> SparkSession:
     """A local session configured the way the library expects.
@@ -94,6 +98,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tasks_for(rows, per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks to deal ``rows`` over, so that what one holds does not grow with them; ``rows`` is a scan (its
+    files know their rows).  Never fewer than the session's partitions."""
+    return max(shuffle_partitions(rows.sparkSession), -(-rows.count() // per_task))
+
+
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint root and read it back.
 

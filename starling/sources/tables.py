@@ -7,13 +7,13 @@ here; the raw/cleaning path (``sources.messy``) carries them as text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import add_seconds
 from ..functions.values import money
 from ..schemas import MONEY
-from ..session import materialize
+from ..session import materialize, tasks_for
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -24,6 +24,9 @@ SIGNUP_STRIDE = 37
 EMAIL_DOMAIN = "@example.com"
 COUNTRY = "United States"
 SECONDS_PER_DAY = 86400
+#: An order of more lines is not left to one task; hash buckets that orders are first counted in.
+HOT_LINES = 1_000_000
+HOT_BUCKETS = 1 << 16
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,17 +78,23 @@ def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+
+
+def fact_lines(spark: SparkSession, sf_dir: str, li: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """One row per line item with the star's fact columns (no order_total yet).
 
     ``line_number`` and ``supplier_id`` ride along: they make a line unique and
     give the upsert fixture a deterministic "first row per key".
+    ``li``: some of the line items.  ``tasks``: over how many tasks the lines are dealt by their order.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    li = line_items(spark, sf_dir) if li is None else li
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    lines = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    lines = li.join(part, li.l_partkey == part.p_partkey)
+    lines = (lines.repartition(tasks, "l_orderkey") if tasks else lines).join(orders, li.l_orderkey == orders.o_orderkey)
     quantity = F.col("l_quantity").cast("int")
     unit_price = money(F.col("p_retailprice"))
     return lines.select(
@@ -130,6 +139,57 @@ def fact_sales(spark: SparkSession, sf_dir: str, extended: bool = False, written
     return fact.select(*cols)
 
 
+def hot_orders(keys: DataFrame, most: int = HOT_LINES) -> DataFrame | None:
+    """(order_id) of the orders with more than ``most`` of the rows of ``keys`` (order_id); None if there are none.
+
+    Rows are counted by hash buckets first, which shuffles a few numbers only: an order has no more rows
+    than its bucket.  Orders are counted in the buckets above the limit alone.
+    """
+    bucket = F.pmod(F.xxhash64("order_id"), F.lit(HOT_BUCKETS))
+    full = keys.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    full = [r["b"] for r in full.collect()]  # at most rows / most, and never more than HOT_BUCKETS
+    if not full:
+        return None
+    counts = keys.filter(bucket.isin(full)).groupBy("order_id").agg(F.count(F.lit(1)).alias("n"))
+    hot = materialize(counts.filter(F.col("n") > most).select("order_id"), "hot_orders")
+    return None if hot.isEmpty() else hot
+
+
+def item_total() -> F.Column:
+    return (F.col("quantity") * F.col("unit_price")).cast(MONEY)
+
+
+#: The first row of a key is the least by these: a total order, as the driver data repeats (order, line number) pairs.
+FIRST_BY = ["line_number", "supplier_id", "quantity", "unit_price", "customer_id", "item_total", "order_total", "order_date"]
+
+
+def marked_lines(spark: SparkSession, sf_dir: str, most: int = HOT_LINES) -> DataFrame:
+    """The fact, written once: a row is a line if ``is_line``, and the first one of its (order, product) if ``is_first``.
+
+    Totals and first lines are found where the join with the orders leaves the lines, each order's
+    together, so no line is shuffled after that join.  Orders of more than ``most`` lines go another way, which no
+    task has to walk alone: totals joined back, first lines by an aggregate that combines map-side.
+    """
+    cols = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "order_total", "order_date"]
+    li = line_items(spark, sf_dir)
+    hot = hot_orders(li.select(F.col("l_orderkey").alias("order_id")), most)
+    own = None if hot is None else li["l_orderkey"] == hot["order_id"]
+    plain = fact_lines(spark, sf_dir, li if hot is None else li.join(F.broadcast(hot), own, "left_anti"), tasks_for(li))
+    plain = plain.withColumn("order_total", money(F.sum("item_total").over(Window.partitionBy("order_id"))))
+    place = F.row_number().over(Window.partitionBy("order_id", "product_id").orderBy(*FIRST_BY))
+    marked = plain.select(*cols, F.lit(True).alias("is_line"), (place == 1).alias("is_first"))
+    if hot is not None:
+        rest = materialize(fact_lines(spark, sf_dir, li.join(F.broadcast(hot), own, "left_semi")), "hot_lines")
+        rest = materialize(with_order_totals(rest, split_hot=True), "hot_fact")
+        firsts = rest.groupBy("order_id", "product_id").agg(F.min(F.struct(*FIRST_BY)).alias("r")).select(
+            *[F.col(c) if c in ("order_id", "product_id") else F.col("r")[c].alias(c) for c in cols])
+        marked = marked.unionByName(rest.select(*cols, F.lit(True).alias("is_line"), F.lit(False).alias("is_first"))).unionByName(
+            firsts.select("*", F.lit(False).alias("is_line"), F.lit(True).alias("is_first")))
+    # The item total follows from two other columns, so it is not written.
+    marked = materialize(marked, "marked_lines")
+    return marked.select(*cols[:5], item_total().alias("item_total"), *cols[5:], "is_line", "is_first")
+
+
 def star(spark: SparkSession, sf_dir: str, extended: bool = False, written: bool = False) -> dict[str, DataFrame]:
     return {
         "dim_customers": dim_customers(spark, sf_dir),
