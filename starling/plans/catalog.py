@@ -246,23 +246,14 @@ def _upsert_inputs(spark, sf_dir, reduce_keys: bool = True):
     key); staging = every line of the last 18 months with quantity + 1 and totals
     recomputed (one row per key for MERGE, all rows for delete-insert).  Staged
     keys older than the cut update the target; newer ones are inserts."""
-    # Both sides and the latest order read one copy of the fact.
-    fact = materialize(tb.fact_sales(spark, sf_dir, extended=True, written=True), "upsert_source")
-    keys = ["order_id", "product_id"]
+    # Both sides and the latest order read one copy of the fact, which has the first row of each key marked.
+    fact = tb.marked_lines(spark, sf_dir)
     cols = ["order_id", "customer_id", "product_id", "quantity", "unit_price", "item_total",
             "order_total", "order_date"]
-    # First row per key: a min over a struct, which combines map-side however many
-    # rows share a key.  The order is total (line number, supplier, then every
-    # column), as the driver data repeats (order, line number) pairs.
-    order = ["line_number", "supplier_id", "quantity", "unit_price", "customer_id", "item_total",
-             "order_total", "order_date"]
-    firsts = (fact.groupBy(*keys)
-              .agg(F.min(F.struct(*order)).alias("r"))
-              .select(*keys, *[F.col("r")[c].alias(c) for c in cols if c not in keys])
-              .select(*cols))
+    firsts = fact.filter("is_first").select(*cols)
     ref = fact.agg(F.max("order_date")).scalar()  # scalar subquery: the latest order
     target = firsts.filter(F.col("order_date") < add_months_keep_time(ref, -6))
-    base = firsts if reduce_keys else fact.select(*cols)
+    base = firsts if reduce_keys else fact.filter("is_line").select(*cols)
     staged = base.filter(F.col("order_date") >= add_months_keep_time(ref, -18))
     staged = staged.withColumn("quantity", F.col("quantity") + 1).withColumn(
         "item_total", (F.col("quantity") * F.col("unit_price")).cast(MONEY))
