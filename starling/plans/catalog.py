@@ -298,7 +298,8 @@ def q_upsert_buckets(spark, sf_dir):
     buckets are read and written again."""
     target, staged = _restated(spark, sf_dir, 2)
     table, keys = scratch_path(spark, "fact_buckets"), ["order_id", "product_id"]
-    wh.upsert_table(spark, table, target, keys, buckets=64, sort_by=wh.SORT_KEYS["fact_sales"], new_table=True)
+    wh.upsert_table(spark, table, target, keys, buckets=64, sort_by=wh.SORT_KEYS["fact_sales"], new_table=True,
+                    written=True)
     wh.upsert_table(spark, table, staged, keys)
     return _fact_out(wh.read_current(spark, table))
 
