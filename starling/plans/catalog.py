@@ -266,7 +266,7 @@ def _upsert_query(spark, sf_dir, mode: str, reduce_keys: bool) -> DataFrame:
     table = scratch_path(spark, f"fact_{mode}")
     staging_path = scratch_path(spark, f"fact_{mode}_staging")
     wh.upsert_table(spark, table, target_df, ["order_id", "product_id"], "replace", partition_by=["order_month"],
-                    new_table=True)
+                    new_table=True, written=True)
     wh.upsert_table(spark, table, staged, ["order_id", "product_id"], mode, staging_path=staging_path)
     return _fact_out(wh.read_current(spark, table))
 
