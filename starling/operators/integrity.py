@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
-from ..session import materialize
+from ..session import materialize, tasks_for
 
 
 def referential_filter(lines: DataFrame, dim_customers: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -38,19 +38,24 @@ def orphan_counts(lines: DataFrame, dim_customers: DataFrame, dim_products: Data
 
 
 def pk_violations(tables: dict[str, DataFrame], keys: dict[str, list[str]] | None = None) -> DataFrame:
-    """Per table, keys held by more than one row, rows under them, rows with a null key part."""
+    """Per table, keys held by more than one row, rows under them, rows with a null key part.
+
+    Keys seldom repeat, so nothing is gained by combining them before the shuffle, where a task would hold all
+    keys of its input at once.  They are written (the copy knows how many there are) and dealt over as many
+    tasks as keep each one's share the same; rows with a null part are only counted.
+    """
     keys = keys or PRIMARY_KEYS
     parts = []
     for name, cols in keys.items():
-        df = tables[name]
+        df = materialize(tables[name].select(*cols), f"keys_{name}")
         null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-        per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"), F.max(null_key).alias("_null"))
+        nulls = df.agg(F.count_if(null_key)).scalar()
+        per_key = (df.filter(~null_key).repartition(tasks_for(df), *cols)
+                   .groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows")))
         parts.append(per_key.agg(
-            F.count_if((F.col("_rows") > 1) & ~F.col("_null")).alias("duplicate_keys"),
-            F.coalesce(F.sum(F.when((F.col("_rows") > 1) & ~F.col("_null"), F.col("_rows"))), F.lit(0))
-            .alias("rows_with_duplicate_keys"),
-            F.coalesce(F.sum(F.when(F.col("_null"), F.col("_rows"))), F.lit(0)).alias("null_key_rows"),
-        ).select(F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"), "*"))
+            F.count_if(F.col("_rows") > 1).alias("duplicate_keys"),
+            F.coalesce(F.sum(F.when(F.col("_rows") > 1, F.col("_rows"))), F.lit(0)).alias("rows_with_duplicate_keys"),
+        ).withColumn("null_key_rows", nulls).select(F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
