@@ -43,7 +43,7 @@ class Cleaned:
     metrics: DataFrame
 
 
-def _exact_dedupe(df: DataFrame, cols: list[str], derived: dict[str, Column] | None = None) -> DataFrame:
+def _exact_dedupe(df: DataFrame, cols: list[str], derived: dict[str, Column] | None = None, written: bool = False) -> DataFrame:
     """One row per distinct data row, with its multiplicity and first position.
 
     Grouping on the data columns treats NULL = NULL, like a whole-row duplicate test.
@@ -51,10 +51,14 @@ def _exact_dedupe(df: DataFrame, cols: list[str], derived: dict[str, Column] | N
     dates) computed *as aggregate outputs* (``min`` of a value constant in the
     group): a later filter on them then stays above the aggregate instead of being
     pushed, with the whole parse expression, into the map-side aggregation stage.
+    When the result is ``written`` at once no filter can be, and they are made behind the
+    aggregate: they are not shuffled, and only distinct rows are parsed.
     """
     aggs = [F.count(F.lit(1)).alias("_n")]
     if "_seq" in df.columns:
         aggs.append(F.min("_seq").alias("_seq"))
+    if written:
+        return df.groupBy(*cols).agg(*aggs).select("*", *[expr.alias(name) for name, expr in (derived or {}).items()])
     aggs += [F.min(expr).alias(name) for name, expr in (derived or {}).items()]
     return df.groupBy(*cols).agg(*aggs)
 
@@ -80,7 +84,7 @@ def flag_customers(raw: DataFrame, hyphen_day_first: bool = False, reuse: bool =
     ``reuse`` it is materialised once so the scan and shuffle are not run twice.
     """
     parsed = parse_mixed_datetime(F.col("signup_date"), hyphen_day_first)
-    g = _exact_dedupe(_prepare(raw, CUSTOMER_COLS), CUSTOMER_COLS, {"_parsed": parsed})
+    g = _exact_dedupe(_prepare(raw, CUSTOMER_COLS), CUSTOMER_COLS, {"_parsed": parsed}, written=reuse)
     if reuse:
         g = materialize(g, "customers_c1")
     email = F.col("email")
@@ -143,7 +147,7 @@ def flag_orders(raw: DataFrame, hyphen_day_first: bool = False, reuse: bool = Tr
         "_parsed": parsed.cast("timestamp_ntz"),
         "_q": to_number(F.col("quantity")),
         "_p": to_number(F.col("unit_price")),
-    })
+    }, written=reuse)
     q, p = F.col("_q"), F.col("_p")
     valid_amount = F.coalesce((q > 0) & (p > 0), F.lit(False))
     flagged = g.select(
@@ -166,12 +170,12 @@ def order_lines(flagged: DataFrame) -> DataFrame:
         "order_id", "customer_id", "product_id",
         F.col("_q").alias("quantity"),
         F.col("_p").alias("unit_price"),
-        (F.col("_q") * F.col("_p")).alias("_item_raw"),
         F.col("_parsed").alias("order_date"),
     )
-    return with_order_totals(lines, "_item_raw", split_hot=True).select(
+    item = F.col("quantity") * F.col("unit_price")  # made where it is used, not carried through the join
+    return with_order_totals(lines, item, split_hot=True).select(
         "order_id", "customer_id", "product_id", "quantity", "unit_price",
-        money(F.col("_item_raw")).alias("item_total"), "order_total", "order_date")
+        money(item).alias("item_total"), "order_total", "order_date")
 
 
 def order_metrics(flagged: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def fact_lines(spark: SparkSession, sf_dir: str, li: DataFrame | None = None, ta
     )
 
 
-def with_order_totals(lines: DataFrame, item_col: str = "item_total", split_hot: bool = False) -> DataFrame:
+def with_order_totals(lines: DataFrame, item_col: str | F.Column = "item_total", split_hot: bool = False) -> DataFrame:
     """Attach order_total = sum of the order's line totals, rounded to cents.
 
     Aggregate-then-join instead of a window: the aggregate combines map-side.  With
