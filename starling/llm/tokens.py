@@ -43,9 +43,8 @@ ENCODE_BATCH = 20_000
 CACHE_SCHEMA = T.StructType([T.StructField("tokenizer", T.StringType()), T.StructField("digest", T.BinaryType()),
                              T.StructField("n_tokens", T.LongType())])
 
-_SPACES = re.compile(r"[\x20\x09-\x0D]+")
 #: A run of ASCII letters with one closing mark: the mark is a piece of its own to the tokenizer.
-_MARKED = re.compile(r"[A-Za-z]+[.,]\Z")
+_MARKED = re.compile(rb"[A-Za-z]+[.,]\Z")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -59,39 +58,43 @@ def tokenizer_version(path: str) -> str:
 
 
 class PieceCounter:
-    """Token counts of texts by the sum over their pieces, with a bounded memo."""
+    """Token counts of texts by the sum over their pieces, with a bounded memo.
+
+    Pieces are UTF-8 bytes: what ``bytes.split`` and ``bytes.lower`` go by is ASCII white space and A-Z alone.
+    """
 
     def __init__(self, path: str, most: int = MEMO_PIECES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self.memo: dict[str, int] = {"": 0}
+        self.memo: dict[bytes, int] = {}
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: set[bytes]) -> None:
         """Counts of new pieces, a closing . or , apart from the ASCII letters before it."""
         memo = self.memo
         marked = [p for p in pieces if _MARKED.match(p)]
         plain = pieces.difference(marked)
         plain.update(p[:-1] for p in marked)
-        plain.update((".", ","))
+        plain.update((b".", b","))
         todo = [p for p in plain if p not in memo]
         for at in range(0, len(todo), ENCODE_BATCH):
             part = todo[at:at + ENCODE_BATCH]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+            texts = [p.decode() for p in part]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 memo[p] = len(e)
         for p in marked:
-            memo[p] = memo[p[:-1]] + memo[p[-1]]
+            memo[p] = memo[p[:-1]] + memo[p[-1:]]
 
-    def count(self, texts: list[str]) -> list[int]:
+    def count(self, texts: list[bytes | str]) -> list[int]:
+        """Token counts of texts, given as UTF-8 or str."""
         if len(self.memo) > self.most:
-            self.memo = {"": 0}
+            self.memo = {}
+        texts = [t.encode() if isinstance(t, str) else t for t in texts]
         # Only plain ASCII is lower-cased here: what the tokenizer does to other letters is its own,
         # and its special strings are matched as they are written.
-        split = [_SPACES.split(t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
+        split = [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
         memo = self.memo
-        new = set()
-        for pieces in split:
-            new.update(p for p in pieces if p not in memo)
+        new = set().union(*split).difference(memo)
         if new:
             self._learn(new)
         return [sum(map(memo.__getitem__, pieces)) for pieces in split]
@@ -108,7 +111,7 @@ def _encoder(path: str):
             _COUNTERS[path] = PieceCounter(path)
         counter = _COUNTERS[path]
         for batch in batches:
-            digest, texts = batch.column(0), batch.column(1)
+            digest, texts = batch.column(0), batch.column(1).cast(pa.binary())
             counts: list[int] = []
             for at in range(0, len(texts), 256):
                 counts += counter.count(texts.slice(at, 256).to_pylist())
