@@ -1,32 +1,34 @@
-"""Fuzzy line deduplication by MinHash over character shingles.
+"""Fuzzy line deduplication by MinHash over character shingles, in DataFrame functions.
 
 A document is cut at newlines.  The shingles of a line are all its runs of ``SHINGLE``
 characters (code points), one beginning at every character; a line of fewer characters is one
-shingle.  They are hashed in numpy, a batch of lines at a time, to ``HASH_BITS`` bits; all
-else is DataFrame functions.  Two lines are near-duplicates at a Jaccard similarity of
-``SIMILARITY`` or more.  Of each connected component of near-duplicate lines the first
-occurrence, by (doc_id, line number), is kept.  Blank lines are never touched.
-
-*Signatures.*  One permutation MinHash by rotation: the sorted hashes of a line lie on a ring;
-from each of ``BANDS`` fixed points of the ring the next ``ROWS`` hashes make a band.  Two
-lines agree in a band when the next ``ROWS`` hashes of their union from there belong to
-both: at the threshold with probability ``SIMILARITY ** ROWS`` = 0.41, so all eight miss with
-0.015; at 0.9 with 0.0002.  The points of a short line often begin the same band, so lines of fewer than
+shingle.  Two lines are near-duplicates at a Jaccard similarity of ``SIMILARITY`` or more.  Of
+each connected component of near-duplicate lines the first occurrence, by (doc_id, line
+number), is kept.  Blank lines are never touched.
+
+*Signatures.*  Every line has a set of hashes to be found by.  For a line of at least ``WORDS`` different pairs of
+neighbouring words, one to every ``CHARS_A_PAIR`` characters or more, it is the hashes of those pairs, some six
+times fewer than the shingles: an edit that takes ten shingles takes two pairs.  Any other line (short, or with long
+or no words) has the hashes of its shingles; if it has ``WORDS_NEAR`` pairs it has both, as a near line may have pairs
+only.  One permutation MinHash by rotation: the sorted hashes lie on a ring; from each of ``BANDS`` (of pairs: ``PAIR_BANDS``) fixed points of the
+ring the next ``ROWS`` hashes make a band.  Two lines agree in a band when the next hashes of
+their union from there belong to both: at the threshold with probability ``SIMILARITY ** ROWS`` = 0.41, so all eight
+miss with 0.015; at 0.9 with 0.0002.  The points of a short line often begin the same band, so lines of fewer than
 ``SHORT`` shingles are found by prefixes instead, which lose nothing: of the sorted hashes of two lines that
 reach the threshold, the first ``n - ceil(SIMILARITY * n) + 1`` have one in common.  Lines that are
 long enough for bands but can be near a short one have both.
 
-*Candidates.*  Lines are known by a 128-bit digest, so exact copies are one line from here on
-(a line a third of all documents share is one row per task after partial aggregation).  Each
-bucket has two pivots: the line that occurs most often (of near copies it is the original),
-and one drawn by hash.  Every line is first compared with the pivots of its buckets only,
-however large the bucket.  In a bucket whose lines are then in one component nothing is left
+*Candidates.*  Exact copies are one line from here on (a line a third of all documents share is one row per task
+after partial aggregation): lines are known by a 64-bit hash and a 128-bit digest, in the graph by the hash
+alone.  The lines of a bucket of two are a pair.  A larger bucket has two pivots: the line that occurs
+most often (of near copies it is the original), and one drawn by hash.  Every line is first compared with the pivots of
+its buckets only, however large the bucket.  In a bucket whose lines are then in one component nothing is left
 to find.  In the others every line outside the bucket's commonest component is compared with
 all lines of the bucket that are in another component and near enough in size to reach the
-threshold.  Before pairs are verified, sketches of ``SKETCH`` bits are compared: a bit is set if a hash of
-the line lies in that part of the hashes' range.  Every place at which two sketches differ takes a shingle
-that one line has and the other lacks, so a pair that differs in more places than lines at the threshold
-have such shingles cannot reach it, and is not verified: nothing is lost.
+threshold.  Before pairs are verified, their sketches are compared: the different first 16 bits of a line's hashes, and
+before them, as it takes one step, the different last six.  Every element that one sketch has and the other lacks takes
+a shingle that one line has and the other lacks, so a pair that differs in more elements than lines at the threshold
+differ in shingles cannot reach it, and is not verified: nothing is lost.
 
 *Verification* is exact, on the full sets of shingle hashes of both lines, made again from
 their texts (sets of eight bytes a character are never written), then union-find over the links.
@@ -39,280 +41,166 @@ columns pass through ``dedup_lines`` unchanged.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_path, ship_package, text_blocks, unused
+from .common import materialize, unused
 from .components import connected_components
-
-SHINGLE = 10
-SIMILARITY = 0.8
-BANDS = 8
-ROWS = 4
-#: Lines of fewer shingles are found by prefixes; those of up to SHORT_NEAR by prefixes as well.
-SHORT = 16
-SHORT_NEAR = int((SHORT - 1) / SIMILARITY)
-PREFIXES = SHORT_NEAR - int(np.ceil(SIMILARITY * SHORT_NEAR)) + 1
-KEYS = BANDS + PREFIXES
-LOG_SKETCH = 11
-SKETCH = 1 << LOG_SKETCH
-SKETCH_WORDS = SKETCH // 64
-#: Most candidate lines whose digests (16 bytes each) are broadcast; beyond, they are joined by shuffle.
+from .line_sets import (_LOW, BANDS, HASH_BITS, LOG_SKETCH, PREFIXES, ROWS, SHINGLE, SHORT, SHORT_NEAR, SIMILARITY, SKETCH,  # noqa: F401
+                        line_keys, near_lines, shingle_sets, sketches)  # (the plain version, for the tests)
+
+#: Bands of word pairs: more, as lines at the threshold have fewer of them in common than shingles.
+PAIR_BANDS = 12
+#: A line is found by its word pairs alone if it has so many, and one to so many characters.
+WORDS = 40
+CHARS_A_PAIR = 12
+#: A line of fewer is not found by word pairs at all.
+WORDS_NEAR = 28
+#: First bits of a hash that a sketch holds.
+SKETCH_BITS = 16
+#: Most candidate lines whose hashes are broadcast; beyond, they are joined by shuffle.
 BROADCAST_DIGESTS = 300_000
-#: Bits of a shingle's hash; the others of 64 hold the line's place in its block.
-HASH_BITS = 52
-#: Most lines, and about how many bytes of them, hashed at once: a hash is 8 bytes a character, and some ten arrays are alive.
-BLOCK_LINES = 1 << (64 - HASH_BITS)
-HASH_BYTES = 1 << 18
-_LOW = np.uint64((1 << HASH_BITS) - 1)
-#: Odd constants that the hashes are mixed with.
-_MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, line, digest) of every line that is not blank; line_no from 0.
+    """(doc_id, text_key, line_no, line, digest, id) of every line that is not blank; line_no from 0.
 
     ``text_key`` tells the texts of a repeated doc_id apart.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.select("doc_id", F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("digest", F.unhex(F.md5(F.col("line").cast("binary"))))
+    return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumns(
+        {"digest": F.unhex(F.md5(F.col("line").cast("binary"))), "id": F.xxhash64("line")})
 
 
-def _scramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
-    return x ^ (x >> np.uint64(31))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is made once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _run_hashes(chars: np.ndarray) -> np.ndarray:
-    """The hash of the run of ``SHINGLE`` characters that begins at each place but the last ones."""
-    mixed = _scramble(chars)
-    n = max(len(chars) - SHINGLE + 1, 0)
-    out = np.zeros(n, np.uint64)
-    for j in range(SHINGLE):
-        out *= _MIX[0]
-        out += mixed[j:j + n]
-    return _scramble(out)
+def run_hashes(line: Column) -> Column:
+    """The distinct hashes of all runs of ``SHINGLE`` characters; in UTF-32 a character's place is known."""
+    wide = 4 * SHINGLE
 
+    def hashes(wide_line: Column) -> Column:
+        begins = F.sequence(F.lit(0), F.greatest(F.octet_length(wide_line) - wide, F.lit(0)), F.lit(4))
+        return F.transform(begins, lambda at: F.xxhash64(F.substring(wide_line, at + 1, F.lit(wide))))
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct hashes of all lines, each below its line's number, and where each line's begin.
+    return F.array_distinct(_let(F.encode(line, "UTF-32"), hashes))
 
-    ``data`` holds the UTF-8 bytes of the lines, ``offsets`` where each begins, and the end; no line is empty.
-    """
-    first = (data & 0xC0) != 0x80
-    first[offsets[:-1]] = True
-    starts = np.flatnonzero(first)
-    at = np.searchsorted(starts, offsets)
-    # A character's number: its bytes; never 0, which fills up short lines.
-    chars = data[starts].astype(np.uint64)
-    if len(starts) < len(data):
-        padded = np.concatenate([data, np.zeros(3, np.uint8)])
-        more = np.ones(len(starts), bool)
-        for k in (1, 2, 3):
-            byte = padded[starts + k]
-            more &= (byte & 0xC0) == 0x80
-            chars |= np.where(more, byte, 0).astype(np.uint64) << np.uint64(8 * k)
-    chars += np.uint64(1)
-    lengths = np.diff(at)
-    runs = np.maximum(lengths - SHINGLE + 1, 0)
-    line = np.repeat(np.arange(len(lengths), dtype=np.uint64), runs)
-    place = np.arange(len(line)) + np.repeat(at[:-1] - np.cumsum(runs) + runs, runs)
-    short = np.flatnonzero(runs == 0)
-    filled = np.zeros((len(short), SHINGLE), np.uint64)
-    for j in range(SHINGLE - 1):
-        there = lengths[short] > j
-        filled[there, j] = chars[at[short[there]] + j]
-    hashes = np.concatenate([_run_hashes(chars)[place], _run_hashes(filled.ravel())[::SHINGLE]])
-    line = np.concatenate([line, short.astype(np.uint64)])
-    sets = np.sort((line << np.uint64(HASH_BITS)) | (hashes >> np.uint64(64 - HASH_BITS)))
-    sets = sets[np.concatenate([[True], sets[1:] != sets[:-1]])]
-    begins = np.searchsorted(sets, np.arange(len(lengths), dtype=np.uint64) << np.uint64(HASH_BITS))
-    return sets, np.append(begins, len(sets))
-
-
-def band_keys(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The buckets of each line, one for each band.
-
-    The points of the ring are the beginnings of ``BANDS`` equal parts of the hashes' range;
-    a band goes round the end of its line's hashes.
-    """
-    own, sizes = begins[:-1], np.diff(begins)
-    line = np.arange(len(own), dtype=np.uint64) << np.uint64(HASH_BITS)
-    out = np.empty((len(own), BANDS), np.uint64)
-    for t in range(BANDS):
-        point = np.uint64(t * (1 << HASH_BITS) // BANDS)
-        begin = np.searchsorted(sets, line | point) - own
-        key = np.full(len(own), t + 1, np.uint64)
-        for j in range(ROWS):
-            key = _scramble(key * _MIX[0] + (sets[own + (begin + j) % sizes] & _LOW))
-        out[:, t] = key
-    return out.view(np.int64)
 
+def pair_hashes(line: Column) -> Column:
+    """The distinct hashes of all pairs of neighbouring words; the last word is a pair with nothing."""
+    return F.array_distinct(_let(F.split(line, " "), lambda words: F.transform(
+        words, lambda word, at: F.xxhash64(word, F.get(words, at + 1)))))
 
-def prefix_keys(sets: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The prefix buckets of each line, and which of them there are: those of short lines and their neighbours."""
-    own, sizes = begins[:-1], np.diff(begins)
-    wanted = np.where(sizes <= SHORT_NEAR, sizes - np.ceil(SIMILARITY * sizes - 1e-9).astype(np.int64) + 1, 0)
-    there = np.arange(PREFIXES) < wanted[:, None]
-    keys = np.zeros((len(own), PREFIXES), np.uint64)
-    for j in range(PREFIXES):
-        keys[:, j] = _scramble((sets[np.minimum(own + j, len(sets) - 1)] & _LOW) * _MIX[0] + np.uint64(BANDS + 1))
-    return keys.view(np.int64), there
 
+def _bands(lines: DataFrame, sets: str, bands: int, seed: int) -> tuple[DataFrame, Column]:
+    """``lines`` and the buckets of the sorted hashes ``sets``, one for each band.
 
-def line_keys(sets: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All buckets of each line, and which of them there are."""
-    bands = band_keys(sets, begins)
-    prefixes, there = prefix_keys(sets, begins)
-    long = np.broadcast_to((np.diff(begins) >= SHORT)[:, None], bands.shape)
-    return np.concatenate([bands, prefixes], axis=1), np.concatenate([long, there], axis=1)
-
-
-def sketches(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """For each line, which of ``SKETCH`` equal parts of the hashes' range hold one of its hashes, as words of bits."""
-    part = sets >> np.uint64(HASH_BITS - LOG_SKETCH)  # with the line's number above
-    out = np.zeros((len(begins) - 1) * SKETCH_WORDS, np.uint64)
-    np.bitwise_or.at(out, (part >> np.uint64(6)).astype(np.int64), np.uint64(1) << (part & np.uint64(63)))
-    return out.reshape(-1, SKETCH_WORDS).view(np.int64)
+    The points of the ring are the beginnings of ``bands`` equal parts of the hashes' range;
+    a band goes round the end of its line's hashes.
+    """
+    points = [(t << 64) // bands - (1 << 63) for t in range(bands)]
+    # Sorted in with the hashes a point's place tells how many of them are below.
+    lines = lines.withColumn(f"{sets}_at", F.sort_array(F.concat(F.col(sets), F.array(*map(F.lit, points)))))
 
+    def key(t: int) -> Column:
+        below = F.array_position(f"{sets}_at", F.lit(points[t])) - F.lit(1 + t)
+        return F.xxhash64(F.lit(seed + t), *[F.get(sets, ((below + j) % F.size(sets)).cast("int")) for j in range(ROWS)])
 
-def _most_apart(size_a: Column, size_b: Column) -> Column:
-    """How many shingles only one of the lines can have if they reach the threshold."""
-    return (size_a + size_b) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6
+    return lines, F.array(*map(key, range(bands)))
 
 
-def _apart(a: str, b: str) -> Column:
-    """In how many places the sketches ``a``0.. and ``b``0.. differ."""
-    return reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in range(SKETCH_WORDS)])
+def _prefixes(sets: str) -> Column:
+    """The prefix buckets of the sorted hashes ``sets`` of short lines and their neighbours."""
+    size = F.size(sets)
+    wanted = F.when(size <= SHORT_NEAR, size - F.ceil(size * SIMILARITY - 1e-9).cast("int") + 1).otherwise(0)
+    return F.transform(F.slice(sets, F.lit(1), wanted), lambda x: F.xxhash64(F.lit(-1), x))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, digest, size, k0, k1, ...) of every line; keys it does not have are null."""
-    ship_package(docs.sparkSession)
-    names = [f"k{t}" for t in range(KEYS)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, BLOCK_LINES):
-                part = batch.slice(low, BLOCK_LINES)
-                for at, end, data, offsets in text_blocks(part.column(4), HASH_BYTES):
-                    sets, begins = shingle_sets(data, offsets)
-                    keys, there = line_keys(sets, begins)
-                    yield pa.RecordBatch.from_arrays(
-                        [*(c.slice(at, end - at) for c in part.columns[:4]), pa.array(np.diff(begins).astype(np.int32)),
-                         *[pa.array(keys[:, t], mask=~there[:, t]) for t in range(KEYS)]],
-                        ["doc_id", "text_key", "line_no", "digest", "size", *names])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    lines = line_rows(docs).select("doc_id", "text_key", "line_no", "digest", "line")
-    return lines.mapInArrow(run, f"doc_id {kind}, text_key bigint, line_no int, digest binary, size int, "
-                            + ", ".join(f"{n} bigint" for n in names))
-
-
-def line_sketches(texts: DataFrame) -> DataFrame:
-    """(digest, size, s0, s1, ...) of every row of ``texts`` (digest, line)."""
-    names = [f"s{k}" for k in range(SKETCH_WORDS)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, BLOCK_LINES):
-                part = batch.slice(low, BLOCK_LINES)
-                for at, end, data, offsets in text_blocks(part.column(1), HASH_BYTES):
-                    sets, begins = shingle_sets(data, offsets)
-                    words = sketches(sets, begins)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0).slice(at, end - at), pa.array(np.diff(begins).astype(np.int32)),
-                         *[pa.array(np.ascontiguousarray(words[:, k])) for k in range(SKETCH_WORDS)]], ["digest", "size", *names])
-
-    return texts.select("digest", "line").mapInArrow(run, "digest binary, size int, " + ", ".join(f"{n} bigint" for n in names))
+    """(doc_id, text_key, line_no, digest, id, keys) of every line."""
+    lines = line_rows(docs).withColumn("pairs", F.sort_array(pair_hashes(F.col("line"))))
+    by_runs = (F.size("pairs") < WORDS) | (F.size("pairs") * CHARS_A_PAIR < F.length("line"))
+    lines = lines.withColumn("runs", F.when(by_runs, F.sort_array(run_hashes(F.col("line")))))
+    lines, pair_bands = _bands(lines, "pairs", PAIR_BANDS, 0)
+    lines, run_bands = _bands(lines, "runs", BANDS, PAIR_BANDS)
+    none = F.array().cast("array<bigint>")
+    keys = F.concat(F.when(F.size("pairs") >= WORDS_NEAR, pair_bands).otherwise(none),
+                    F.when(F.size("runs") >= SHORT, run_bands).otherwise(none),
+                    F.when(F.size("runs") <= SHORT_NEAR, _prefixes("runs")).otherwise(none))
+    return lines.select("doc_id", "text_key", "line_no", "digest", "id", keys.alias("keys"))
 
 
 def _candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(digest, line), once for each wanted digest, from the texts read again.
+    """(id, line, size, bits, sketch), once for each wanted id, from the texts read again.
 
-    Copies of a line are combined in each task before anything is shuffled.
+    Copies of a line are combined in each task before anything is shuffled.  ``size`` is the number of shingles.
     """
-    lines = line_rows(docs).select("digest", "line")
+    lines = line_rows(docs).select("id", "line")
     if wanted.count() <= BROADCAST_DIGESTS:
-        return lines.join(F.broadcast(wanted), "digest", "left_semi").dropDuplicates(["digest"])
-    return lines.dropDuplicates(["digest"]).join(wanted, "digest", "left_semi")
-
-
-def near_lines(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """For each pair of lines, is their similarity at least the threshold."""
-    near = np.zeros(len(a), bool)
-    long = np.cumsum(pc.add(pc.binary_length(a), pc.binary_length(b)).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(a):
-        end = int(np.searchsorted(long, HASH_BYTES + (long[at - 1] if at else 0), side="right"))
-        end = min(max(end, at + 1), at + BLOCK_LINES)
-        found = []
-        for x in (a, b):
-            _, _, data, offsets = next(text_blocks(x.slice(at, end - at), int(long[-1])))
-            found.append(shingle_sets(data, offsets))
-        (sa, na), (sb, nb) = found
-        merged = np.sort(np.concatenate([sa, sb]))
-        same = merged[1:][merged[1:] == merged[:-1]] >> np.uint64(HASH_BITS)
-        both = np.bincount(same.astype(np.int64), minlength=end - at)
-        near[at:end] = both >= SIMILARITY * (np.diff(na) + np.diff(nb) - both)
-        at = end
-    return near
-
-
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose exact similarity reaches the threshold."""
-    joined = (pairs.join(texts.withColumnsRenamed({"digest": "da", "line": "la"}), F.col("a") == F.col("da"))
-              .join(texts.withColumnsRenamed({"digest": "db", "line": "lb"}), F.col("b") == F.col("db")))
+        lines = lines.join(F.broadcast(wanted), "id", "left_semi").distinct()
+    else:
+        lines = lines.distinct().join(wanted, "id", "left_semi")
+    lines = lines.withColumn("runs", run_hashes(F.col("line")))
+    bits = F.aggregate("runs", F.lit(0).cast("bigint"), lambda all_bits, x: all_bits.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    parts = F.transform("runs", lambda x: F.shiftright(x, 64 - SKETCH_BITS).cast("smallint"))
+    return lines.select("id", "line", F.size("runs").alias("size"), bits.alias("bits"), F.array_distinct(parts).alias("sketch"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.select(["a", "b"]).filter(pa.array(near_lines(batch.column(2), batch.column(3))))
 
-    return joined.select("a", "b", "la", "lb").mapInArrow(run, "a binary, b binary")
+def near(a: Column, b: Column) -> Column:
+    """Is the similarity of two lines, given by their sets of hashes, at least the threshold."""
+    both = F.size(F.array_intersect(a, b))
+    return both >= (F.size(a) + F.size(b) - both) * F.lit(SIMILARITY)
 
 
-def _side(sketched: DataFrame, a: str, *more: str) -> DataFrame:
+def _side(texts: DataFrame, a: str, *more: str) -> DataFrame:
     """The sketches as columns of one side of a pair."""
-    return sketched.select(F.col("digest").alias(a), F.col("size").alias(f"n_{a}"), *[F.col(c).alias(f"{c}_{a}") for c in more],
-                           *[F.col(f"s{k}").alias(f"s_{a}{k}") for k in range(SKETCH_WORDS)])
+    return texts.select(F.col("id").alias(a), *[F.col(c).alias(f"{c}_{a}") for c in ("size", "bits", "sketch", *more)])
 
 
 def _may_reach(a: str, b: str) -> Column:
     """Sizes and sketches of a pair allow for the threshold."""
-    na, nb = F.col(f"n_{a}"), F.col(f"n_{b}")
-    return (F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)) & (_apart(f"s_{a}", f"s_{b}") <= _most_apart(na, nb))
+    na, nb = F.col(f"size_{a}"), F.col(f"size_{b}")
+    most = (na + nb) * F.lit((1 - SIMILARITY) / (1 + SIMILARITY)) + F.lit(1e-6)
+    bits = F.bit_count(F.col(f"bits_{a}").bitwiseXOR(F.col(f"bits_{b}")))
+    apart = F.size(f"sketch_{a}") + F.size(f"sketch_{b}") - F.size(F.array_intersect(f"sketch_{a}", f"sketch_{b}")) * 2
+    return (F.least(na, nb) >= F.greatest(na, nb) * F.lit(SIMILARITY)) & (bits <= most) & (apart <= most)
 
 
-def _star_pairs(members: DataFrame, pivots: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the lines of a bucket and its pivots that may reach the threshold."""
-    star = members.join(pivots, F.col("key") == F.col("pk")).select("digest", F.explode(F.array_distinct("pivots")).alias("pivot"))
-    star = star.filter(F.col("digest") != F.col("pivot")).select(
-        F.least("digest", "pivot").alias("a"), F.greatest("digest", "pivot").alias("b")).distinct()
-    # The pairs are written, as the sketches are: a pivot of very many lines is split by the adaptive skew join.
-    star = materialize(star, "line-star")
-    both = star.join(_side(sketched, "x"), F.col("a") == F.col("x")).join(_side(sketched, "y"), F.col("b") == F.col("y"))
-    return both.filter(_may_reach("x", "y")).select("a", "b")
+def _sketched(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that may reach the threshold."""
+    both = pairs.join(_side(texts, "x"), F.col("a") == F.col("x"))
+    return both.join(_side(texts, "y"), (F.col("b") == F.col("y")) & _may_reach("x", "y")).select("a", "b")
 
 
-def _open_pairs(members: DataFrame, near: DataFrame, sketched: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose exact similarity reaches the threshold."""
+    both = (pairs.join(texts.select(F.col("id").alias("x"), F.col("line").alias("line_x")), F.col("a") == F.col("x"))
+            .join(texts.select(F.col("id").alias("y"), F.col("line").alias("line_y")), F.col("b") == F.col("y")))
+    sets = both.select("a", "b", run_hashes(F.col("line_x")).alias("runs_x"), run_hashes(F.col("line_y")).alias("runs_y"))
+    return sets.filter(near(F.col("runs_x"), F.col("runs_y"))).select("a", "b")
+
+
+def _star_pairs(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the lines of a bucket and its pivots."""
+    star = members.join(pivots, F.col("key") == F.col("pk")).select("id", F.explode(F.array_distinct("pivots")).alias("pivot"))
+    return star.filter(F.col("id") != F.col("pivot")).select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+
+
+def _open_pairs(members: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of one bucket in different components that may reach the threshold, at least one outside the
     bucket's commonest component."""
-    placed = members.join(near, members["digest"] == near["node"], "left").select(
-        "key", "digest", F.coalesce("component", "digest").alias("c"))
+    placed = members.join(found, members["id"] == found["node"], "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     counts = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("kinds"))
     mixed = materialize(mixed.filter(F.col("kinds") > 1).select(F.col("key").alias("k"), F.col("top.c").alias("top")), "line-mixed")
     placed = placed.join(mixed, F.col("key") == F.col("k")).drop("k").join(
-        sketched.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d")).drop("d")
+        texts.select(F.col("id").alias("d"), "size", "bits", "sketch"), F.col("id") == F.col("d")).drop("d")
     placed = materialize(placed, "line-placed")
     out = _side(placed.filter(F.col("c") != F.col("top")), "x", "key", "c")
     every = _side(placed, "y", "key", "c", "top")
@@ -322,52 +210,65 @@ def _open_pairs(members: DataFrame, near: DataFrame, sketched: DataFrame) -> Dat
     return out.join(every, on).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _line_links(docs: DataFrame, each: DataFrame) -> DataFrame:
+    """(node, component) of every id of ``each`` that is near another: the components of near lines."""
+    keyed = each.select("id", "times", F.explode("keys").alias("key"))
+    # Buckets of at least two different lines.
+    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+    buckets = materialize(buckets.filter(F.col("a") < F.col("b")), "line-buckets")
+    twos = buckets.filter(F.col("n") == 2).select("a", "b")
+    large = buckets.filter(F.col("n") > 2).select("key")
+    members = materialize(keyed.join(large, "key").select("key", "id", "times"), "line-members")
+    turn = F.xxhash64("id", "key")
+    pivots = members.groupBy(F.col("key").alias("pk")).agg(
+        F.array(F.max(F.struct("times", turn.alias("turn"), "id"))["id"],
+                F.min(F.struct(turn.alias("turn"), "id"))["id"]).alias("pivots"))
+    pivots = materialize(pivots, "line-pivots")
+    # The pairs are written, as the texts are: a pivot of very many lines is split by the adaptive skew join.
+    pairs = materialize(twos.unionByName(_star_pairs(members, pivots)).distinct(), "line-pairs")
+    wanted = twos.select(F.explode(F.array("a", "b")).alias("id")).unionByName(members.select("id")).distinct()
+    texts = materialize(_candidate_lines(docs, materialize(wanted, "line-wanted")), "line-texts")
+    links = materialize(_links(_sketched(pairs, texts), texts), "line-links")
+    found = materialize(connected_components(links, "a", "b"), "line-near")
+    rest = materialize(_links(_open_pairs(members, found, texts), texts), "line-rest")
+    return found if rest.isEmpty() else materialize(connected_components(links.unionByName(rest), "a", "b"), "line-found")
+
+
 def line_classes(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, line_no, digest, component, kept) of every line that is not blank.
 
     ``component``: the least digest reachable over links, the line's own if it has none.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    sig_path = scratch_path(spark, "line-signatures")
-    signatures(docs).write.parquet(sig_path)
-    sig = spark.read.parquet(sig_path)
-    # One row for each different line from here on: copies are combined before the shuffle, so a line
+    # One row for each different line: copies are combined before the shuffle, so a line
     # that a third of all documents hold is one row per task.
-    names = [f"k{t}" for t in range(KEYS)]
-    each = sig.groupBy("digest").agg(F.count(F.lit(1)).alias("times"), *[F.max(n).alias(n) for n in names])
+    each = signatures(docs).groupBy("id", "digest", "keys").agg(F.count(F.lit(1)).alias("times"))
     each = materialize(each, "line-distinct")
-    every_key = F.array_compact(F.array_distinct(F.array(*names)))
-    keyed = each.select("digest", "times", F.explode(every_key).alias("key"))
-    # Buckets of at least two different lines, and what they hold.
-    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    buckets = materialize(buckets.filter(F.col("n") > 1).select("key"), "line-buckets")
-    members = materialize(keyed.join(buckets, "key").select("key", "digest", "times"), "line-members")
-    turn = F.xxhash64("digest", "key")
-    pivots = members.groupBy(F.col("key").alias("pk")).agg(
-        F.array(F.max(F.struct("times", turn.alias("turn"), "digest"))["digest"],
-                F.min(F.struct(turn.alias("turn"), "digest"))["digest"]).alias("pivots"))
-    pivots = materialize(pivots, "line-pivots")
-    wanted = materialize(members.select("digest").distinct(), "line-wanted")
-    texts = materialize(_candidate_lines(docs, wanted), "line-texts")
-    sketched = materialize(line_sketches(texts), "line-sketches")
-    links = materialize(_links(_star_pairs(members, pivots, sketched), texts), "line-links")
-    near = materialize(connected_components(links, "a", "b"), "line-near")
-    rest = materialize(_links(_open_pairs(members, near, sketched), texts), "line-rest")
-    found = near if rest.isEmpty() else materialize(connected_components(links.unionByName(rest), "a", "b"), "line-found")
+    found = _line_links(docs, each)
+    # Lines that occur more than once or are near others; every other one is its own keeper.
+    placed = each.select("id", "digest", "times").join(found, F.col("id") == F.col("node"), "left").filter(
+        (F.col("times") > 1) | F.col("node").isNotNull()).select("id", "digest", F.col("component").alias("c"))
+    placed = materialize(placed, "line-placed")
+    least = placed.filter(F.col("c").isNotNull()).groupBy(F.col("c").alias("lc")).agg(F.min("digest").alias("least"))
+    named = placed.join(least, F.col("c") == F.col("lc"), "left").select(
+        F.col("id").alias("ni"), F.col("digest").alias("nd"), F.coalesce("least", "digest").alias("component"))
+    named = materialize(named, "line-named")
     occurrence = ["doc_id", "text_key", "line_no", "digest"]
-    lines = sig.select(*occurrence)
-    lines = lines.join(found, lines["digest"] == found["node"], "left").select(
-        *occurrence, F.coalesce("component", "digest").alias("component"))
+    lines = line_rows(docs).select(*occurrence, "id")
+    few = F.broadcast(named) if named.count() <= BROADCAST_DIGESTS else named
+    lines = lines.join(few, (F.col("id") == F.col("ni")) & (F.col("digest") == F.col("nd")), "left").select(*occurrence, "component")
     lines = materialize(lines, "line-components")
+    alone = lines.filter(F.col("component").isNull()).select(*occurrence, F.col("digest").alias("component"), F.lit(True).alias("kept"))
     # Keepers: the least occurrence per component, joined back (never a window over a component);
     # written first, so that both sides of the join are plain exchanges, which the adaptive skew join splits.
+    lines = lines.filter(F.col("component").isNotNull())
     order = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "line_no", "text_key")
     keepers = materialize(lines.groupBy("component").agg(F.min(order).alias("k")).select(F.col("component").alias("kc"), "k"),
                           "line-keepers")
     kept = (F.col("k.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("k.line_no") == F.col("line_no"))
             & (F.col("k.text_key") == F.col("text_key")))
-    return lines.join(keepers, F.col("component") == F.col("kc")).select(*occurrence, "component", kept.alias("kept"))
+    shared = lines.join(keepers, F.col("component") == F.col("kc")).select(*occurrence, "component", kept.alias("kept"))
+    return alone.unionByName(shared)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
