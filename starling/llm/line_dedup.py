@@ -25,10 +25,10 @@ most often (of near copies it is the original), and one drawn by hash.  Every li
 its buckets only, however large the bucket.  In a bucket whose lines are then in one component nothing is left
 to find.  In the others every line outside the bucket's commonest component is compared with
 all lines of the bucket that are in another component and near enough in size to reach the
-threshold.  Before pairs are verified, their sketches are compared: the different first 16 bits of a line's hashes, and
-before them, as it takes one step, the different last six.  Every element that one sketch has and the other lacks takes
-a shingle that one line has and the other lacks, so a pair that differs in more elements than lines at the threshold
-differ in shingles cannot reach it, and is not verified: nothing is lost.
+threshold.  Before pairs are verified, their sketches are compared: a bit for each of ``64 * SKETCH_LONGS`` parts that
+a line's hashes are dealt over, set if the number of hashes there is odd.  Hashes that both lines have cancel out, so
+every bit in which two sketches differ takes a shingle that one line has and the other lacks: a pair that differs in
+more bits than lines at the threshold differ in shingles cannot reach it, and is not verified: nothing is lost.
 
 *Verification* is exact, on the full sets of shingle hashes of both lines, made again from
 their texts (sets of eight bytes a character are never written), then union-find over the links.
@@ -58,8 +58,8 @@ WORDS = 40
 CHARS_A_PAIR = 12
 #: A line of fewer is not found by word pairs at all.
 WORDS_NEAR = 28
-#: First bits of a hash that a sketch holds.
-SKETCH_BITS = 16
+#: Words of 64 bits in a sketch.
+SKETCH_LONGS = 16
 #: Most candidate lines whose hashes are broadcast; beyond, they are joined by shuffle.
 BROADCAST_DIGESTS = 300_000
 
@@ -85,8 +85,8 @@ def run_hashes(line: Column) -> Column:
     wide = 4 * SHINGLE
 
     def hashes(wide_line: Column) -> Column:
-        begins = F.sequence(F.lit(0), F.greatest(F.octet_length(wide_line) - wide, F.lit(0)), F.lit(4))
-        return F.transform(begins, lambda at: F.xxhash64(F.substring(wide_line, at + 1, F.lit(wide))))
+        begins = F.sequence(F.lit(1), F.greatest(F.octet_length(wide_line) - wide, F.lit(0)) + 1, F.lit(4))
+        return F.transform(begins, lambda at: F.xxhash64(F.substring(wide_line, at, F.lit(wide))))
 
     return F.array_distinct(_let(F.encode(line, "UTF-32"), hashes))
 
@@ -98,20 +98,21 @@ def pair_hashes(line: Column) -> Column:
 
 
 def _bands(lines: DataFrame, sets: str, bands: int, seed: int) -> tuple[DataFrame, Column]:
-    """``lines`` and the buckets of the sorted hashes ``sets``, one for each band.
+    """``lines`` and the buckets of the sorted hashes ``sets`` (``ROWS`` or more), at most one for each band.
 
     The points of the ring are the beginnings of ``bands`` equal parts of the hashes' range;
-    a band goes round the end of its line's hashes.
+    a band goes round the end of its line's hashes.  Points with the same next hashes are one bucket.
     """
     points = [(t << 64) // bands - (1 << 63) for t in range(bands)]
     # Sorted in with the hashes a point's place tells how many of them are below.
-    lines = lines.withColumn(f"{sets}_at", F.sort_array(F.concat(F.col(sets), F.array(*map(F.lit, points)))))
+    lines = lines.withColumns({f"{sets}_at": F.sort_array(F.concat(F.col(sets), F.array(*map(F.lit, points)))),
+                               f"{sets}_ring": F.concat(F.col(sets), F.slice(sets, 1, ROWS))})
 
     def key(t: int) -> Column:
-        below = F.array_position(f"{sets}_at", F.lit(points[t])) - F.lit(1 + t)
-        return F.xxhash64(F.lit(seed + t), *[F.get(sets, ((below + j) % F.size(sets)).cast("int")) for j in range(ROWS)])
+        begin = F.array_position(f"{sets}_at", F.lit(points[t])).cast("int") - F.lit(t)
+        return F.xxhash64(F.lit(seed), F.slice(f"{sets}_ring", begin, F.lit(ROWS)))
 
-    return lines, F.array(*map(key, range(bands)))
+    return lines, F.array_distinct(F.array(*map(key, range(bands))))
 
 
 def _prefixes(sets: str) -> Column:
@@ -127,7 +128,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     by_runs = (F.size("pairs") < WORDS) | (F.size("pairs") * CHARS_A_PAIR < F.length("line"))
     lines = lines.withColumn("runs", F.when(by_runs, F.sort_array(run_hashes(F.col("line")))))
     lines, pair_bands = _bands(lines, "pairs", PAIR_BANDS, 0)
-    lines, run_bands = _bands(lines, "runs", BANDS, PAIR_BANDS)
+    lines, run_bands = _bands(lines, "runs", BANDS, 1)
     none = F.array().cast("array<bigint>")
     keys = F.concat(F.when(F.size("pairs") >= WORDS_NEAR, pair_bands).otherwise(none),
                     F.when(F.size("runs") >= SHORT, run_bands).otherwise(none),
@@ -135,21 +136,29 @@ def signatures(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "text_key", "line_no", "digest", "id", keys.alias("keys"))
 
 
+def _sketch_columns() -> list[str]:
+    return [f"bits{k}" for k in range(SKETCH_LONGS)]
+
+
 def _candidate_lines(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, line, size, bits, sketch), once for each wanted id, from the texts read again.
+    """(id, line, size, bits0, bits1, ...), once for each wanted id, from the texts read again.
 
-    Copies of a line are combined in each task before anything is shuffled.  ``size`` is the number of shingles.
+    Copies of a line are combined in each task before anything is shuffled.  ``size`` is the number of shingles;
+    a bit of the sketch tells if the number of their hashes in its part is odd.
     """
     lines = line_rows(docs).select("id", "line")
     if wanted.count() <= BROADCAST_DIGESTS:
         lines = lines.join(F.broadcast(wanted), "id", "left_semi").distinct()
     else:
         lines = lines.distinct().join(wanted, "id", "left_semi")
-    lines = lines.withColumn("runs", run_hashes(F.col("line")))
-    bits = F.aggregate("runs", F.lit(0).cast("bigint"), lambda all_bits, x: all_bits.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
-    parts = F.transform("runs", lambda x: F.shiftright(x, 64 - SKETCH_BITS).cast("smallint"))
-    return lines.select("id", "line", F.size("runs").alias("size"), bits.alias("bits"), F.array_distinct(parts).alias("sketch"))
+    lines = materialize(lines, "line-wanted-lines")
+    runs = lines.select("id", F.explode(run_hashes(F.col("line"))).alias("run"))
+    runs = runs.select("id", F.shiftright("run", 6).bitwiseAND(F.lit(SKETCH_LONGS - 1)).alias("part"), F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), F.col("run").bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    odd = [F.bit_xor(F.when(F.col("part") == k, F.col("bit")).otherwise(F.lit(0).cast("bigint"))).alias(c)
+           for k, c in enumerate(_sketch_columns())]
+    sketched = runs.groupBy(F.col("id").alias("of")).agg(F.count(F.lit(1)).alias("size"), *odd)
+    return lines.join(sketched, F.col("id") == F.col("of")).drop("of")
 
 
 def near(a: Column, b: Column) -> Column:
@@ -160,16 +169,15 @@ def near(a: Column, b: Column) -> Column:
 
 def _side(texts: DataFrame, a: str, *more: str) -> DataFrame:
     """The sketches as columns of one side of a pair."""
-    return texts.select(F.col("id").alias(a), *[F.col(c).alias(f"{c}_{a}") for c in ("size", "bits", "sketch", *more)])
+    return texts.select(F.col("id").alias(a), *[F.col(c).alias(f"{c}_{a}") for c in ("size", *_sketch_columns(), *more)])
 
 
 def _may_reach(a: str, b: str) -> Column:
     """Sizes and sketches of a pair allow for the threshold."""
     na, nb = F.col(f"size_{a}"), F.col(f"size_{b}")
     most = (na + nb) * F.lit((1 - SIMILARITY) / (1 + SIMILARITY)) + F.lit(1e-6)
-    bits = F.bit_count(F.col(f"bits_{a}").bitwiseXOR(F.col(f"bits_{b}")))
-    apart = F.size(f"sketch_{a}") + F.size(f"sketch_{b}") - F.size(F.array_intersect(f"sketch_{a}", f"sketch_{b}")) * 2
-    return (F.least(na, nb) >= F.greatest(na, nb) * F.lit(SIMILARITY)) & (bits <= most) & (apart <= most)
+    apart = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in _sketch_columns()), F.lit(0))
+    return (F.least(na, nb) >= F.greatest(na, nb) * F.lit(SIMILARITY)) & (apart <= most)
 
 
 def _sketched(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -200,7 +208,7 @@ def _open_pairs(members: DataFrame, found: DataFrame, texts: DataFrame) -> DataF
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count(F.lit(1)).alias("kinds"))
     mixed = materialize(mixed.filter(F.col("kinds") > 1).select(F.col("key").alias("k"), F.col("top.c").alias("top")), "line-mixed")
     placed = placed.join(mixed, F.col("key") == F.col("k")).drop("k").join(
-        texts.select(F.col("id").alias("d"), "size", "bits", "sketch"), F.col("id") == F.col("d")).drop("d")
+        texts.select(F.col("id").alias("d"), "size", *_sketch_columns()), F.col("id") == F.col("d")).drop("d")
     placed = materialize(placed, "line-placed")
     out = _side(placed.filter(F.col("c") != F.col("top")), "x", "key", "c")
     every = _side(placed, "y", "key", "c", "top")

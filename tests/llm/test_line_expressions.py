@@ -77,3 +77,30 @@ def test_recall_and_sketches(spark, n):
     assert sum(met) >= 0.97 * len(met)
     if n < 15:
         assert all(met)
+
+
+def test_sketches_of_fixed_width(spark):
+    """A line's sketch is some longs whatever its length; it tells lines apart that are half alike, and is odd counts by hand."""
+    rng = random.Random(6)
+    letters = "abcdefghij klmnop"
+    pairs = []
+    for k in range(120):
+        a = [rng.choice(letters) for _ in range(rng.choice([100, 300, 600, 1000]))]
+        b = list(a)
+        for at in range(5, len(b), 25):
+            b[at] = "z"
+        pairs.append(("".join(a), "".join(b)))
+    docs = spark.createDataFrame([(2 * k + i, x + "\n" + x) for k, p in enumerate(pairs) for i, x in enumerate(p)], "doc_id bigint, text string")
+    ids = line_dedup.line_rows(docs).select("id").distinct()
+    texts = line_dedup._candidate_lines(docs, ids).cache()
+    assert {t for c, t in texts.dtypes if c != "line"} == {"bigint"} and texts.count() == 240
+    ids = {r["line"]: r["id"] for r in texts.select("id", "line").collect()}
+    at = spark.createDataFrame([tuple(sorted((ids[a], ids[b]))) for a, b in pairs], "a bigint, b bigint")
+    assert line_dedup._links(at, texts).count() == 0 and line_dedup._sketched(at, texts).count() < 0.02 * len(pairs)
+    sets = texts.select("line", "size", F.array(*line_dedup._sketch_columns()).alias("bits"), line_dedup.run_hashes(F.col("line")).alias("runs"))
+    for r in sets.limit(20).collect():
+        odd = [0] * line_dedup.SKETCH_LONGS
+        for x in r["runs"]:
+            odd[(x >> 6) % line_dedup.SKETCH_LONGS] ^= 1 << (x % 64)
+        assert r["size"] == len(runs(r["line"])) and [x % (1 << 64) for x in r["bits"]] == odd
+    texts.unpersist()
